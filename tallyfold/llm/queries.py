@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import minhash
+from tallyfold.llm import bpe, minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,19 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents in a public byte-level vocabulary, and back."""
+    import public_tokenizers
+
+    return bpe.encode(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False, digests=True
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
+    "op7_bpe": op7_bpe,
+}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
