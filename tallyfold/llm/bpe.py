@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,6 +23,18 @@ MERGE_BYTES = 16 << 20
 _NONE = np.int32(2**31 - 1)
 
 
+#: A space that a non-space follows, and texts that hold other spaces.
+_ODD_SPACE, _ODD_SPACE_SEEN = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
+
+
+def _gather(flat: np.ndarray, first: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slices ``row`` of ``flat`` (slice k begins at ``first[k]``) in a row, and where each begins."""
+    n = first[row + 1] - first[row]
+    ends = np.cumsum(n)
+    at = np.repeat(first[row] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+    return flat[at], np.concatenate([[0], ends])
+
+
 class RankQueue:
     """A set of ranks with find-first-set, as three levels of 64-way bitmaps; a bucket of positions for each."""
 
@@ -108,6 +123,7 @@ class Codec:
         before[bounds] = -1
         after[first[1:][lengths > 0] - 1] = -1
         alive = np.ones(n, bool)
+        seen = np.zeros(n, bool)
         rank = np.full(n, _NONE, np.int32)
         inner = np.flatnonzero(after >= 0)
         rank[inner] = self.rank(ids[inner], ids[inner + 1])
@@ -156,7 +172,9 @@ class Codec:
             before[beyond[linked]] = at[linked]
             prior = before[at]
             prior = prior[prior >= 0]
-            touched = np.unique(np.concatenate([at, prior])) if len(at) > 1 else np.concatenate([prior, at])
+            seen[at] = True
+            touched = np.sort(np.concatenate([at, prior[~seen[prior]]]))
+            seen[at] = False
             rank[touched] = _NONE
             open_ = touched[after[touched] >= 0]
             rank[open_] = self.rank(ids[open_], ids[after[open_]])
@@ -164,14 +182,45 @@ class Codec:
         counts = np.concatenate([[0], np.cumsum(alive)])
         return ids[alive], counts[first]
 
-    def encode_texts(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text; a pre-token that comes up again is merged once."""
-        known: dict[str, int] = {}
+    def encode_texts(self, texts: list[str], break_at_space: bool = False) -> Iterator[np.ndarray]:
+        """Ids of each text; what comes up again is split into pre-tokens and merged once.
+
+        With ``break_at_space`` the pattern is known to break before any space
+        that a non-space follows, and to match what lies between two such breaks
+        as it would within the text.
+        """
+        number = itertools.count()
+        lead: dict[str, int] = defaultdict(number.__next__)
+        known: dict[str, int] = defaultdict(number.__next__)
         rows = []
         for text in texts:
-            rows.append(np.array([known.setdefault(x, len(known)) for x in self.pattern.findall(text)], np.int32))
-        pieces = [x.encode() for x in known]
+            if not break_at_space:
+                row = [lead[text]] if text else []
+            else:
+                parts = _ODD_SPACE.split(text) if _ODD_SPACE_SEEN.search(text) else text.split(" ")
+                row = [lead[parts[0]]]
+                row += map(known.__getitem__, parts[1:])
+            rows.append(np.array(row, np.int32))
+        order = np.argsort(np.fromiter(itertools.chain(lead.values(), known.values()), np.int64, len(lead) + len(known)))
+        spans = [*lead, *(" " + x for x in known)]
+        lead.clear()
         known.clear()
+        token: dict[str, int] = defaultdict(itertools.count().__next__)
+        inner, held = [], np.zeros(len(spans) + 1, np.int64)
+        for k, at in enumerate(order.tolist()):
+            found = self.pattern.findall(spans[at])
+            inner += map(token.__getitem__, found)
+            held[k + 1] = len(inner)
+        del spans
+        pieces = [x.encode() for x in token]
+        token.clear()
+        flat, first = self._merge_all(pieces)
+        flat, first = _gather(flat, first, np.array(inner, np.int64))
+        first = first[held]
+        for row in rows:
+            yield _gather(flat, first, row)[0]
+
+    def _merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         parts, starts, lo, base = [], [np.zeros(1, np.int64)], 0, 0
         while lo < len(pieces):
             hi, room = lo, MERGE_BYTES
@@ -183,13 +232,7 @@ class Codec:
             starts.append(first[1:] + base)
             base += len(ids)
             lo = hi
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        first = np.concatenate(starts)
-        count = np.diff(first)
-        for row in rows:
-            n = count[row]
-            ends = np.cumsum(n)
-            yield flat[np.repeat(first[row] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.concatenate([np.zeros(0, np.int32), *parts]), np.concatenate(starts)
 
     def decode(self, ids: list[int]) -> bytes:
         piece = self.piece
@@ -209,12 +252,13 @@ def _read(spark, path: str) -> bytes:
     return data
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", break_at_space: bool = False, ids: bool = True, digests: bool = False) -> DataFrame:
     """Each row's id and n_tokens; with ``ids`` the array ``ids``, with ``digests`` the hashes.
 
     ``vocabulary`` is a file of base64 pieces and ranks on the driver, sent to
     the executors up to ``MAX_VOCABULARY_BYTES``.  Every match of ``pattern`` is
-    merged for itself; there are no special tokens.  A null or empty text has
+    merged for itself; there are no special tokens.  ``break_at_space`` says that
+    the pattern breaks before every space that a non-space follows.  A null or empty text has
     no ids.  ``digests`` adds ids_sha256 (of the decimal ids joined by one space)
     and decoded_sha256 (of the bytes the ids decode to).  Rows stay as they
     are, repeated or without an id; no row meets another.
@@ -226,7 +270,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         own = codec(data.value, pattern)
         for batch in batches:
             n, all_ids, coded, decoded = [], [], [], []
-            for row in own.encode_texts([x or "" for x in batch.column(1).to_pylist()]):
+            for row in own.encode_texts([x or "" for x in batch.column(1).to_pylist()], break_at_space):
                 n.append(len(row))
                 if ids:
                     all_ids.append(row)
