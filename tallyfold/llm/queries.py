@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, minhash
+from tallyfold.llm import bpe, lm, minhash
+from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +31,23 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(of: int, id_col: str = "doc_id") -> Column:
+    """Whether crc32 of the id as text leaves no remainder; a row without an id isn't held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == 0, F.lit(False))
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under what nine tenths of them teach."""
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", _fold(10))
+    store = Store(spark, "lm")
+    model = lm.fit(docs.where("NOT held_out"), store)
+    return lm.score(docs, model, store, carry=("held_out",))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op7_bpe": op7_bpe,
+    "op10_lm": op10_lm,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"

@@ -137,3 +137,71 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         keep[at] = True
     sizes = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     return mix64(run[keep]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+class Index:
+    """Places of 64-bit hashes in a sorted array of distinct ones, by their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(1, min(24, int(len(keys)).bit_length() + 1))
+        self.shift = _U(64 - bits)
+        lead = (keys >> self.shift).astype(np.int64)
+        self.begin = np.searchsorted(lead, np.arange((1 << bits) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.begin).max()) if len(keys) else 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        out = np.full(len(hashes), -1, np.int32)
+        if not len(self.keys) or not len(hashes):
+            return out
+        lead = (hashes >> self.shift).astype(np.int64)
+        at, end = self.begin[lead], self.begin[lead + 1]
+        rest = np.flatnonzero(at < end)
+        for k in range(self.most):
+            place = at[rest] + k
+            hit = self.keys[place] == hashes[rest]
+            out[rest[hit]] = place[hit]
+            rest = rest[~hit]
+            rest = rest[at[rest] + k + 1 < end[rest]]
+            if not len(rest):
+                break
+        return out
+
+
+class Counter:
+    """Counts of 64-bit keys within a task; ``add`` hands back what has outgrown the memory for it."""
+
+    LIMIT = 4_000_000
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+        self.packed = 0
+
+    def add(self, keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        u, c = np.unique(keys, return_counts=True)
+        self.keys.append(u)
+        self.counts.append(c)
+        self.held += len(u)
+        if self.held < max(1_000_000, 2 * self.packed):
+            return []
+        out = self.take()
+        self.packed = len(out[0][0]) if out else 0
+        if self.packed > self.LIMIT:
+            self.packed = 0
+            return out
+        for u, c in out:
+            self.keys, self.counts, self.held = [u], [c], len(u)
+        return []
+
+    def take(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.keys:
+            return []
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        self.keys, self.counts, self.held = [], [], 0
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        lead = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        return [(keys[lead], np.add.reduceat(counts, lead))] if len(keys) else []
