@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, lm, minhash
+from tallyfold.llm import bpe, lm, minhash, quality, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,23 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from four fifths of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(~_fold(5)))
+    found = toxicity.tag(docs, model)
+    return found.select(
+        "doc_id", _fold(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_words", F.size("spans").alias("n_spans")
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from four fifths of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels").where(~_fold(5)))
+    return quality.score(docs, model).select("doc_id", _fold(5).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents in a public byte-level vocabulary, and back."""
     import public_tokenizers
@@ -46,6 +63,8 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
+    "op3_toxicity": op3_toxicity,
+    "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op10_lm": op10_lm,
 }
