@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import crf, labelled, tokens
 
-#: Words with a weight of their own, and among them the markers whose neighbours get one too.
-VOCABULARY, MARKERS = 4096, 512
+#: Words and beginnings of words with a weight of their own, and among them the markers whose neighbours get one too.
+VOCABULARY, MARKERS = 8192, 1024
+#: Bytes of the beginnings, which longer words share with other forms of themselves.
+BEGINNINGS = (4, 5, 6)
 #: How sure it has to be that a marker stands in toxic texts more often than in others: the exponent of a tail bound.
 EVIDENCE = 20.0
 #: Words of a training sequence.  Those around a marker all count, of the others every ``SPARSE``-th.
@@ -22,6 +24,20 @@ SEGMENT, SPARSE = 32, 16
 SPAN = 0.5
 
 
+def units(w: tokens.Words) -> np.ndarray:
+    """Hashes of each word and of its beginnings; 0 where the word is too short for one."""
+    out = np.zeros((len(w.hash), 1 + len(BEGINNINGS)), np.uint64)
+    out[:, 0] = w.hash
+    length = w.end - w.start
+    for k, size in enumerate(BEGINNINGS, 1):
+        some = np.flatnonzero(length > size)
+        h = np.full(len(some), size, np.uint64)
+        for j in range(size):
+            h = h * np.uint64(0x100000001B3) + w.buf[w.start[some] + j]
+        out[some, k] = tokens.mix64(h)
+    return out
+
+
 @dataclass
 class Model:
     vocabulary: np.ndarray
@@ -29,22 +45,25 @@ class Model:
     field: crf.Field
     beta: np.ndarray
 
+    def marked(self, places: np.ndarray) -> np.ndarray:
+        return np.append(self.marker, False)[places].any(axis=1)
+
     def features(self, places: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Of each word: itself, the marker before it, the marker after it."""
-        size = len(self.vocabulary)
-        marker = np.append(self.marker, -1)[places]
-        before, after = np.full(len(places), -1), np.full(len(places), -1)
-        before[1:], after[:-1] = marker[:-1], marker[1:]
-        edge = first[:-1][np.diff(first) > 0]
-        before[edge] = -1
-        ends = first[1:][np.diff(first) > 0] - 1
-        after[ends] = -1
-        return np.column_stack([places, np.where(before >= 0, size, -1), np.where(after >= 0, size + 1, -1), np.full(len(places), size + 2)])
+        """Of each word: its units, whether a marker is before it or after it, a constant."""
+        size, n = len(self.vocabulary), len(places)
+        marked = self.marked(places)
+        before, after = np.full(n, -1), np.full(n, -1)
+        before[1:][marked[:-1]] = size
+        after[:-1][marked[1:]] = size + 1
+        some = np.diff(first) > 0
+        before[first[:-1][some]] = -1
+        after[first[1:][some] - 1] = -1
+        return np.column_stack([places, before, after, np.full(n, size + 2)])
 
     def marginals(self, w: tokens.Words, index: tokens.Index) -> np.ndarray:
         if not len(w.hash):
             return np.zeros(0)
-        return self.field.tag(self.features(index.find(w.hash), w.first), w.first)
+        return self.field.tag(self.features(index.find(units(w).ravel()).reshape(len(w.hash), -1), w.first), w.first)
 
 
 def _summed(p: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -62,49 +81,53 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
     """A field over words, from labelled documents.
 
     Which words of a toxic document are toxic isn't labelled, so words are
-    tagged first: markers are words that toxic documents hold far more often than
-    chance would have it, near copies counting once.  The field learns from
+    tagged first: markers are words, or beginnings of words, that toxic documents
+    hold far more often than chance would have it, near copies counting once.  The field learns from
     those tags; what its marginals say of a document is then weighed against
     the documents' own labels.
     """
     number = labelled.counts(labels, label_col)
-    ys, hashes = [], []
+    ys, found = [], []
     for y, text in labelled.sample(docs, labels, label_col):
         for _, _, w in tokens.text_chunks(pa.array([text], pa.string())):
             ys.append(y)
-            hashes.append(w.hash)
+            found.append(units(w))
     y = np.array(ys, int)
-    first = np.concatenate([[0], np.cumsum([len(h) for h in hashes])]).astype(np.int64)
-    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
-    words, at = np.unique(flat, return_inverse=True)
+    first = np.concatenate([[0], np.cumsum([len(h) for h in found])]).astype(np.int64)
+    flat = np.concatenate([np.zeros((0, 1 + len(BEGINNINGS)), np.uint64), *found])
+    names, at = np.unique(flat, return_inverse=True)
     doc = np.repeat(np.arange(len(y)), np.diff(first))
-    own = np.unique(doc * max(1, len(words)) + at)
-    d, k = own // max(1, len(words)), own % max(1, len(words))
+    size = max(1, len(names))
+    own = np.unique((doc[:, None] * size + at.reshape(flat.shape)).ravel())
+    d, k = own // size, own % size
     n1, n0 = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    pos = np.bincount(k[y[d] == 1], minlength=len(words)) if len(words) else np.zeros(0)
-    neg = np.bincount(k[y[d] == 0], minlength=len(words)) if len(words) else np.zeros(0)
+    pos = np.bincount(k[y[d] == 1], minlength=size).astype(float)
+    neg = np.bincount(k[y[d] == 0], minlength=size).astype(float)
+    if len(names) and names[0] == 0:
+        pos[0] = neg[0] = 0
     odds = np.log((pos + 0.1) / n1) - np.log((neg + 0.1) / n0)
-    share, q = (pos + 1e-9) / (pos + neg + 1e-9), n1 / (n1 + n0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        bound = (pos + neg) * (share * np.log(share / q) + np.nan_to_num((1 - share) * np.log((1 - share) / (1 - q))))
-    evidence = np.where(odds > 1.5, bound, 0)
-    markers = np.argsort(-evidence, kind="stable")[:MARKERS] if len(words) else np.zeros(0, int)
-    markers = markers[evidence[markers] >= EVIDENCE]
-    strong = np.argsort(-(np.abs(odds) * np.sqrt(pos + neg)), kind="stable") if len(words) else np.zeros(0, int)
-    chosen = np.unique(np.concatenate([markers, strong[: VOCABULARY - len(markers)]]))
-    vocabulary = words[chosen]
-    marker = np.where(np.isin(chosen, markers), 0, -1)
-    model = Model(vocabulary, marker, crf.Field(np.zeros(len(vocabulary) + 3), np.zeros((2, 2)), np.zeros(2)), np.zeros(4))
-    places = tokens.Index(vocabulary).find(flat)
-    tags = (np.append(marker, -1)[places] >= 0) & (y[doc] == 1) if len(flat) else np.zeros(0, bool)
+    share, q = (pos + 1e-9) / (pos + neg + 2e-9), n1 / (n1 + n0)
+    bound = (pos + neg) * (share * np.log(share / q) + (1 - share) * np.log((1 - share) / (1 - q)))
+    evidence = np.where(odds > 2, bound, 0)
+    best = np.argsort(-evidence, kind="stable")[:MARKERS]
+    best = best[evidence[best] >= EVIDENCE]
+    strong = np.argsort(-bound, kind="stable")[: VOCABULARY - len(best)]
+    chosen = np.unique(np.concatenate([best, strong[bound[strong] >= 3]])).astype(int)
+    chosen = chosen[names[chosen] != 0] if len(names) else chosen[:0]
+    vocabulary = names[chosen]
+    width = len(vocabulary) + 3
+    model = Model(vocabulary, np.isin(chosen, best), crf.Field(np.zeros(width), np.zeros((2, 2)), np.zeros(2)), np.zeros(4))
+    places = tokens.Index(vocabulary).find(flat.ravel()).reshape(flat.shape)
     features = model.features(places, first)
     if len(flat):
+        marked = model.marked(places)
         cuts = np.unique(np.concatenate([np.arange(a, b, SEGMENT) for a, b in zip(first, first[1:], strict=False)] + [first[-1:]]))
-        near = np.add.reduceat(np.append(marker, -1)[places] >= 0, cuts[:-1]) > 0
+        near = np.add.reduceat(marked.astype(int), cuts[:-1]) > 0
         near |= np.arange(len(near)) % SPARSE == 0
         used = np.repeat(near, np.diff(cuts))
         heads = np.concatenate([[0], np.cumsum(np.diff(cuts)[near])])
-        model.field = crf.train(features[used], tags[used].astype(int), heads, len(vocabulary) + 3)
+        tags = marked & (y[doc] == 1)
+        model.field = crf.train(features[used], tags[used].astype(int), heads, width)
     weights = np.where(y == 1, number[1] / n1, number[0] / n0)
     if len(y):
         model.beta = crf.logistic(_summed(model.field.tag(features, first), first), y, weights)
