@@ -88,29 +88,84 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a block key that their minima don't rule out.
+#: Pairs for each row of a block that are checked by themselves; a block with more is checked within its task.
+DIRECT = 4
 
-    Rows come sorted by key (bucket, i, j); ``mine`` is the row's own block.
-    """
+
+def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a block's rows (see ``near_duplicates``): a row, and the rows that its minima don't rule out as partners."""
+    comp = group.column("comp").to_numpy()
+    size = group.column("n").to_numpy()
+    mine = group.column("mine").to_numpy()
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(comp), -1)
+    left = np.arange(len(comp)) if i == j else np.flatnonzero(mine == i)
+    right = left if i == j else np.flatnonzero(mine == j)
+    for k in left:
+        others = right[right > k] if i == j else right
+        others = others[(comp[others] != comp[k]) & (100 * np.minimum(size[others], size[k]) >= PERCENT * np.maximum(size[others], size[k]))]
+        others = others[(sig[others] == sig[k]).sum(axis=1) >= AGREE] if len(others) else others
+        if len(others):
+            yield int(k), others
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (a, b) of different components in a block; of a block with many, its key instead."""
     for group in whole_groups(batches, ["bucket", "i", "j"]):
         rep = group.column("rep").to_numpy()
-        comp = group.column("comp").to_numpy()
-        size = group.column("n").to_numpy()
-        mine = group.column("mine").to_numpy()
-        inner = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
-        left = np.arange(len(rep)) if inner else np.flatnonzero(mine == group.column("i")[0].as_py())
-        right = left if inner else np.flatnonzero(mine == group.column("j")[0].as_py())
         a, b = [], []
-        for k in left:
-            others = right[right > k] if inner else right
-            others = others[(comp[others] != comp[k]) & (100 * np.minimum(size[others], size[k]) >= PERCENT * np.maximum(size[others], size[k]))]
-            others = others[(sig[others] == sig[k]).sum(axis=1) >= AGREE] if len(others) else others
+        for k, others in _candidates(group):
             a += [rep[k]] * len(others)
             b += rep[others].tolist()
+            if len(a) > DIRECT * len(rep):
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 2 + [group.column(c).slice(0, 1).combine_chunks() for c in ("bucket", "i", "j")], names=["a", "b", "bucket", "i", "j"])
+                break
+        else:
+            if a:
+                none = [pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), *none], names=["a", "b", "bucket", "i", "j"])
+
+
+def _linked_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links of a block whose rows carry their shingle sets; one for two components that it joins."""
+    for group in whole_groups(batches, ["bucket", "i", "j"]):
+        rep, comp = group.column("rep").to_numpy(), group.column("comp").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("own").to_pylist()]
+        up: dict[int, int] = {}
+
+        def root(c: int, up: dict[int, int] = up) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        a, b = [], []
+        for k, others in _candidates(group):
+            for o in others:
+                x, y = root(int(comp[k])), root(int(comp[o]))
+                if x != y and similar(sets[k], sets[o]):
+                    up[max(x, y)] = min(x, y)
+                    a.append(min(rep[k], rep[o]))
+                    b.append(max(rep[k], rep[o]))
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets have the least Jaccard similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    shared = int((y[at] == x).sum()) if len(y) else 0
+    return shared > 0 and 100 * shared >= PERCENT * (len(x) + len(y) - shared)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi, w in tokens.text_chunks(batch.column(1)):
+            runs, first = tokens.shingles(w, SHINGLE)
+            own = [np.unique(runs[first[d] : first[d + 1]]).tobytes() for d in range(hi - lo)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], names=["rep", "own"])
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -149,10 +204,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 runs, first = tokens.shingles(w, SHINGLE)
                 own += [np.unique(runs[first[d] : first[d + 1]]) for d in range(hi - lo)]
             sets.append(own)
-        keep = []
-        for x, y in zip(*sets, strict=True):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both) and both > 0)
+        keep = [similar(x, y) for x, y in zip(*sets, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -177,7 +229,8 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     Within a band's bucket, all rows are first compared with the smallest id
     alone, so that a group of near copies costs its size.  Only buckets that
     hold several components after that are compared row by row, in blocks, and
-    only rows of different components.
+    only rows of different components.  A block with many candidate pairs is
+    checked within its task, on the sets, and gives only links.
     """
     store = store or Store(docs.sparkSession, "minhash")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -213,11 +266,16 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
         .join(reps.select("rep", "n", "sig"), "rep")
         .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp", "n", "sig")
     )
-    second = store.put(
-        dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_agreeing, "a long, b long").distinct().join(first, ["a", "b"], "left_anti"),
+    looked = store.put(
+        dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_agreeing, "a long, b long, bucket long, i int, j int"),
         "leftovers",
     )
-    more = verify(second, texts)
+    second = looked.where("a IS NOT NULL").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    crowded = dealt.join(looked.where("a IS NULL").select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi")
+    inside = crowded.select("rep").distinct().join(texts.select(F.col("id").alias("rep"), "text"), "rep").select("rep", "text")
+    own = store.put(inside.mapInArrow(_sets, "rep long, own binary").dropDuplicates(["rep", "own"]), "sets")
+    within = crowded.join(own, "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    more = verify(second, texts).union(within.mapInArrow(_linked_within, "a long, b long"))
     to_a = found.select(F.col("v").alias("a"), F.col("component").alias("ca"))
     to_b = found.select(F.col("v").alias("b"), F.col("component").alias("cb"))
     joined = more.join(to_a, "a", "left").join(to_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))

@@ -77,9 +77,9 @@ WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct([array_to_string(ws[i:i+4], ' ') FOR i IN range(1, len(ws) - 3)]) END AS sh
+    ELSE list_sort(list_distinct([array_to_string(ws[i:i+4], ' ') FOR i IN range(1, len(ws) - 3)])) END AS sh
   FROM w),
-sets AS (SELECT min(doc_id) AS rep, list_sort(sh) AS sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY list_sort(sh)),
+sets AS (SELECT min(doc_id) AS rep, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
 e AS (SELECT rep, n, unnest(sh) AS g FROM sets),
 p AS (
   SELECT a.rep AS a, b.rep AS b, count(*) AS n2, any_value(a.n) AS na, any_value(b.n) AS nb
@@ -89,6 +89,6 @@ two AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach AS (SELECT rep AS v, rep AS c FROM sets UNION SELECT reach.v, two.b FROM reach JOIN two ON reach.c = two.a),
 comp AS (SELECT v, min(c) AS c FROM reach GROUP BY v)
 SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(comp.c, s.doc_id) AS component_id, coalesce(comp.c, s.doc_id) = s.doc_id AS kept
-FROM s LEFT JOIN sets ON list_sort(s.sh) = sets.sh LEFT JOIN comp ON comp.v = sets.rep
+FROM s LEFT JOIN sets ON s.sh = sets.sh LEFT JOIN comp ON comp.v = sets.rep
 """,
 }
