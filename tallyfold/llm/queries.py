@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, lm, minhash, quality, toxicity
+from tallyfold.llm import bpe, lm, minhash, mixing, quality, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document."""
+    return mixing.curriculum(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from four fifths of the labelled ones."""
     docs = _table(spark, sf_dir, "documents")
@@ -64,6 +69,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op3_toxicity": op3_toxicity,
+    "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
     "op10_lm": op10_lm,
@@ -90,5 +96,22 @@ reach AS (SELECT rep AS v, rep AS c FROM sets UNION SELECT reach.v, two.b FROM r
 comp AS (SELECT v, min(c) AS c FROM reach GROUP BY v)
 SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(comp.c, s.doc_id) AS component_id, coalesce(comp.c, s.doc_id) = s.doc_id AS kept
 FROM s LEFT JOIN sets ON s.sh = sets.sh LEFT JOIN comp ON comp.v = sets.rep
+""",
+    "op5_mixing": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+n AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM s),
+w AS (SELECT *, [5.0, 2.0, 1.0][1 + place % 3]::DOUBLE AS weight, sum(source_size) OVER () AS total FROM n),
+f AS (SELECT *, 3 * source_size / weight AS fullness FROM w),
+l AS (SELECT *, (total - coalesce(sum(3 * source_size) OVER (ORDER BY fullness, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY fullness, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM f),
+line AS (SELECT arg_min(lv, fullness) AS line FROM l WHERE fullness > lv),
+t AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0 WHEN fullness <= line THEN 3.0 * source_size ELSE line * weight END::DOUBLE AS target FROM l, line),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size / 2 AS middle
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, CASE WHEN size = 0 OR target <= middle THEN 0 ELSE least(3, ceil((target - middle) / source_size)) END AS n FROM p)
+SELECT doc_id, size, source_size, target, CAST(n * size AS BIGINT) AS taken, source, CAST(n AS INTEGER) AS copies FROM c
 """,
 }
