@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, lm, minhash, mixing, quality, toxicity
+from tallyfold.llm import bpe, lm, minhash, mixing, quality, rules, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def _fold(of: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == 0, F.lit(False))
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of quality on all documents, with cutoffs that all labelled ones vouch for."""
+    return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probabilities of all documents under what nine tenths of them teach."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", _fold(10))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
+    "op9_rules": op9_rules,
     "op10_lm": op10_lm,
 }
 
