@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, lm, minhash, mixing, quality, rules, toxicity
+from tallyfold.llm import bpe, forest, lm, minhash, mixing, quality, rules, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings."""
+    return forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of each document."""
     return mixing.curriculum(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -74,6 +79,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op3_toxicity": op3_toxicity,
+    "op4_forest": op4_forest,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
