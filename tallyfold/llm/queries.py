@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, forest, lm, minhash, mixing, quality, rules, toxicity
+from tallyfold.llm import bpe, forest, lm, minhash, mixing, quality, rules, sharding, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def _fold(of: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == 0, F.lit(False))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal row counts, equal texts together."""
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules of quality on all documents, with cutoffs that all labelled ones vouch for."""
     return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_bpe": op7_bpe,
+    "op8_sharding": op8_sharding,
     "op9_rules": op9_rules,
     "op10_lm": op10_lm,
 }
