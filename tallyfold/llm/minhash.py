@@ -20,8 +20,6 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 5
 #: Rows of a bucket that one task compares with each other; a larger bucket goes as pairs of blocks.
 BLOCK = 256
-#: Pairs that agree in fewer minima than four and a half deviations under the limit are not looked at again.
-AGREE = int(BANDS * ROWS * (PERCENT / 100 - 4.5 * (PERCENT / 100 * (1 - PERCENT / 100) / (BANDS * ROWS)) ** 0.5))
 
 _U32 = np.uint32
 
@@ -92,6 +90,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 DIRECT = 4
 
 
+def _least_agreeing(size: int) -> int:
+    """Pairs that agree in fewer of ``size`` minima than four and a half deviations under the limit are not looked at again."""
+    share = PERCENT / 100
+    return int(size * (share - 4.5 * (share * (1 - share) / size) ** 0.5))
+
+
 def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     """Of a block's rows (see ``near_duplicates``): a row, and the rows that its minima don't rule out as partners."""
     comp = group.column("comp").to_numpy()
@@ -99,12 +103,13 @@ def _candidates(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     mine = group.column("mine").to_numpy()
     i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(comp), -1)
+    enough = _least_agreeing(sig.shape[1])
     left = np.arange(len(comp)) if i == j else np.flatnonzero(mine == i)
     right = left if i == j else np.flatnonzero(mine == j)
     for k in left:
         others = right[right > k] if i == j else right
         others = others[(comp[others] != comp[k]) & (100 * np.minimum(size[others], size[k]) >= PERCENT * np.maximum(size[others], size[k]))]
-        others = others[(sig[others] == sig[k]).sum(axis=1) >= AGREE] if len(others) else others
+        others = others[(sig[others] == sig[k]).sum(axis=1) >= enough] if len(others) else others
         if len(others):
             yield int(k), others
 
@@ -215,34 +220,16 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_shingles, component_id, kept.
+def link(reps: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+    """(rep, component) of ``reps(rep, n, sig, bands)``, by verified similarity of ``texts(id, text)``.
 
-    Documents are linked if the Jaccard similarity of their sets of 5-word
-    shingles is at least 0.75, confirmed on the full sets; component_id is the
-    smallest id that links lead to, the row's own included, and kept says that
-    this is its own.  Texts that are null, empty or without words have an empty
-    set and no links.  Rows of equal sets are one class, compared once, however
-    many there are.  A row without an id has no component and is kept; rows of
-    the same id stand for themselves.  Other columns are not read.
-
-    Within a band's bucket, all rows are first compared with the smallest id
+    Within a band's bucket, all rows are first compared with the smallest rep
     alone, so that a group of near copies costs its size.  Only buckets that
     hold several components after that are compared row by row, in blocks, and
     only rows of different components.  A block with many candidate pairs is
     checked within its task, on the sets, and gives only links.
     """
-    store = store or Store(docs.sparkSession, "minhash")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = store.put(source.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>, sig binary"), "sketch")
-    full = sketch.where("n > 0 AND id IS NOT NULL")
-    classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
-    reps = store.put(
-        full.join(classes, "digest").where("id = rep").select("rep", "n", "sig", "bands").dropDuplicates(["rep", "sig", "n"]), "reps"
-    )
     rows = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    texts = source.where("id IS NOT NULL")
-
     stars = rows.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members"), F.min_by("n", "rep").alias("cn")).where("members > 1")
     first = store.put(
         rows.join(stars, "bucket")
@@ -251,6 +238,8 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
         .distinct(),
         "stars",
     )
+    crowd = rows.join(stars.select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("id")).distinct()
+    texts = store.put(texts.join(crowd, "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
     links = store.put(verify(first, texts), "links-1")
     found = components(links, store, "cc1")
 
@@ -280,14 +269,43 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     to_b = found.select(F.col("v").alias("b"), F.col("component").alias("cb"))
     joined = more.join(to_a, "a", "left").join(to_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     over = components(joined, store, "cc2").select(F.col("v").alias("comp"), F.col("component").alias("over"))
+    return (
+        reps.select("rep")
+        .distinct()
+        .join(found.select(F.col("v").alias("rep"), "component"), "rep", "left")
+        .select("rep", F.coalesce("component", "rep").alias("comp"))
+        .join(over, "comp", "left")
+        .select("rep", F.coalesce("over", "comp").alias("component"))
+    )
+
+
+def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: id, n_shingles, component_id, kept.
+
+    Documents are linked if the Jaccard similarity of their sets of 5-word
+    shingles is at least 0.75, confirmed on the full sets; component_id is the
+    smallest id that links lead to, the row's own included, and kept says that
+    this is its own.  Texts that are null, empty or without words have an empty
+    set and no links.  Rows of equal sets are one class, compared once, however
+    many there are.  A row without an id has no component and is kept; rows of
+    the same id stand for themselves.  Other columns are not read.
+    """
+    store = store or Store(docs.sparkSession, "minhash")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sketch = store.put(source.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>, sig binary"), "sketch")
+    full = sketch.where("n > 0 AND id IS NOT NULL")
+    classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
+    reps = store.put(
+        full.join(classes, "digest").where("id = rep").select("rep", "n", "sig", "bands").dropDuplicates(["rep", "sig", "n"]), "reps"
+    )
+    texts = source.where("id IS NOT NULL")
+    linked = link(reps, texts, store)
 
     members = (
         full.select("id", "n", "digest")
         .join(classes, "digest")
-        .join(found.select(F.col("v").alias("rep"), "component"), "rep", "left")
-        .select("id", "n", F.coalesce("component", "rep").alias("comp"))
-        .join(over, "comp", "left")
-        .select("id", "n", F.coalesce("over", "comp").alias("component_id"))
+        .join(linked, "rep")
+        .select("id", "n", F.col("component").alias("component_id"))
     )
     alone = sketch.where("NOT (n > 0 AND id IS NOT NULL)").select("id", "n", F.col("id").alias("component_id"))
     return members.union(alone).select(
