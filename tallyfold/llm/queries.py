@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, forest, lm, minhash, mixing, quality, rules, sharding, toxicity
+from tallyfold.llm import bpe, forest, lm, minhash, mixing, passages, quality, rules, sharding, toxicity
 from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that stand elsewhere before."""
+    cleaned = passages.cut(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.size("cut_lines").alias("n_cut"), "cut_lines", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars_left"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from four fifths of the labelled ones."""
     docs = _table(spark, sf_dir, "documents")
@@ -83,6 +89,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
+    "op2_passages": op2_passages,
     "op3_toxicity": op3_toxicity,
     "op4_forest": op4_forest,
     "op5_mixing": op5_mixing,
