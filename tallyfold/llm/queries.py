@@ -87,6 +87,13 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, model, store, carry=("held_out",))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_passages": op2_passages,
@@ -98,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_rules": op9_rules,
     "op10_lm": op10_lm,
+    "pipeline": pipeline,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
