@@ -166,7 +166,7 @@ def _spans(p: np.ndarray, w: tokens.Words) -> pa.Array:
     lead = np.ones(len(hit), bool)
     lead[1:] = (np.diff(hit) > 1) | (doc[1:] != doc[:-1])
     begins = np.flatnonzero(lead)
-    ends = np.append(begins[1:], len(hit)) - 1
+    ends = np.append(begins[1:], len(hit))[: len(begins)] - 1
     points = np.concatenate([[0], np.cumsum((w.buf & 0xC0) != 0x80)])
     of = doc[begins] if len(begins) else np.zeros(0, int)
     base = points[w.off[of]]
