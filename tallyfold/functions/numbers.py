@@ -41,11 +41,15 @@ def duration_text(seconds: Column) -> Column:
     return F.when(s < 60, F.format_string("%ds", s)).when(s < 3600, F.format_string("%dm %ds", m, r)).otherwise(F.format_string("%dh %dm %ds", h, m, r))
 
 
+def _one_digit(x: Column) -> Column:
+    return F.call_function("format_number", x.cast("double"), F.lit("0.0"))
+
+
 def size_text(size: Column) -> Column:
     """Bytes with one decimal in the unit that leaves less than 1024."""
-    out = F.concat(F.format_number(size / float(1024**4), "0.0"), F.lit(" TB"))
+    out = F.concat(_one_digit(size / float(1024**4)), F.lit(" TB"))
     for k, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
-        out = F.when(size < float(1024 ** (k + 1)), F.concat(F.format_number(size / float(1024**k), "0.0"), F.lit(f" {unit}"))).otherwise(out)
+        out = F.when(size < float(1024 ** (k + 1)), F.concat(_one_digit(size / float(1024**k)), F.lit(f" {unit}"))).otherwise(out)
     return out
 
 

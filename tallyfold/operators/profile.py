@@ -78,4 +78,4 @@ def histogram(rows: DataFrame, value: str, bins: int) -> DataFrame:
 
 def month_pivot(rows: DataFrame, month: Column, kind: str, values: list[str]) -> DataFrame:
     """Counts by month, one column for each of ``values``."""
-    return rows.groupBy(month.alias("month")).pivot(kind, values).agg(F.count("*")).fillna(0, values)
+    return rows.groupBy(month.alias("month")).pivot(kind, values).agg(F.count(F.lit(1))).fillna(0, values)
