@@ -15,6 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A vocabulary file may be broadcast up to this size.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -301,4 +302,4 @@ def decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
             yield batch.append_column("decoded", pa.array(out, pa.binary()))
 
     kept = rows.drop("decoded")
-    return kept.mapInArrow(run, kept.schema.add("decoded", "binary"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())]))
