@@ -13,8 +13,9 @@ from pyspark.sql.window import Window
 
 from tallyfold.llm.store import Store
 
-#: The share of good documents of a stratum that a rule may reject, and the chance that any rule of any stratum exceeds it.
-RISK, DOUBT = 0.02, 0.05
+#: The share of good documents of a stratum that all rules together may reject (each an equal part of it), and the
+#: chance that any rule of any stratum exceeds its part.
+RISK, DOUBT = 0.01, 0.05
 #: Words in a window that counts as repeated if it stands twice in a text.
 WINDOW = 8
 #: Words from which a text belongs to the next stratum.
@@ -107,14 +108,14 @@ def rates() -> dict[str, Column]:
     }
 
 
-def _grade(rule: str) -> Column:
-    """How many of a rule's cutoffs reject the row."""
+def _first_cutoff(rule: str) -> Column:
+    """The place, from 1, of the first of a rule's cutoffs that rejects the row; all after it do too."""
     way, cutoffs = RULES[rule]
     value = rates()[rule]
     out = F.lit(0)
     for c in cutoffs:
         out = out + (value > c if way == "above" else value < c).cast("int")
-    return out.cast("int")
+    return (len(cutoffs) + 1 - out).cast("int")
 
 
 def _log_factorial(n: Column) -> Column:
@@ -151,7 +152,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, label_col: str = "quality",
     """(stratum, rule, step): of each rule's cutoffs, how many hold in a stratum.
 
     Of the good labelled documents that pass the base, x of n would be rejected
-    by a cutoff.  If the true share were above ``risk``, x or fewer would come up
+    by a cutoff.  If the true share were above the rule's part of ``risk``, x or fewer would come up
     with at most the binomial tail's chance.  The cutoffs of a rule are tested
     in order and the first that can't be told from a bad one ends the series,
     which keeps the series' error at one test's; the doubt is shared equally by
@@ -160,16 +161,16 @@ def cutoffs(measured: DataFrame, labels: DataFrame, label_col: str = "quality",
     level = doubt / (len(RULES) * (len(STRATA) + 1))
     good = labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     held = measured.where(~base_failed()).join(good, "doc_id", "left_semi")
-    graded = held.select(stratum().alias("stratum"), F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _grade(r).alias("grade")) for r in RULES])).alias("g"))
-    counted = graded.groupBy("stratum", "g.rule", "g.grade").agg(F.count("*").alias("n"))
+    graded = held.select(stratum().alias("stratum"), F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _first_cutoff(r).alias("at")) for r in RULES])).alias("g"))
+    counted = graded.groupBy("stratum", "g.rule", "g.at").agg(F.count("*").alias("n"))
     # at most strata * rules * (cutoffs + 1) rows from here on
     most = max(len(c) for _, c in RULES.values())
     of = Window.partitionBy("stratum", "rule")
-    tried = counted.groupBy("stratum", "rule").agg(F.sum("n").alias("n"), F.collect_list(F.struct("grade", "n")).alias("by")).select(
+    tried = counted.groupBy("stratum", "rule").agg(F.sum("n").alias("n"), F.collect_list(F.struct("at", "n")).alias("by")).select(
         "stratum", "rule", "n", "by", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("step")
     )
-    rejected = tried.select("stratum", "rule", F.col("n").cast("double").alias("n"), "step", F.aggregate("by", F.lit(0).cast("long"), lambda a, g: a + F.when(g["grade"] >= F.col("step"), g["n"]).otherwise(0)).cast("double").alias("x"))
-    tested = rejected.withColumn("safe", binomial_tail(F.col("x"), F.col("n"), risk) <= level)
+    rejected = tried.select("stratum", "rule", F.col("n").cast("double").alias("n"), "step", F.aggregate("by", F.lit(0).cast("long"), lambda a, g: a + F.when(g["at"] <= F.col("step"), g["n"]).otherwise(0)).cast("double").alias("x"))
+    tested = rejected.withColumn("safe", binomial_tail(F.col("x"), F.col("n"), risk / len(RULES)) <= level)
     first_bad = F.min(F.when(~F.col("safe"), F.col("step"))).over(of)
     return tested.withColumn("bad", first_bad).groupBy("stratum", "rule").agg(F.max(F.coalesce(F.col("bad") - 1, F.lit(most))).cast("int").alias("step"))
 
