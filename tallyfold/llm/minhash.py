@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -220,8 +220,11 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long")
 
 
-def link(reps: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
-    """(rep, component) of ``reps(rep, n, sig, bands)``, by verified similarity of ``texts(id, text)``.
+def link(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store) -> DataFrame:
+    """(rep, component) of ``reps(rep, n, sig, bands)``, by verified similarity of their texts.
+
+    Reps that share no bucket with another are left out.  ``texts`` gives
+    (id, text) of at least the reps in a table (rep).  A rep may come up repeatedly.
 
     Within a band's bucket, all rows are first compared with the smallest rep
     alone, so that a group of near copies costs its size.  Only buckets that
@@ -229,23 +232,28 @@ def link(reps: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     only rows of different components.  A block with many candidate pairs is
     checked within its task, on the sets, and gives only links.
     """
-    rows = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    stars = rows.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members"), F.min_by("n", "rep").alias("cn")).where("members > 1")
+    rows = reps.select("rep", F.explode("bands").alias("bucket"))
+    stars = rows.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
+    # from here on only buckets that hold different sets
+    shared = store.put(rows.join(stars.select("bucket", "centre"), "bucket").distinct(), "shared")
+    crowd = store.put(shared.select("rep").distinct(), "crowd")
+    reps = store.put(reps.select("rep", "n", "sig").join(crowd, "rep", "left_semi").dropDuplicates(["rep"]), "involved")
+    sizes = reps.select("rep", "n")
+    texts = store.put(texts(crowd).join(crowd.withColumnRenamed("rep", "id"), "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
     first = store.put(
-        rows.join(stars, "bucket")
-        .where(f"rep <> centre AND 100 * least(n, cn) >= {PERCENT} * greatest(n, cn)")
-        .select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-        .distinct(),
+        shared.where("rep <> centre")
+        .select("rep", "centre")
+        .distinct()
+        .join(sizes, "rep")
+        .join(sizes.select(F.col("rep").alias("centre"), F.col("n").alias("cn")), "centre")
+        .where(f"100 * least(n, cn) >= {PERCENT} * greatest(n, cn)")
+        .select(F.col("centre").alias("a"), F.col("rep").alias("b")),
         "stars",
     )
-    crowd = rows.join(stars.select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("id")).distinct()
-    texts = store.put(texts.join(crowd, "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
     links = store.put(verify(first, texts), "links-1")
     found = components(links, store, "cc1")
 
-    named = rows.join(found.select(F.col("v").alias("rep"), F.col("component")), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("comp")
-    )
+    named = shared.join(found.select(F.col("v").alias("rep"), F.col("component")), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = named.groupBy("bucket").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("members > 2 AND lo <> hi")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
@@ -270,9 +278,7 @@ def link(reps: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     joined = more.join(to_a, "a", "left").join(to_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     over = components(joined, store, "cc2").select(F.col("v").alias("comp"), F.col("component").alias("over"))
     return (
-        reps.select("rep")
-        .distinct()
-        .join(found.select(F.col("v").alias("rep"), "component"), "rep", "left")
+        crowd.join(found.select(F.col("v").alias("rep"), "component"), "rep", "left")
         .select("rep", F.coalesce("component", "rep").alias("comp"))
         .join(over, "comp", "left")
         .select("rep", F.coalesce("over", "comp").alias("component"))
@@ -298,14 +304,13 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     reps = store.put(
         full.join(classes, "digest").where("id = rep").select("rep", "n", "sig", "bands").dropDuplicates(["rep", "sig", "n"]), "reps"
     )
-    texts = source.where("id IS NOT NULL")
-    linked = link(reps, texts, store)
+    linked = link(reps, lambda _: source.where("id IS NOT NULL"), store)
 
     members = (
         full.select("id", "n", "digest")
         .join(classes, "digest")
-        .join(linked, "rep")
-        .select("id", "n", F.col("component").alias("component_id"))
+        .join(linked, "rep", "left")
+        .select("id", "n", F.coalesce("component", "rep").alias("component_id"))
     )
     alone = sketch.where("NOT (n > 0 AND id IS NOT NULL)").select("id", "n", F.col("id").alias("component_id"))
     return members.union(alone).select(

@@ -84,8 +84,37 @@ def _sketch(least: int):
     return run
 
 
-def _texts(least: int):
+#: Bits of the filter that says which passages' texts are asked for, and bits that each name sets.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 2
+
+
+def _bits(names: np.ndarray) -> np.ndarray:
+    h = tokens.mix64(names.view(np.uint64))
+    return np.stack([(h >> np.uint64(38 * k)) & np.uint64(FILTER_BITS - 1) for k in range(FILTER_HASHES)])
+
+
+def _filter(crowd: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``crowd(rep)``: 8 MB, however many there are; it lets through too much rather than too little."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(FILTER_BITS // 64, np.uint64)
+        for batch in batches:
+            at = _bits(batch.column(0).to_numpy().astype(np.int64)).ravel()
+            np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        used = np.flatnonzero(own)
+        for lo in range(0, len(used), 50_000):
+            part = used[lo : lo + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(own[part].view(np.int64))], names=["word", "bits"])
+
+    found = crowd.select("rep").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+def _texts(least: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = wanted.value
         for batch in batches:
             seen: set[int] = set()
             buf, off = tokens.buffers(batch.column(0))
@@ -93,8 +122,11 @@ def _texts(least: int):
                 w, _, _, span = _lines(buf, off[lo : hi + 1], least)
                 part = buf[int(off[lo]) : int(off[hi])]
                 names, texts = [], []
-                for (_, name), (a, b) in zip(_sets(w), span.tolist(), strict=True):
-                    if name not in seen:
+                found = [name for _, name in _sets(w)]
+                at = _bits(np.array(found, np.int64))
+                asked = (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).all(axis=0)
+                for name, ask, (a, b) in zip(found, asked.tolist(), span.tolist(), strict=True):
+                    if ask and name not in seen:
                         seen.add(name)
                         names.append(name)
                         texts.append(part[a:b].tobytes().decode("utf-8", "replace"))
@@ -117,11 +149,15 @@ def repeats(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id",
     store = store or Store(docs.sparkSession, "passages")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     sketch = store.put(source.mapInArrow(_sketch(least), "id long, line int, rep long, n long, sig binary, bands array<long>"), "sketch")
-    reps = store.put(sketch.where("sig IS NOT NULL").select("rep", "n", "sig", "bands").dropDuplicates(["rep"]), "reps")
-    texts = source.select("text").mapInArrow(_texts(least), "id long, text string")
+    reps = sketch.where("sig IS NOT NULL").select("rep", "n", "sig", "bands")
+
+    def texts(crowd: DataFrame) -> DataFrame:
+        wanted = docs.sparkSession.sparkContext.broadcast(_filter(crowd))
+        return source.select("text").mapInArrow(_texts(least, wanted), "id long, text string")
+
     linked = minhash.link(reps, texts, store)
     places = sketch.groupBy("rep").agg(F.count("*").alias("times"), F.min(F.struct("id", "line")).alias("first"))
-    named = places.join(linked, "rep")
+    named = places.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     groups = named.groupBy("component").agg(F.sum("times").alias("times"), F.min("first").alias("first")).where("times > 1")
     of_rep = store.put(named.select("rep", "component").join(groups.select("component", "first"), "component"), "groups")
     return (

@@ -31,7 +31,10 @@ class Store:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        schema = df.schema
+        # Spark deletes the shuffle files behind the table once the driver has collected what refers to them
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm

@@ -71,7 +71,7 @@ def test_position_inverts_the_schedule(spark):
 
 @pytest.mark.parametrize("n", [5, 24, 500])
 def test_shards_are_even_and_keep_groups(spark, table, make, n):
-    docs = [(k, make(k % (n // 2 + 1), 8) + (" é" if k % 9 == 0 else "")) for k in range(n)] + [(None, "x"), (1, make(1, 8)), (7, None), (8, None), (9, "")]
+    docs = [(k, make(k % (n // 2 + 1), 8) + (" é" if k % 9 == 0 else "")) for k in range(n)] + [(None, "x"), (9001, make(1, 8)), (9007, None), (9008, None), (9009, "")]
     docs += [(2000 + k, "the same text") for k in range(n // 3)]
     got = sharding.assign(table(docs)).collect()
     assert len(got) == len(docs)
