@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,7 +45,3 @@ def tag_form(tag: Column) -> Column:
 def batch_number(name: Column) -> Column:
     """1 of batch_001.jsonl; null where there is no number."""
     return extracted(name, r"batch_(\d+)").cast("int")
-
-
-def literal_pattern(phrase: str) -> str:
-    return re.escape(phrase)
