@@ -28,30 +28,41 @@ def group_stats(rows: DataFrame, key: str, value: str) -> DataFrame:
 def nearest_quantiles(rows: DataFrame, value: str, quantiles: list[float], keys: list[str] | None = None) -> DataFrame:
     """(keys, q, value) with the element nearest to each quantile, from counts of distinct values.
 
-    Equal values are summed first, so a task holds distinct values of a group, not its rows.
+    Equal values are summed first, and dealt to tasks by ranges of key and
+    value; what lies ahead of a range is added from the ranges' sums.  So no
+    task needs all values of a group.
     """
     keys = keys or []
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*(keys or [F.lit(0)]))
-    cum = counted.withColumns(
-        {"__upto": F.sum("__n").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "__all": F.sum("__n").over(w)}
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counted.repartitionByRange(parts, *keys, "value").withColumn("__part", F.spark_partition_id())
+    # one row for each range and key that meet
+    sums = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__m"))
+    of = Window.partitionBy(*(keys or [F.lit(0)]))
+    ahead = sums.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__part").alias("__p"), (F.sum("__m").over(of.orderBy("__part")) - F.col("__m")).alias("__ahead"), F.sum("__m").over(of).alias("__all")
     )
-    asked = cum.withColumn("q", F.explode(F.array(*map(F.lit, quantiles))))
-    place = F.round((F.col("__all") - 1) * F.col("q")).cast("long")
-    hit = asked.where((place < F.col("__upto")) & (place >= F.col("__upto") - F.col("__n")))
-    return hit.select(*keys, "q", "value")
+    same = F.col("__part") == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    within = Window.partitionBy(*keys, "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.withColumn("__upto", F.sum("__n").over(within)).join(ahead, same)
+    asked = placed.withColumn("q", F.explode(F.array(*map(F.lit, quantiles))))
+    place, upto = F.round((F.col("__all") - 1) * F.col("q")).cast("long"), F.col("__ahead") + F.col("__upto")
+    return asked.where((place < upto) & (place >= upto - F.col("__n"))).select(*keys, "q", "value")
 
 
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each numeric column: count, null_count, mean, std, min, quartiles, max; all exact."""
-    parts = None
+    """One row for each numeric column: count, null_count, mean, std, min, quartiles, max; all exact, in one pass."""
+    each = []
     for c in columns:
         x = F.col(c).cast("double")
-        one = rows.agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.count_if(x.isNull()).alias("null_count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"), F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")
+        each.append(
+            F.struct(
+                F.lit(c).alias("column"), F.count(x).alias("count"), F.count_if(x.isNull()).alias("null_count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"), F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")
+            )
         )
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    return rows.agg(F.array(*each).alias("__all")).select(F.inline("__all"))
 
 
 def completeness(rows: DataFrame) -> DataFrame:
