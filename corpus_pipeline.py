@@ -25,9 +25,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; it learns from all labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
-    carried = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    scored = quality.score(docs.withColumn("__kept_text", F.col("text")), model, carry=("__kept_text", *carried))
-    return _as(docs, scored.where(F.col("score") >= LEAST_QUALITY).withColumnRenamed("__kept_text", "text"))
+    # whole rows are carried as one column, so that no name of theirs meets one of the classifier's
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return quality.score(rows, model, carry=("row",)).where(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.llm import crf, labelled, tokens
 
@@ -157,7 +158,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(text_col).cast("string").alias("__text"), F.col(id_col).cast("long").alias(id_col), *carry)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__text") + ", score double" + ", line_p array<double>" * marginals
+    fields = T.StructType([*source.schema.fields[1:], T.StructField("score", T.DoubleType())] + [T.StructField("line_p", T.ArrayType(T.DoubleType()))] * marginals)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
