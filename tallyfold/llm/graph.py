@@ -35,5 +35,8 @@ def components(edges: DataFrame, store: Store, name: str = "cc") -> DataFrame:
             edges.join(a, "a").join(b, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(),
             f"{name}-e{k + 1}",
         )
+        store.drop(f"{name}-e{k}", f"{name}-h{k}")
+        if k:  # what was found is in a table of its own by now
+            store.drop(f"{name}-p{k}", f"{name}-p0" if k == 1 else f"{name}-m{k - 1}")
         k += 1
     return edges.select(F.col("a").alias("v"), F.col("b").alias("component")) if found is None else found
