@@ -169,15 +169,20 @@ def repeats(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id",
 
 
 def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` with their repeated passages (see ``repeats``) taken out of the text, and ``cut_lines``, the numbers of
-    their lines; a column of that name is replaced."""
+    """The rows of ``docs`` with their repeated passages (see ``repeats``) taken out of the text.
+
+    ``cut_lines`` are the numbers of their lines and ``kept_in`` the ids of the
+    documents in which those passages stay; columns of these names are replaced.
+    """
     store = store or Store(docs.sparkSession, "passages")
-    gone = repeats(docs, store, id_col, text_col, least).groupBy(F.col(id_col).alias("__id")).agg(F.sort_array(F.collect_set("line")).alias("__gone"))
+    gone = repeats(docs, store, id_col, text_col, least).groupBy(F.col(id_col).alias("__id")).agg(
+        F.sort_array(F.collect_set("line")).alias("__gone"), F.sort_array(F.collect_set("first_id")).alias("__where")
+    )
     gone = store.put(gone, "gone")
     joined = docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left")
     text = F.when(
         F.col("__gone").isNull(), docs[text_col]
     ).otherwise(F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))
     return joined.select(
-        *[text.alias(c) if c == text_col else docs[c] for c in docs.columns if c != "cut_lines"], F.coalesce("__gone", F.array().cast("array<int>")).alias("cut_lines")
+        *[text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("cut_lines", "kept_in")], F.coalesce("__gone", F.array().cast("array<int>")).alias("cut_lines"), F.coalesce("__where", F.array().cast("array<long>")).alias("kept_in")
     )
