@@ -117,6 +117,12 @@ def validated(lines: DataFrame, line: str = "value", number: str = "line", by: s
     ).select(by, "rows", F.col("__first.line").alias("bad_line"), F.col("__first.error").alias("error"), F.col("__first").isNull().alias("valid"))
 
 
+def dry_run(lines: DataFrame, answer_tokens: int, line: str = "value", number: str = "line", by: str = "file") -> DataFrame:
+    """For each file of requests: what ``validated`` says, and what its rows are estimated to cost if they were sent."""
+    sizes = lines.where(F.trim(line) != "").groupBy(by).agg(F.sum(F.length(line) / 4).alias("tokens_in"), (F.count("*") * answer_tokens).alias("tokens_out"))
+    return validated(lines, line, number, by).join(sizes, by).withColumn("cost", token_cost(F.col("tokens_in"), F.col("tokens_out")))
+
+
 def accuracy(rows: DataFrame, predicted: str, expected: str) -> DataFrame:
     """Rows, hits and recall of each expected class."""
     by = rows.groupBy(F.col(expected).alias("expected")).agg(F.count("*").alias("n"), F.count_if(F.col(predicted) == F.col(expected)).alias("hits"))

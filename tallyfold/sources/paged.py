@@ -8,11 +8,14 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tallyfold.schemas import COMMENT, POST
+from tallyfold.sources.writers import atomic
 
 PAGE, PAUSE, BUFFER, UNKNOWN_RESET = 100, 0.5, 10, 60.0
 
@@ -62,6 +65,21 @@ class Slice(InputPartition):
     before: int
 
 
+def download(fetch: Callable[[str], DataFrame], sources: list[str], out: str, progress: str) -> list[str]:
+    """Writes what ``fetch`` gives for each source to ``out/source=...``, and notes it in ``progress``; sources noted there are left out.
+
+    A source that broke off is written anew, so it is there once or not at all.
+    """
+    path = Path(progress)
+    done = json.loads(path.read_text())["completed"] if path.exists() else []
+    fresh = [s for s in sources if s not in done]
+    for source in fresh:
+        fetch(source).write.mode("overwrite").parquet(f"{out}/source={source}")
+        done.append(source)
+        atomic(progress, json.dumps({"completed": done}))
+    return fresh
+
+
 class PagedSource(DataSource):
     """``spark.read.format("paged")`` with base, kind (comments or posts), subreddit, after, before (epoch seconds) and slices."""
 

@@ -100,3 +100,9 @@ def test_validation(spark):
     rows = spark.createDataFrame([("f", 1, '{"custom_id": "1", "params": {}}'), ("f", 2, ""), ("f", 3, "[1]"), ("g", 1, '{"custom_id": 1, "params": 2}')], "file string, line int, value string")
     got = {r["file"]: r for r in L.validated(rows).collect()}
     assert got["f"]["rows"] == 2 and got["f"]["bad_line"] == 3 and not got["f"]["valid"] and got["g"]["valid"]
+
+
+def test_dry_run(spark):
+    rows = spark.createDataFrame([("f", 1, '{"custom_id": "1", "params": {}}'), ("f", 2, '{"custom_id": "2", "params": {}}')], "file string, line int, value string")
+    r = L.dry_run(rows, 10).first()
+    assert r["valid"] and r["rows"] == 2 and r["cost"] == pytest.approx(16 / 1e6 * 0.5 + 20 / 1e6 * 2.5)

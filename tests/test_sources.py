@@ -156,3 +156,17 @@ def test_stream_is_the_batch(spark, tmp_path):
     again = ingest.mentioning(ingest.comments(spark, str(land)), (Name("C", ("curry",)),))
     ingest.run_once(again, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 7
+
+
+def test_download_goes_on_where_it_broke_off(spark, tmp_path):
+    out, progress = str(tmp_path / "raw"), str(tmp_path / "progress.json")
+
+    def fetch(source):
+        if source == "b":
+            raise OSError("down")
+        return spark.range(3)
+
+    with pytest.raises(OSError):
+        paged.download(fetch, ["a", "b", "c"], out, progress)
+    assert paged.download(lambda s: spark.range(2), ["a", "b", "c"], out, progress) == ["b", "c"]
+    assert sorted((r["source"], r["count"]) for r in spark.read.parquet(out).groupBy("source").count().collect()) == [("a", 3), ("b", 2), ("c", 2)]
