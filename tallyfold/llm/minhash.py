@@ -19,7 +19,7 @@ SHINGLE, PERCENT = 5, 75
 #: Bands of minima, and minima in a band: 0.99983 of pairs at a similarity of 0.75 meet in a band.
 BANDS, ROWS = 32, 5
 #: Rows of a bucket that one task compares with each other; a larger bucket goes as pairs of blocks.
-BLOCK = 1024
+BLOCK = 4096
 
 _U32 = np.uint32
 
