@@ -40,10 +40,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages; those of which nothing is left go."""
     cut = passages.cut(docs)
-    whole = (F.size("cut_lines") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    untouched = (F.size("cut_lines") == 0) & (F.size("cut_spans") == 0)
+    whole = untouched | F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     kept = cut.where(F.coalesce(whole, F.lit(True)))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.size("cut_lines") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        kept = kept.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return _as(docs, kept)
 
 

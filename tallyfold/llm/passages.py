@@ -1,4 +1,4 @@
-"""Paragraphs that repeat, exactly or nearly, by MinHash banding; all but the first of each are cut."""
+"""Passages that repeat: lines, exactly or nearly, by MinHash banding, then verbatim runs of words in any lines; all but the first of each are cut."""
 
 from __future__ import annotations
 
@@ -15,6 +15,11 @@ from tallyfold.llm.store import Store
 
 #: Words from which a line is a passage.
 LEAST_WORDS = 32
+#: Words of a window, and consecutive windows of which the one of the smallest hash is a mark.  Each run of at least
+#: WINDOW + WITHIN - 1 = 47 words that two documents share holds a mark of both.
+WINDOW, WITHIN = 32, 16
+#: Words on either side of a mark up to which a match is followed past it.
+REACH = 32
 #: Bands of minima, and minima in a band: 0.99985 of pairs at a similarity of 0.75 meet in a band.
 BANDS, ROWS = 16, 3
 
@@ -168,11 +173,185 @@ def repeats(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id",
     )
 
 
+def _marks(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the marks of each document: the least window of any WITHIN in a row, or of all if they are fewer."""
+    run, n, power = w.hash, 1, int(tokens._BASE)
+    while n < WINDOW:  # twice as long each time
+        if len(run) <= n:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        run = run[:-n] * np.uint64(power) + run[n:]
+        n, power = 2 * n, power * power & 0xFFFFFFFFFFFFFFFF
+    run = tokens.mix64(run)
+    begin, windows = w.first[:-1], np.maximum(np.diff(w.first) - WINDOW + 1, 0)
+    found = []
+    if len(run) >= WITHIN:
+        left = np.zeros(len(run), np.int64)  # windows of the same document from here on
+        some = np.flatnonzero(windows)
+        here = np.repeat(begin[some] - (np.cumsum(windows[some]) - windows[some]), windows[some]) + np.arange(windows[some].sum())
+        left[here] = np.repeat(begin[some] + windows[some], windows[some]) - here
+        full = np.flatnonzero(left >= WITHIN)
+        grid = np.lib.stride_tricks.sliding_window_view(run, WITHIN)
+        for lo in range(0, len(full), 1 << 18):
+            part = full[lo : lo + (1 << 18)]
+            found.append(np.unique(part + grid[part].argmin(axis=1)))
+    for d in np.flatnonzero((windows > 0) & (windows < WITHIN)):
+        a = int(begin[d])
+        found.append(np.array([a + int(run[a : a + int(windows[d])].argmin())]))
+    at = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return run[at], at
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, _, w in tokens.text_chunks(batch.column(2)):
+            mark, at = _marks(w)
+            doc = np.searchsorted(w.first, at, side="right") - 1
+            where = pa.array(doc + lo)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(where), batch.column(1).take(where), pa.array((at - w.first[doc]).astype(np.int32)), pa.array(mark.view(np.int64))], names=["row", "id", "at", "mark"]
+            )
+
+
+def _around(w: tokens.Words, d: int, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of up to REACH words before a window of document ``d``, the nearest first, and of up to as many after it."""
+    a, z = int(w.first[d]), int(w.first[d + 1])
+    here = a + at
+    return w.hash[max(a, here - REACH) : here][::-1], w.hash[here + WINDOW : min(z, here + WINDOW + REACH)]
+
+
+def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges that touch or overlap as one, in order."""
+    spans: list[tuple[int, int]] = []
+    for a, z in sorted(found):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(z, spans[-1][1]))
+        else:
+            spans.append((a, z))
+    return spans
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (row, matches), the matches from which a span of them may go on: those near its ends."""
+    for batch in batches:
+        out: list[tuple[int, int, int, int]] = []
+        for row, matches in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            spans = _merged([(m["at"], m["at"] + WINDOW) for m in matches])
+            k = 0
+            for m in sorted(matches, key=lambda m: m["at"]):
+                while m["at"] >= spans[k][1]:
+                    k += 1
+                if m["at"] - spans[k][0] <= WITHIN or spans[k][1] - m["at"] - WINDOW <= WITHIN:
+                    out.append((row, m["at"], m["first_row"], m["first_at"]))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)], names=["row", "at", "first_row", "first_at"])
+
+
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first_row, first_at, before, after) of rows (row, text, ats): the words around each of the windows asked for."""
+    for batch in batches:
+        wanted = batch.column(2).to_pylist()
+        for lo, hi, w in tokens.text_chunks(batch.column(1)):
+            rows, ats, before, after = [], [], [], []
+            for d in range(hi - lo):
+                row = batch.column(0)[lo + d].as_py()
+                for at in wanted[lo + d]:
+                    x, y = _around(w, d, at)
+                    rows.append(row)
+                    ats.append(at)
+                    before.append(x.tobytes())
+                    after.append(y.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(ats, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["first_row", "first_at", "before", "after"]
+            )
+
+
+def _agree(x: np.ndarray, y: np.ndarray) -> int:
+    """How many leading items are the same."""
+    n = min(len(x), len(y))
+    other = np.flatnonzero(x[:n] != y[:n])
+    return int(other[0]) if len(other) else n
+
+
+def _without(text: bytes, start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]) -> bytes:
+    """``text`` without ranges of its words (byte offsets start, end); what is left is joined by the line break or space that was there."""
+    out, last = b"", 0
+    for a, z in spans:
+        out += text[last : int(start[a])]
+        last = int(end[z - 1])
+        rest = text[last:]
+        gap = rest[: len(rest) - len(rest.lstrip(b"\x20\t\n\x0b\x0c\r"))]
+        kept = out.rstrip(b"\x20\t\n\x0b\x0c\r")
+        own = out[len(kept) :]
+        if not kept or len(gap) == len(rest):  # at an end of the text
+            last += len(gap) if not kept else 0
+            out = kept
+        else:
+            # a line break on either side stays one
+            out = kept + (own if b"\n" in own else gap or own)
+            last += len(gap)
+    return out + text[last:]
+
+
+def _spans_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, text, spans, first_ids) of rows (row, text, ats, first_ids, edges): the text without the words that stand in earlier documents."""
+    for batch in batches:
+        ats, edges = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+        raw, off = tokens.buffers(batch.column(1))
+        for lo, hi, w in tokens.text_chunks(batch.column(1)):
+            texts, all_spans = [], []
+            for d in range(hi - lo):
+                a0, z0 = int(w.first[d]), int(w.first[d + 1])
+                found = [(at, at + WINDOW) for at in ats[lo + d]]
+                for m in edges[lo + d]:
+                    x, y = _around(w, d, m["at"])
+                    found.append((m["at"] - _agree(x, np.frombuffer(m["before"], np.uint64)), m["at"] + WINDOW + _agree(y, np.frombuffer(m["after"], np.uint64))))
+                spans = _merged(found)
+                own = raw[int(off[lo + d]) : int(off[lo + d + 1])].tobytes()
+                base = int(off[lo + d] - off[lo])
+                texts.append(_without(own, w.start[a0:z0] - base, w.end[a0:z0] - base, spans).decode("utf-8", "replace"))
+                all_spans.append([list(s) for s in spans])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo), pa.array(texts, pa.string()), pa.array(all_spans, pa.list_(pa.list_(pa.int32()))), batch.column(3).slice(lo, hi - lo)],
+                names=["row", "text", "spans", "first_ids"],
+            )
+
+
+def runs(texts: DataFrame, store: Store) -> DataFrame:
+    """(row, text, spans, first_ids) of the rows of ``texts(row, id, text)`` that share a run of words with a document of a smaller id.
+
+    A run is words that follow each other, however they are laid out in lines.
+    Every run of at least 47 words is found, and of shorter ones of 32 or more
+    those that hold a mark.  ``spans`` are the ranges of words that go (from,
+    past the last), ``first_ids`` the documents in which they stand first.
+    ``row`` tells rows apart that share an id.
+    """
+    source = texts.where("id IS NOT NULL AND text IS NOT NULL")
+    marks = store.put(source.select("row", "id", "text").mapInArrow(_marked, "row long, id long, at int, mark long"), "marks")
+    firsts = marks.groupBy("mark").agg(F.min(F.struct("id", "row", "at")).alias("first"), F.max("id").alias("last")).where("first.id < last")
+    firsts = store.put(firsts.select("mark", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "firsts")
+    matches = (
+        marks.join(firsts, "mark")
+        .where("id > first_id")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("at", "first_row", "first_at")).alias("matches"), F.sort_array(F.collect_set("first_id")).alias("first_ids"))
+    )
+    matches = store.put(matches, "matches")
+    edges = store.put(matches.select("row", "matches").mapInArrow(_edges, "row long, at int, first_row long, first_at int"), "edges")
+    asked = edges.groupBy("first_row").agg(F.collect_set("first_at").alias("ats"))
+    around = source.select(F.col("row").alias("first_row"), "text").join(asked, "first_row").select("first_row", "text", "ats")
+    around = store.put(around.mapInArrow(_surroundings, "first_row long, first_at int, before binary, after binary"), "around")
+    ends = edges.join(around, ["first_row", "first_at"]).groupBy("row").agg(F.collect_list(F.struct("at", "before", "after")).alias("edges"))
+    met = source.select("row", "text").join(matches.select("row", F.col("matches.at").alias("ats"), "first_ids"), "row").join(ends, "row")
+    return met.select("row", "text", "ats", "first_ids", "edges").mapInArrow(_spans_cut, "row long, text string, spans array<array<int>>, first_ids array<long>")
+
+
 def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` with their repeated passages (see ``repeats``) taken out of the text.
+    """The rows of ``docs`` with their repeated passages taken out of the text: lines (see ``repeats``), then runs of words (see ``runs``).
 
-    ``cut_lines`` are the numbers of their lines and ``kept_in`` the ids of the
-    documents in which those passages stay; columns of these names are replaced.
+    ``cut_lines`` are the numbers of the lines that went, ``cut_spans`` the
+    ranges of words that went of what the lines left, and ``kept_in`` the ids of
+    the documents in which those passages stay; columns of these names are
+    replaced.
     """
     store = store or Store(docs.sparkSession, "passages")
     gone = repeats(docs, store, id_col, text_col, least).groupBy(F.col(id_col).alias("__id")).agg(
@@ -183,6 +362,16 @@ def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", tex
     text = F.when(
         F.col("__gone").isNull(), docs[text_col]
     ).otherwise(F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))
-    return joined.select(
-        *[text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("cut_lines", "kept_in")], F.coalesce("__gone", F.array().cast("array<int>")).alias("cut_lines"), F.coalesce("__where", F.array().cast("array<long>")).alias("kept_in")
+    own = [c for c in docs.columns if c not in ("cut_lines", "cut_spans", "kept_in")]
+    lined = joined.select(*[text.alias(c) if c == text_col else docs[c] for c in own], "__gone", "__where", F.monotonically_increasing_id().alias("__row"))
+    lined = store.put(lined, "lined")
+    found = runs(lined.select(F.col("__row").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), store)
+    found = store.put(found.select(F.col("row").alias("__of"), F.col("text").alias("__text"), F.col("spans").alias("__spans"), F.col("first_ids").alias("__firsts")), "runs")
+    both = lined.join(found, lined["__row"] == found["__of"], "left")
+    places = F.array().cast("array<long>")
+    return both.select(
+        *[F.when(F.col("__of").isNull(), lined[c]).otherwise(F.col("__text")).alias(c) if c == text_col else lined[c] for c in own],
+        F.coalesce("__gone", F.array().cast("array<int>")).alias("cut_lines"),
+        F.coalesce("__spans", F.array().cast("array<array<int>>")).alias("cut_spans"),
+        F.array_sort(F.array_union(F.coalesce("__where", places), F.coalesce("__firsts", places))).alias("kept_in"),
     )
