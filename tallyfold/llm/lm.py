@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +18,15 @@ from tallyfold.llm.store import Store
 
 #: Words of at least this share of all tokens are broadcast: at most 2^22 of them.
 HEAD_SHARE = 2.0**-22
-#: Pairs and triples of words of at least this share of all tokens become arcs: at most 2^17 of each.
-ARC_SHARE = 2.0**-17
+#: Occurrences from which pairs and triples of words become arcs, and a share of all tokens that they may be asked for besides.
+LEAST, ARC_SHARE = 2.0, 0.0
+#: N-grams are counted and asked for in so many turns by their key, so that a turn's shuffle is this part of all.
+TURNS = 4
 #: What is taken off the count of an arc for words that the context was not seen with.
 DISCOUNT = 0.75
 #: The end of a text, as a token.
 END = np.uint64(0x454E442D4F462D54)
-_WORD_BITS = 22
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def with_end(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -51,262 +53,201 @@ def _counted(of: Callable[[tokens.Words], np.ndarray]):
     return run
 
 
-@dataclass
-class Automaton:
-    """States are contexts; state 0 is the empty one.
+def _keys(own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each token: the keys of the pair and the triple that end in it, and whether its text has them."""
+    place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
+    before = np.concatenate([np.zeros(1, np.uint64), own[:-1]])
+    pair = tokens.mix64(before * _BASE + own)
+    triple = tokens.mix64(np.concatenate([np.zeros(1, np.uint64), pair[:-1]]) * _BASE + tokens.mix64(own + np.uint64(3)))
+    return pair, triple, place >= 1, place >= 2
+
+
+def _turn(keys: np.ndarray, turn: int) -> np.ndarray:
+    return keys % np.uint64(TURNS) == np.uint64(turn)
 
-    ``arcs`` leads from (state, word) to (log10 probability, next state);
-    ``fail`` and ``weight`` are each state's failure arc.  ``word`` and ``enter``
-    are the arcs of state 0.
-    """
 
-    arcs: dict[int, tuple[float, int]]
-    fail: list[int]
-    weight: list[float]
-    word: list[float]
-    enter: list[int]
-
-    def walk(self, ids: list[int]) -> float:
-        """Log10 probability of the words ``ids`` in order; a word without an id (-1) counts its failure arcs alone."""
-        arcs, fail, weight, word, enter = self.arcs, self.fail, self.weight, self.word, self.enter
-        state, total = 0, 0.0
-        for w in ids:
-            if w < 0:
-                while state:
-                    total += weight[state]
-                    state = fail[state]
-                continue
-            while state:
-                arc = arcs.get(state << _WORD_BITS | w)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += weight[state]
-                state = fail[state]
-            else:
-                total += word[w]
-                state = enter[w]
-        return total
-
-
-def _runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
-    """Where runs of equal keys begin and end."""
-    if not len(sorted_keys):
-        return []
-    begins = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])).tolist()
-    return list(zip(begins, [*begins[1:], len(sorted_keys)], strict=True))
+def _grams(order: int, turn: int):
+    """Runs over (text) rows; gives (key, context, shorter, n): of pairs their two words, of triples the pairs they begin and end with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, w in tokens.text_chunks(batch.column(0)):
+                own, first = with_end(w)
+                pair, triple, two, three = _keys(own, first)
+                key, part, ok = (pair, own, two) if order == 2 else (triple, pair, three)
+                at = np.flatnonzero(ok & _turn(key, turn))
+                found, where, n = np.unique(key[at], return_index=True, return_counts=True)
+                at = at[where]
+                cols = [found, part[at - 1], part[at]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in cols), pa.array(n.astype(np.int64))], names=["key", "context", "shorter", "n"])
+
+    return run
+
+
+class Grams:
+    """A table of n-grams on disk, and how many there are."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.size = table, table.count()
+
+    def __len__(self) -> int:
+        return self.size
 
 
 @dataclass
 class Model:
-    """What was counted: ``head`` hashes (sorted) with ``count``; pairs and triples of places in ``frequent``.
+    """Backoff arcs: ``pairs`` and ``triples`` are tables (key, value, weight) on disk, ``lexicon(key, n, weight)`` has all tokens.
 
-    ``lexicon(key, n)`` is the table of all training tokens, on disk.
+    The value is a log10 probability, the weight the log10 of what the n-gram
+    leaves as a context (0 if nothing follows it often enough).  ``head``
+    (sorted), ``count`` and ``weight`` repeat the lexicon's commonest words.
     """
 
     head: np.ndarray
     count: np.ndarray
-    frequent: np.ndarray
-    pairs: np.ndarray
-    pair_n: np.ndarray
-    triples: np.ndarray
-    triple_n: np.ndarray
+    weight: np.ndarray
+    pairs: Grams
+    triples: Grams
     total: int
     types: int
     taken: float
-    lexicon: DataFrame | None = None
+    lexicon: DataFrame
 
     @property
     def unknown(self) -> float:
         """Probability of a token that was not in the training texts."""
         return self.taken * self.types / self.total if self.total else 1.0
 
-    def single(self, n: np.ndarray) -> np.ndarray:
-        return (n - self.taken) / self.total
-
-    def automaton(self) -> Automaton:
-        """Absolute discounting, interpolated: what a context's arcs leave goes down its failure arc."""
-        word = np.log10(self.single(self.count)) if len(self.count) else np.zeros(0)
-        p1 = self.single(self.count) if len(self.count) else np.zeros(0)
-        place = self.frequent
-        arcs: dict[int, tuple[float, int]] = {}
-        fail, weight = [0], [0.0]
-        enter = np.zeros(len(word), np.int64)
-        first, second = self.pairs >> 17, self.pairs & (1 << 17) - 1
-        p2 = np.zeros(len(self.pairs))
-        for lo, hi in _runs(first):
-            own = (self.pair_n[lo:hi] - DISCOUNT) / self.count[place[first[lo]]]
-            left = 1 - own.sum()
-            p2[lo:hi] = own + left * p1[place[second[lo:hi]]]
-            enter[place[first[lo]]] = len(fail)
-            fail.append(0)
-            weight.append(math.log10(left))
-        pair, third = self.triples >> 17, self.triples & (1 << 17) - 1
-        state_of_pair = np.zeros(len(self.pairs), np.int64)
-        later: list[tuple[int, int, float]] = []
-        p2_of = dict(zip(self.pairs.tolist(), p2.tolist(), strict=True))
-        for lo, hi in _runs(pair):
-            k = int(pair[lo])
-            own = (self.triple_n[lo:hi] - DISCOUNT) / self.pair_n[k]
-            left = 1 - own.sum()
-            v = int(second[k])
-            state = state_of_pair[k] = len(fail)
-            fail.append(int(enter[place[v]]))
-            weight.append(math.log10(left))
-            for w, p in zip(third[lo:hi].tolist(), own.tolist(), strict=True):
-                later.append((int(state), w, math.log10(p + left * p2_of[v << 17 | w])))
-        place_of_pair = {key: k for k, key in enumerate(self.pairs.tolist())}
-
-        def after(u: int, w: int) -> int:
-            """The longest known context that ends in the words u, w."""
-            k = place_of_pair.get(u << 17 | w, -1)
-            return int(state_of_pair[k]) if k >= 0 and state_of_pair[k] else int(enter[place[w]])
-
-        for u, w, p in zip(first.tolist(), second.tolist(), p2.tolist(), strict=True):
-            arcs[int(enter[place[u]]) << _WORD_BITS | int(place[w])] = (math.log10(p), after(u, w))
-        last_of = {int(state_of_pair[k]): int(second[k]) for k in np.flatnonzero(state_of_pair)}
-        for state, w, p in later:
-            arcs[state << _WORD_BITS | int(place[w])] = (p, after(last_of[state], w))
-        return Automaton(arcs, fail, weight, word.tolist(), enter.tolist())
-
-    def parts(self) -> tuple:
-        return self.head, self.count, self.frequent, self.pairs, self.pair_n, self.triples, self.triple_n, self.total, self.types, self.taken
-
 
 def fit(texts: DataFrame, store: Store, text_col: str = "text", head_share: float = HEAD_SHARE, arc_share: float = ARC_SHARE) -> Model:
-    """Counts of all tokens of ``texts``, and of the pairs and triples of words that are frequent enough.
+    """Counts of all tokens of ``texts``, and arcs for all pairs and triples of words that occur twice or more.
 
-    Every count is over all rows: tasks sum what they read before the shuffle.
-    Both shares are of the number of all tokens, so what is collected has a
-    bound that does not grow: a share of s lets at most 1/s entries through.  A
-    pair can only reach the share if its words do, and a triple if both its
-    pairs do, so no other pairs or triples are counted.
+    Absolute discounting, interpolated: what a context's arcs leave goes to the
+    shorter context.  The arcs stay on disk and grow with the texts; only words
+    of ``head_share`` of all tokens are collected.
     """
     source = texts.select(F.col(text_col).cast("string").alias("text"))
-    sc = texts.sparkSession.sparkContext
-    lexicon = store.put(source.mapInArrow(_counted(lambda w: with_end(w)[0]), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lexicon")
-    sums = lexicon.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    counts = store.put(source.mapInArrow(_counted(lambda w: with_end(w)[0]), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
+    sums = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     total, types, once, twice = int(sums[0] or 0), sums[1], sums[2], sums[3]
     taken = once / (once + 2 * twice) if once and twice else 0.5
-    head = lexicon.where(F.col("n") >= max(1.0, total * head_share)).toPandas()
-    keys = head["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    keys, count = keys[order], head["n"].to_numpy()[order]
-    least = max(2.0, total * arc_share)
-    frequent = np.flatnonzero(count >= least)
-    known = _Ref(f"{store.root}/frequent", sc.broadcast(keys[frequent]))
-
-    def places(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
-        own, first = with_end(w)
-        at = _index(known).find(own).astype(np.int64)
-        follows = np.ones(len(own), bool)
-        follows[first[:-1]] = False  # no pair reaches over the start of a text
-        return at, follows
-
-    def pairs_of(w: tokens.Words) -> np.ndarray:
-        at, follows = places(w)
-        u, v = at[:-1], at[1:]
-        ok = (u >= 0) & (v >= 0) & follows[1:]
-        return u[ok] << 17 | v[ok]
-
-    def kept(of: Callable, name: str) -> tuple[np.ndarray, np.ndarray]:
-        got = source.mapInArrow(_counted(of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas().sort_values("key")
-        return got["key"].to_numpy(), got["n"].to_numpy()
-
-    pairs, pair_n = kept(pairs_of, "pairs") if len(frequent) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    wanted = sc.broadcast(pairs)
-
-    def triples_of(w: tokens.Words) -> np.ndarray:
-        at, follows = places(w)
-        own = wanted.value
-        key = at[:-1] << 17 | at[1:]
-        ok = (at[:-1] >= 0) & (at[1:] >= 0) & follows[1:]
-        key[~ok] = -1
-        k = np.searchsorted(own, key)
-        k[k == len(own)] = 0
-        k[own[k] != key] = -1
-        ok = (k[:-1] >= 0) & (k[1:] >= 0)
-        return (k[:-1] << 17 | at[2:])[ok]
+    least = max(LEAST, total * arc_share)
 
-    triples, triple_n = kept(triples_of, "triples") if len(pairs) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return Model(keys, count, frequent, pairs, pair_n, triples, triple_n, total, types, taken, lexicon)
+    def counted(order: int) -> DataFrame:
+        def of(turn: int) -> DataFrame:
+            found = source.mapInArrow(_grams(order, turn), "key long, context long, shorter long, n long").groupBy("key")
+            return store.put(found.agg(F.first("context").alias("context"), F.first("shorter").alias("shorter"), F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{order}-{turn}")
 
+        return reduce(DataFrame.union, [of(turn) for turn in range(TURNS)])
 
-@lru_cache(maxsize=2)
-def _index(ref: _Ref) -> tokens.Index:
-    return tokens.Index(ref.value.value)
+    def left(grams: DataFrame) -> DataFrame:
+        """What the arcs of each context take of its count."""
+        return grams.groupBy(F.col("context").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("given"))
 
+    weight = F.coalesce(F.log10(1 - F.col("given") / F.col("n")), F.lit(0.0)).alias("weight")
+    two, three = counted(2), counted(3)
+    lexicon = store.put(counts.join(left(two), "key", "left").select("key", "n", weight), "lexicon")
 
-@lru_cache(maxsize=2)
-def _machine(ref: _Ref) -> tuple[Model, Automaton, tokens.Index, np.ndarray]:
-    model = Model(*ref.value.value)
-    return model, model.automaton(), tokens.Index(model.head), np.log10(model.count + 0.1) if len(model.count) else np.zeros(0)
+    def arcs(grams: DataFrame, contexts: DataFrame, shorter: DataFrame) -> DataFrame:
+        """``grams`` with their probability p, from ``contexts(context, cn, cw)`` and ``shorter(shorter, p1)``."""
+        p = (F.col("n") - DISCOUNT) / F.col("cn") + F.pow(F.lit(10.0), "cw") * F.col("p1")
+        return grams.join(contexts, "context").join(shorter, "shorter").select("key", "n", p.alias("p"))
 
+    of = lambda t: t.select(F.col("key").alias("context"), F.col("n").alias("cn"), F.col("weight").alias("cw"))
+    single = lexicon.select(F.col("key").alias("shorter"), ((F.col("n") - taken) / F.lit(float(total or 1))).alias("p1"))
+    pairs = store.put(arcs(two, of(lexicon), single).join(left(three), "key", "left").select("key", "n", "p", weight), "pairs")
+    triples = arcs(three, of(pairs), pairs.select(F.col("key").alias("shorter"), F.col("p").alias("p1")))
+    triples = store.put(triples.select("key", F.log10("p").alias("value"), F.lit(0.0).alias("weight")), "triples")
+    head = lexicon.where(F.col("n") >= max(1.0, total * head_share)).toPandas()
+    keys = head["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    pairs = pairs.select("key", F.log10("p").alias("value"), "weight")
+    return Model(keys[order], head["n"].to_numpy()[order].astype(np.int64), head["weight"].to_numpy()[order].astype(float), Grams(pairs), Grams(triples), total, types, taken, lexicon)
 
-class _Ref:
-    """A broadcast as a key of a worker's cache."""
-
-    def __init__(self, key: str, value):
-        self.key, self.value = key, value
-
-    def __hash__(self):
-        return hash(self.key)
 
-    def __eq__(self, other):
-        return self.key == other.key
+def _looked_up(keys: np.ndarray, known: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Whether each key is among the sorted ``known`` ones, and its values (0 if not)."""
+    if not len(known):
+        return np.zeros(len(keys), bool), *(np.zeros(len(keys)) for _ in values)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = known[at] == keys
+    return hit, *(np.where(hit, v[at], 0.0) for v in values)
 
 
 def score(docs: DataFrame, model: Model, store: Store, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Each row's id, ``carry`` columns, n_tokens, n_known, train_tokens, base_score, score.
 
-    One pass walks the automaton over the words that were broadcast; the counts
-    of the others are joined to them from the lexicon and their terms added.
-    A null or empty text is the end alone.  Rows are scored by themselves,
-    also if they share an id or have none.
+    Texts go in parts of some MB.  Each part asks the tables for the n-grams it
+    holds, and is walked with the answers beside it.  A null or empty text is
+    the end alone.  Rows are scored by themselves, also if they share an id or
+    have none.
     """
-    known = docs.sparkSession.sparkContext.broadcast(model.parts())
-    ref = _Ref(store.root, known)
-    width = 2 + len(carry)
-    schema = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("__text"), *carry)
-    out = "row long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema if f.name != "__text") + ", n_tokens long, n_known long, base double, own double, rest array<long>"
+    sc = docs.sparkSession.sparkContext
+    head = sc.broadcast((model.head, model.count, model.weight))
+    total, types, taken, unknown = model.total, model.types, model.taken, model.unknown
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"), F.struct(F.col(id_col).cast("long").alias(id_col), *carry).alias("__row"))
+    kind = texts.schema["__row"].dataType.simpleString()
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            _, off = tokens.buffers(batch.column(0))
+            for lo, hi in tokens.chunks(off):
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, part)), *own.columns], names=["part", "__text", "__row"])
+                part += 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, automaton, index, logs = _machine(ref)
-        part, at = TaskContext.get().partitionId() << 33, 0
+    texts = store.put(texts.mapInArrow(dealt, f"part long, __text string, __row {kind}"), "parts")
+
+    def asked(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts = batch.column(0).to_numpy()
             for lo, hi, w in tokens.text_chunks(batch.column(1)):
-                hashes, first = with_end(w)
-                ids = index.find(hashes)
-                head = ids >= 0
-                terms = np.where(head, logs[np.maximum(ids, 0)], 0) if len(logs) else np.zeros(len(ids))
-                base = np.add.reduceat(terms, first[:-1])
-                n_head = np.add.reduceat(head.astype(np.int64), first[:-1])
-                listed = ids.tolist()
-                walked = [automaton.walk(listed[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-                off = np.concatenate([[0], np.cumsum(np.diff(first) - n_head)]).astype(np.int32)
-                columns = [pa.array(part + at + lo + np.arange(hi - lo))]
-                columns += [batch.column(k).slice(lo, hi - lo) for k in range(width) if k != 1]
-                columns += [pa.array(np.diff(first)), pa.array(n_head), pa.array(base), pa.array(walked, pa.float64()), pa.ListArray.from_arrays(pa.array(off), pa.array(hashes[~head].view(np.int64)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", id_col, *carry, "n_tokens", "n_known", "base", "own", "rest"])
-            at += batch.num_rows
-
-    walked = store.put(schema.mapInArrow(run, out), "walked")
-    n = F.coalesce("n", F.lit(0))
-    odd = F.when(n > 0, F.log10((n - F.lit(model.taken)) / F.lit(float(model.total or 1)))).otherwise(F.lit(math.log10(model.unknown)))
-    rest = (
-        walked.select("row", F.explode("rest").alias("key"))
-        .join(model.lexicon, "key", "left")
-        .groupBy("row")
-        .agg(F.sum(F.log10(n + 0.1)).alias("base_rest"), F.sum(odd).alias("own_rest"), F.count("n").alias("known_rest"))
-    )
-    under = math.log10(model.total + 0.1 * (model.types + 1))
-    return walked.drop("rest").join(rest, "row", "left").select(
-        id_col,
-        *carry,
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_rest", F.lit(0.0)) - F.col("n_tokens") * under).alias("base_score"),
-        (F.col("own") + F.coalesce("own_rest", F.lit(0.0))).alias("score"),
-    )
+                own, first = with_end(w)
+                pair, triple, two, three = _keys(own, first)
+                of = np.repeat(parts[lo:hi], np.diff(first))
+                for p in np.unique(of):
+                    here = of == p
+                    words = np.unique(own[here])
+                    words = words[~_looked_up(words, head.value[0])[0]]
+                    for which, keys in enumerate((words, np.unique(pair[here & two]), np.unique(triple[here & three])), 1):
+                        keys = keys[_turn(keys, turn)]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), p)), pa.array(np.full(len(keys), which, np.int32)), pa.array(keys.view(np.int64))], names=["part", "size", "key"])
+
+    size = lambda k: F.lit(k).cast("int").alias("size")
+    table = model.lexicon.select("key", size(1), F.col("n").cast("double").alias("value"), "weight")
+    table = table.union(model.pairs.table.select("key", size(2), "value", "weight")).union(model.triples.table.select("key", size(3), "value", "weight"))
+    mine = F.pmod("key", F.lit(TURNS))  # as of the unsigned key, since 2^64 is a multiple
+
+    def answered(turn: int) -> DataFrame:
+        questions = texts.select("part", "__text").mapInArrow(partial(asked, turn=turn), "part long, size int, key long")
+        return store.put(questions.join(table.where(mine == turn), ["key", "size"]).select("part", "size", "key", "value", "weight"), f"answers-{turn}")
+
+    answers = reduce(DataFrame.union, [answered(turn) for turn in range(TURNS)])
+
+    def walk(group: pa.Table, found: pa.Table) -> pa.Table:
+        sizes, keys = found.column("size").to_numpy(), found.column("key").to_numpy().view(np.uint64)
+        value, weight = found.column("value").to_numpy(), found.column("weight").to_numpy()
+        known = {}
+        for k in (1, 2, 3):
+            # a part may have asked twice
+            u, at = np.unique(keys[sizes == k], return_index=True)
+            known[k] = u, value[sizes == k][at], weight[sizes == k][at]
+        buf, off = tokens.buffers(group.column("__text"))
+        own, first = with_end(tokens.words(buf, off))
+        pair, triple, two, three = _keys(own, first)
+        common, n, left = _looked_up(own, *head.value)
+        rare, rare_n, rare_left = _looked_up(own, *known[1])
+        n, left, seen = n + rare_n, left + rare_left, common | rare
+        p1 = np.where(seen, np.log10(np.maximum(n - taken, 1e-300) / (total or 1)), math.log10(unknown))
+        has2, p2, left2 = _looked_up(pair, *known[2])
+        has3, p3, _ = _looked_up(triple, *known[3])
+        shift = lambda x, ok: np.where(ok, np.concatenate([[0.0], x[:-1]]), 0.0)
+        own_score = np.where(has2 & two, p2, p1 + shift(left, two))
+        own_score = np.where(has3 & three, p3, own_score + shift(np.where(has2 & two, left2, 0.0), three))
+        base = np.log10(n + 0.1) - math.log10(total + 0.1 * (types + 1))
+        cols = [np.diff(first), *(np.add.reduceat(x, first[:-1]) for x in (seen.astype(np.int64), base, own_score))]
+        return pa.table([group.column("__row"), *map(pa.array, cols)], names=["__row", "n_tokens", "n_known", "base_score", "score"])
+
+    walked = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(walk, f"__row {kind}, n_tokens long, n_known long, base_score double, score double")
+    return walked.select(f"__row.{id_col}", *(f"__row.{c}" for c in carry), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
