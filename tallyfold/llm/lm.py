@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyfold.llm import tokens
+from tallyfold.llm import packed, tokens
 from tallyfold.llm.store import Store
 
-#: Words of at least this share of all tokens are broadcast: at most 2^22 of them.
-HEAD_SHARE = 2.0**-22
-#: Occurrences from which pairs and triples of words become arcs, and a share of all tokens that they may be asked for besides.
-LEAST, ARC_SHARE = 2.0, 0.0
-#: N-grams are counted and asked for in so many turns by their key, so that a turn's shuffle is this part of all.
-TURNS = 4
-#: What is taken off the count of an arc for words that the context was not seen with.
-DISCOUNT = 0.75
+#: Occurrences that the shorter context is worth beside those of a word's or a pair's own arcs.
+PRIORS = (1000.0, 4.0)
+#: What each token's count is raised by in the shortest context, which knows no history.
+RAISED = 0.1
+#: Bytes of text in a part; a longer text is a part by itself.
+PART_BYTES = 8 << 20
 #: The end of a text, as a token.
 END = np.uint64(0x454E442D4F462D54)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -34,220 +31,200 @@ def with_end(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(w.hash, w.first[1:], END), w.first + np.arange(len(w.first))
 
 
-def _counted(of: Callable[[tokens.Words], np.ndarray]):
-    """Runs over (text) rows; gives (key, n) of what ``of`` finds, summed within the task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = tokens.Counter()
-
-        def rows(found):
-            for keys, counts in found:
-                for lo in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 100_000].view(np.int64)), pa.array(counts[lo : lo + 100_000].astype(np.int64))], names=["key", "n"])
+@dataclass
+class Part:
+    """Tokens of some texts: ``ids`` are places in ``words`` (sorted hashes), text d is ``first[d]:first[d + 1]``."""
 
-        for batch in batches:
-            for _, _, w in tokens.text_chunks(batch.column(0)):
-                yield from rows(counter.add(of(w)))
-        yield from rows(counter.take())
+    words: np.ndarray
+    ids: np.ndarray
+    first: np.ndarray
+    learned: np.ndarray
 
-    return run
+    @classmethod
+    def of(cls, row: dict) -> Part:
+        learn = np.array(row["learn"], bool)
+        first = np.frombuffer(row["first"], np.int64)
+        return cls(np.frombuffer(row["words"], np.uint64), packed.from_planes(row["ids"], "i4"), first, np.repeat(learn, np.diff(first)))
 
+    def __post_init__(self):
+        place = np.arange(len(self.ids)) - np.repeat(self.first[:-1], np.diff(self.first))
+        self.two, self.three = place >= 1, place >= 2
 
-def _keys(own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each token: the keys of the pair and the triple that end in it, and whether its text has them."""
-    place = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
-    before = np.concatenate([np.zeros(1, np.uint64), own[:-1]])
-    pair = tokens.mix64(before * _BASE + own)
-    triple = tokens.mix64(np.concatenate([np.zeros(1, np.uint64), pair[:-1]]) * _BASE + tokens.mix64(own + np.uint64(3)))
-    return pair, triple, place >= 1, place >= 2
+    def counts(self) -> np.ndarray:
+        """Of each word, how often the part teaches it."""
+        return np.bincount(self.ids[self.learned], minlength=len(self.words))
 
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each token, the keys of the pair and of the triple of words that end in it."""
+        own = self.words[self.ids]
+        pair = tokens.mix64(np.concatenate([np.zeros(1, np.uint64), own[:-1]]) * _BASE + own)
+        return pair, tokens.mix64(np.concatenate([np.zeros(1, np.uint64), pair[:-1]]) * _BASE + tokens.mix64(own + np.uint64(3)))
 
-def _turn(keys: np.ndarray, turn: int) -> np.ndarray:
-    return keys % np.uint64(TURNS) == np.uint64(turn)
+    def grams(self, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of the tokens ``at``, how often the part teaches each, and which each token has (the others: any)."""
+        found, which = np.unique(key[at], return_inverse=True)
+        place = np.zeros(len(key), np.int64)
+        place[at] = which
+        return found, np.bincount(which[self.learned[at]], minlength=len(found)), place
 
 
-def _grams(order: int, turn: int):
-    """Runs over (text) rows; gives (key, context, shorter, n): of pairs their two words, of triples the pairs they begin and end with."""
+def _parts(part_bytes: int):
+    """Rows (text, learn, row) to one row for each part: its number, its texts' rows, and what ``Part`` needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for _, _, w in tokens.text_chunks(batch.column(0)):
-                own, first = with_end(w)
-                pair, triple, two, three = _keys(own, first)
-                key, part, ok = (pair, own, two) if order == 2 else (triple, pair, three)
-                at = np.flatnonzero(ok & _turn(key, turn))
-                found, where, n = np.unique(key[at], return_index=True, return_counts=True)
-                at = at[where]
-                cols = [found, part[at - 1], part[at]]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in cols), pa.array(n.astype(np.int64))], names=["key", "context", "shorter", "n"])
+            buf, off = tokens.buffers(batch.column(0))
+            for lo, hi in tokens.chunks(off, part_bytes):
+                own, first = [], [np.zeros(1, np.int64)]
+                for a, z in tokens.chunks(off[lo : hi + 1]):
+                    hashes, begin = with_end(tokens.words(buf, off[lo + a : lo + z + 1]))
+                    own.append(hashes)
+                    first.append(begin[1:] + first[-1][-1])
+                words, ids = np.unique(np.concatenate(own), return_inverse=True)
+                first = np.concatenate(first)
+                learn = batch.column(1).slice(lo, hi - lo)
+                taught = int(np.diff(first)[learn.to_numpy(zero_copy_only=False)].sum())
+                once = pa.array([0, hi - lo], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part]),
+                        pa.array([len(ids)]),
+                        pa.array([taught]),
+                        pa.array([words.tobytes()], pa.binary()),
+                        pa.array([packed.planes(ids.astype(np.int32))], pa.binary()),
+                        pa.array([first.tobytes()], pa.binary()),
+                        pa.ListArray.from_arrays(once, learn),
+                        pa.ListArray.from_arrays(once, batch.column(2).slice(lo, hi - lo)),
+                    ],
+                    names=["part", "tokens", "taught", "words", "ids", "first", "learn", "rows"],
+                )
+                part += 1
 
     return run
 
 
-class Grams:
-    """A table of n-grams on disk, and how many there are."""
+def _ask(buckets: int):
+    """A part's words and pairs."""
 
-    def __init__(self, table: DataFrame):
-        self.table, self.size = table, table.count()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Part.of(row)
+                yield packed.question(row["part"], 1, own.words, own.counts(), buckets)
+                found, n, _ = own.grams(own.keys()[0], np.flatnonzero(own.two))
+                yield packed.question(row["part"], 2, found, n, buckets)
 
-    def __len__(self) -> int:
-        return self.size
+    return run
 
 
-@dataclass
-class Model:
-    """Backoff arcs: ``pairs`` and ``triples`` are tables (key, value, weight) on disk, ``lexicon(key, n, weight)`` has all tokens.
+def _triples(own: Part, answers: pa.Table, buckets: int):
+    """Pairs and triples of a part: distinct keys, counts, place by token; of pairs all that is known, and which triples have to be asked for.
 
-    The value is a log10 probability, the weight the log10 of what the n-gram
-    leaves as a context (0 if nothing follows it often enough).  ``head``
-    (sorted), ``count`` and ``weight`` repeat the lexicon's commonest words.
+    A triple can stand in another part only if both its pairs do.
     """
+    pair_key, triple_key = own.keys()
+    found, n, pair = own.grams(pair_key, np.flatnonzero(own.two))
+    n2, shared = packed.counted(found, n, answers, 2, buckets)
+    shared = own.two & shared[pair] if len(found) else own.two
+    at = np.flatnonzero(own.three)
+    keys, n3, triple = own.grams(triple_key, at)
+    open_ = np.zeros(len(keys), bool)
+    open_[triple[at[shared[at] & shared[at - 1]]]] = True
+    return n2, pair, keys, n3, triple, open_
+
+
+def _ask_triples(buckets: int):
+    def run(part: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for row in part.to_pylist():
+            _, _, keys, n, _, open_ = _triples(Part.of(row), answers, buckets)
+            out.append(packed.question(row["part"], 3, keys[open_], n[open_], buckets))
+        return pa.Table.from_batches(out, out[0].schema if out else packed.question(0, 3, np.zeros(0, np.uint64), np.zeros(0), 1).schema)
 
-    head: np.ndarray
-    count: np.ndarray
-    weight: np.ndarray
-    pairs: Grams
-    triples: Grams
-    total: int
-    types: int
-    taken: float
-    lexicon: DataFrame
-
-    @property
-    def unknown(self) -> float:
-        """Probability of a token that was not in the training texts."""
-        return self.taken * self.types / self.total if self.total else 1.0
+    return run
 
 
-def fit(texts: DataFrame, store: Store, text_col: str = "text", head_share: float = HEAD_SHARE, arc_share: float = ARC_SHARE) -> Model:
-    """Counts of all tokens of ``texts``, and arcs for all pairs and triples of words that occur twice or more.
+def _walk(buckets: int, total: int, types: int, priors: tuple[float, float]):
+    """Sums over each text's tokens; ``total`` and ``types`` are of all that was taught.
 
-    Absolute discounting, interpolated: what a context's arcs leave goes to the
-    shorter context.  The arcs stay on disk and grow with the texts; only words
-    of ``head_share`` of all tokens are collected.
+    A state is the longest context, of up to two words, that has arcs.  A word
+    that has none there is looked for from the shorter context, at the weight
+    of the failure arc, prior / (count + prior); an arc's own probability holds
+    what would come by way of the failure arc as well.
     """
-    source = texts.select(F.col(text_col).cast("string").alias("text"))
-    counts = store.put(source.mapInArrow(_counted(lambda w: with_end(w)[0]), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "counts")
-    sums = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    total, types, once, twice = int(sums[0] or 0), sums[1], sums[2], sums[3]
-    taken = once / (once + 2 * twice) if once and twice else 0.5
-    least = max(LEAST, total * arc_share)
-
-    def counted(order: int) -> DataFrame:
-        def of(turn: int) -> DataFrame:
-            found = source.mapInArrow(_grams(order, turn), "key long, context long, shorter long, n long").groupBy("key")
-            return store.put(found.agg(F.first("context").alias("context"), F.first("shorter").alias("shorter"), F.sum("n").alias("n")).where(F.col("n") >= least), f"counts-{order}-{turn}")
-
-        return reduce(DataFrame.union, [of(turn) for turn in range(TURNS)])
-
-    def left(grams: DataFrame) -> DataFrame:
-        """What the arcs of each context take of its count."""
-        return grams.groupBy(F.col("context").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("given"))
-
-    weight = F.coalesce(F.log10(1 - F.col("given") / F.col("n")), F.lit(0.0)).alias("weight")
-    two, three = counted(2), counted(3)
-    lexicon = store.put(counts.join(left(two), "key", "left").select("key", "n", weight), "lexicon")
-
-    def arcs(grams: DataFrame, contexts: DataFrame, shorter: DataFrame) -> DataFrame:
-        """``grams`` with their probability p, from ``contexts(context, cn, cw)`` and ``shorter(shorter, p1)``."""
-        p = (F.col("n") - DISCOUNT) / F.col("cn") + F.pow(F.lit(10.0), "cw") * F.col("p1")
-        return grams.join(contexts, "context").join(shorter, "shorter").select("key", "n", p.alias("p"))
-
-    of = lambda t: t.select(F.col("key").alias("context"), F.col("n").alias("cn"), F.col("weight").alias("cw"))
-    single = lexicon.select(F.col("key").alias("shorter"), ((F.col("n") - taken) / F.lit(float(total or 1))).alias("p1"))
-    pairs = store.put(arcs(two, of(lexicon), single).join(left(three), "key", "left").select("key", "n", "p", weight), "pairs")
-    triples = arcs(three, of(pairs), pairs.select(F.col("key").alias("shorter"), F.col("p").alias("p1")))
-    triples = store.put(triples.select("key", F.log10("p").alias("value"), F.lit(0.0).alias("weight")), "triples")
-    head = lexicon.where(F.col("n") >= max(1.0, total * head_share)).toPandas()
-    keys = head["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    pairs = pairs.select("key", F.log10("p").alias("value"), "weight")
-    return Model(keys[order], head["n"].to_numpy()[order].astype(np.int64), head["weight"].to_numpy()[order].astype(float), Grams(pairs), Grams(triples), total, types, taken, lexicon)
-
-
-def _looked_up(keys: np.ndarray, known: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Whether each key is among the sorted ``known`` ones, and its values (0 if not)."""
-    if not len(known):
-        return np.zeros(len(keys), bool), *(np.zeros(len(keys)) for _ in values)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    hit = known[at] == keys
-    return hit, *(np.where(hit, v[at], 0.0) for v in values)
-
-
-def score(docs: DataFrame, model: Model, store: Store, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Each row's id, ``carry`` columns, n_tokens, n_known, train_tokens, base_score, score.
-
-    Texts go in parts of some MB.  Each part asks the tables for the n-grams it
-    holds, and is walked with the answers beside it.  A null or empty text is
-    the end alone.  Rows are scored by themselves, also if they share an id or
-    have none.
-    """
-    sc = docs.sparkSession.sparkContext
-    head = sc.broadcast((model.head, model.count, model.weight))
-    total, types, taken, unknown = model.total, model.types, model.taken, model.unknown
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"), F.struct(F.col(id_col).cast("long").alias(id_col), *carry).alias("__row"))
-    kind = texts.schema["__row"].dataType.simpleString()
+    for_two, for_three = priors
+
+    def run(part: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        rows = part.column("rows").combine_chunks()
+        for k, row in enumerate(part.drop_columns(["rows"]).to_pylist()):
+            own = Part.of(row)
+            n1 = packed.counted(own.words, own.counts(), answers, 1, buckets)[0][own.ids].astype(float)
+            n2, pair, keys, n3, triple, open_ = _triples(own, answers, buckets)
+            n3 = n3.astype(np.int64)
+            n3[open_] = packed.counted(keys[open_], n3[open_], answers, 3, buckets)[0]
+            n2 = np.where(own.two, n2[pair] if len(n2) else 0, 0).astype(float)
+            n3 = np.where(own.three, n3[triple] if len(n3) else 0, 0).astype(float)
+            before = lambda x: np.concatenate([np.zeros(1), x[:-1]])
+            p = base = (n1 + RAISED) / (total + RAISED * (types + 1))
+            p = np.where(own.two, (n2 + for_two * p) / (before(n1) + for_two), p)
+            p = np.where(own.three, (n3 + for_three * p) / (before(n2) + for_three), p)
+            sums = [np.add.reduceat(x, own.first[:-1]) for x in ((n1 > 0).astype(np.int64), np.log10(base), np.log10(p))]
+            cols = [rows.slice(k, 1).flatten(), pa.array(np.diff(own.first)), *map(pa.array, sums)]
+            out.append(pa.table(cols, names=["row", "n_tokens", "n_known", "base_score", "score"]))
+        return pa.concat_tables(out)
 
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            _, off = tokens.buffers(batch.column(0))
-            for lo, hi in tokens.chunks(off):
-                own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, part)), *own.columns], names=["part", "__text", "__row"])
-                part += 1
+    return run
 
-    texts = store.put(texts.mapInArrow(dealt, f"part long, __text string, __row {kind}"), "parts")
 
-    def asked(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = batch.column(0).to_numpy()
-            for lo, hi, w in tokens.text_chunks(batch.column(1)):
-                own, first = with_end(w)
-                pair, triple, two, three = _keys(own, first)
-                of = np.repeat(parts[lo:hi], np.diff(first))
-                for p in np.unique(of):
-                    here = of == p
-                    words = np.unique(own[here])
-                    words = words[~_looked_up(words, head.value[0])[0]]
-                    for which, keys in enumerate((words, np.unique(pair[here & two]), np.unique(triple[here & three])), 1):
-                        keys = keys[_turn(keys, turn)]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), p)), pa.array(np.full(len(keys), which, np.int32)), pa.array(keys.view(np.int64))], names=["part", "size", "key"])
-
-    size = lambda k: F.lit(k).cast("int").alias("size")
-    table = model.lexicon.select("key", size(1), F.col("n").cast("double").alias("value"), "weight")
-    table = table.union(model.pairs.table.select("key", size(2), "value", "weight")).union(model.triples.table.select("key", size(3), "value", "weight"))
-    mine = F.pmod("key", F.lit(TURNS))  # as of the unsigned key, since 2^64 is a multiple
-
-    def answered(turn: int) -> DataFrame:
-        questions = texts.select("part", "__text").mapInArrow(partial(asked, turn=turn), "part long, size int, key long")
-        return store.put(questions.join(table.where(mine == turn), ["key", "size"]).select("part", "size", "key", "value", "weight"), f"answers-{turn}")
-
-    answers = reduce(DataFrame.union, [answered(turn) for turn in range(TURNS)])
-
-    def walk(group: pa.Table, found: pa.Table) -> pa.Table:
-        sizes, keys = found.column("size").to_numpy(), found.column("key").to_numpy().view(np.uint64)
-        value, weight = found.column("value").to_numpy(), found.column("weight").to_numpy()
-        known = {}
-        for k in (1, 2, 3):
-            # a part may have asked twice
-            u, at = np.unique(keys[sizes == k], return_index=True)
-            known[k] = u, value[sizes == k][at], weight[sizes == k][at]
-        buf, off = tokens.buffers(group.column("__text"))
-        own, first = with_end(tokens.words(buf, off))
-        pair, triple, two, three = _keys(own, first)
-        common, n, left = _looked_up(own, *head.value)
-        rare, rare_n, rare_left = _looked_up(own, *known[1])
-        n, left, seen = n + rare_n, left + rare_left, common | rare
-        p1 = np.where(seen, np.log10(np.maximum(n - taken, 1e-300) / (total or 1)), math.log10(unknown))
-        has2, p2, left2 = _looked_up(pair, *known[2])
-        has3, p3, _ = _looked_up(triple, *known[3])
-        shift = lambda x, ok: np.where(ok, np.concatenate([[0.0], x[:-1]]), 0.0)
-        own_score = np.where(has2 & two, p2, p1 + shift(left, two))
-        own_score = np.where(has3 & three, p3, own_score + shift(np.where(has2 & two, left2, 0.0), three))
-        base = np.log10(n + 0.1) - math.log10(total + 0.1 * (types + 1))
-        cols = [np.diff(first), *(np.add.reduceat(x, first[:-1]) for x in (seen.astype(np.int64), base, own_score))]
-        return pa.table([group.column("__row"), *map(pa.array, cols)], names=["__row", "n_tokens", "n_known", "base_score", "score"])
-
-    walked = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(walk, f"__row {kind}, n_tokens long, n_known long, base_score double, score double")
-    return walked.select(f"__row.{id_col}", *(f"__row.{c}" for c in carry), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+def score(
+    docs: DataFrame,
+    learn: Column | bool = True,
+    store: Store | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
+    priors: tuple[float, float] = PRIORS,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """Each row's id, ``carry`` columns, n_tokens, n_known, train_tokens, base_score, score, under what the rows of ``learn`` teach.
+
+    All words, pairs and triples of words of the rows of ``learn`` are arcs,
+    however rare.  With c the count of a context, n that of an arc and q the
+    probability in the context without its first word, an arc's probability is
+    (n + prior * q) / (c + prior); the shortest context adds 0.1 to each count
+    and has one more token for all that is unknown.  So each state's
+    probabilities add up to one.  ``score`` is the log10 probability of all
+    tokens, the end of the text included, ``base_score`` that in the shortest
+    context alone.
+
+    Texts go in parts of some MB.  Each asks for the counts of its n-grams once
+    over all parts, of triples only for those whose pairs other parts have too,
+    as the others can't stand elsewhere; so no table of the model is held in one
+    place.  A null or empty text is the end alone.  Rows are scored by
+    themselves, also if they share an id or have none.  Texts that nothing was
+    learned from have only unknown tokens.  An empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    store = store or Store(spark, "lm")
+    learn = F.lit(learn) if isinstance(learn, bool) else learn
+    source = docs.select(
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        F.coalesce(learn, F.lit(False)).alias("learn"),
+        F.struct(F.col(id_col).cast("long").alias(id_col), *carry).alias("row"),
+    )
+    fields = "part long, tokens long, taught long, words binary, ids binary, first binary, learn array<boolean>"
+    rows = T.StructType([*T._parse_datatype_string(fields).fields, T.StructField("rows", T.ArrayType(source.schema["row"].dataType))])
+    parts = store.put(source.mapInArrow(_parts(part_bytes), rows), "parts")
+    size = parts.agg(F.sum("tokens"), F.sum("taught")).first()
+    most, total = int(size[0] or 0), int(size[1] or 0)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-most // packed.BUCKET_KEYS))
+    known = store.put(packed.settle(parts.drop("rows").mapInArrow(_ask(buckets), packed.ASKED)), "answers")
+    types = int(known.where("part < 0 AND size = 1").agg(F.sum("m")).first()[0] or 0)
+    known = known.where("part >= 0")
+    asked = parts.drop("rows").groupBy("part").cogroup(known.where("size = 2").groupBy("part")).applyInArrow(_ask_triples(buckets), packed.ASKED)
+    more = store.put(packed.settle(asked), "triples").where("part >= 0")
+    out = T.StructType([T.StructField("row", parts.schema["rows"].dataType.elementType), *T._parse_datatype_string("n_tokens long, n_known long, base_score double, score double").fields])
+    walked = parts.groupBy("part").cogroup(known.union(more).groupBy("part")).applyInArrow(_walk(buckets, total, types, priors), out)
+    return walked.select(f"row.{id_col}", *(f"row.{c}" for c in carry), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import bpe, forest, lm, minhash, mixing, passages, quality, rules, sharding, toxicity
-from tallyfold.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,9 +81,7 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probabilities of all documents under what nine tenths of them teach."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", _fold(10))
-    store = Store(spark, "lm")
-    model = lm.fit(docs.where("NOT held_out"), store)
-    return lm.score(docs, model, store, carry=("held_out",))
+    return lm.score(docs, ~F.col("held_out"), carry=("held_out",))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,12 @@
-"""Repeated n-grams are arcs, however large the corpus."""
+"""Rare n-grams are arcs, however large the corpus."""
+
+from pyspark.sql import functions as F
 
 from tallyfold.llm import lm
-from tallyfold.llm.store import Store
 
 
 def test_rare_ngrams_stay_arcs_in_a_large_corpus(spark):
-    # 600,000 tokens: 2^-17 of them is more than four, and "left right" occurs twice
-    rows = [(0, "left right"), (1, "left right"), (2, " ".join(["filler"] * 600_000))]
-    store = Store(spark, "t")
-    model = lm.fit(spark.createDataFrame(rows, "doc_id long, text string"), store)
-    got = lm.score(spark.createDataFrame([(5, "left right"), (6, "right left")], "doc_id long, text string"), model, store).collect()
+    rows = [(0, "left right"), (1, "left right"), (2, " ".join(["filler"] * 600_000)), (5, "left right"), (6, "right left")]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 5).collect()
     score = {r["doc_id"]: r["score"] for r in got}
-    assert score[5] > score[6] + 5
+    assert score[5] > score[6] + 2

@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tallyfold.llm import crf, lm, quality, rules, toxicity
-from tallyfold.llm.store import Store
 
 
 def test_forward_backward_is_exact(monkeypatch):
@@ -83,75 +84,48 @@ def tokens_of(t):
 
 
 def test_language_model(spark, table, make):
-    rows = [(i, make(i % 9, 80, 12)) for i in range(60)] + [(90, ""), (91, None), (92, "never seen words"), (None, "w1x1 w2x2")]
-    docs = table(rows)
+    from tallyfold.llm.queries import _fold
+
+    rows = [(i, make(i % 9, 80, 12)) for i in range(60)] + [(90, ""), (91, None), (92, "never seen words"), (None, "w1x1 w2x2"), (7, "w3x0 w3x0 w3x0 w3x0"), (7, "w3x0 w3x0")]
     train = [t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 10]
     c = Counter(x for t in train for x in tokens_of(t))
     n, v = sum(c.values()), len(c)
-    from tallyfold.llm.queries import _fold
+    own = table(rows).withColumn("held_out", _fold(10)).repartition(3)
+    for part_bytes in (300, 8 << 20):  # many parts, and few
+        got = lm.score(own, ~F.col("held_out"), carry=("held_out", "text"), priors=(2.0, 3.0), part_bytes=part_bytes).collect()
+        assert len(got) == len(rows)
+        chance, _ = brute_model(train, 2.0, 3.0)
+        for r in got:
+            w = tokens_of(r["text"])
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(c[x] > 0 for x in w), n)
+            assert r["base_score"] == pytest.approx(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w), abs=1e-8)
+            assert r["score"] == pytest.approx(sum(math.log10(chance(w[max(0, k - 2) : k], x)) for k, x in enumerate(w)), abs=1e-8)
 
-    own = docs.withColumn("held_out", _fold(10))
-    store = Store(spark, "t")
-    # a large share, so that some words are not broadcast
-    model = lm.fit(own.where("NOT held_out"), store, head_share=0.002, arc_share=0.004)
-    assert 0 < len(model.head) < v and len(model.pairs) and len(model.triples)
-    got = lm.score(own, model, store, carry=("held_out",)).collect()
-    assert len(got) == len(rows)
-    texts = dict(rows)
-    machine = brute_model(train, model)
-    for r in got:
-        w = tokens_of(texts[r["doc_id"]])
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(c[x] > 0 for x in w), n)
-        assert r["base_score"] == pytest.approx(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w), abs=1e-8)
-        assert r["score"] == pytest.approx(machine(w), abs=1e-8)
-
-
-def brute_model(train, model):
-    """Absolute discounting over n-grams that are frequent enough, from plain dictionaries."""
-    uni, bi, tri = Counter(), Counter(), Counter()
-    for t in train:
-        w = tokens_of(t)
-        uni.update(w)
-        bi.update(zip(w, w[1:], strict=False))
-        tri.update(zip(w, w[1:], w[2:], strict=False))
-    n = sum(uni.values())
-    once, twice = sum(x == 1 for x in uni.values()), sum(x == 2 for x in uni.values())
-    d = once / (once + 2 * twice) if once and twice else 0.5
-    least = max(2.0, n * 0.004)
-    bi = {k: x for k, x in bi.items() if x >= least}
-    tri = {k: x for k, x in tri.items() if x >= least}
-
-    def p1(w):
-        return (uni[w] - d) / n if uni[w] else d * len(uni) / n
-
-    def p2(u, w):
-        arcs = {k: x for k, x in bi.items() if k[0] == u}
-        if not arcs:
-            return p1(w)
-        left = 1 - sum((x - 0.75) / uni[u] for x in arcs.values())
-        return (arcs.get((u, w), 0.75) - 0.75) / uni[u] + left * p1(w)
-
-    def p3(t, u, w):
-        arcs = {k: x for k, x in tri.items() if k[:2] == (t, u)}
-        if not arcs:
-            return p2(u, w)
-        left = 1 - sum((x - 0.75) / bi[t, u] for x in arcs.values())
-        return (arcs.get((t, u, w), 0.75) - 0.75) / bi[t, u] + left * p2(u, w)
-
-    def score(ws):
-        total = 0.0
-        for k, w in enumerate(ws):
-            total += math.log10(p3(ws[k - 2], ws[k - 1], w) if k > 1 else p2(ws[k - 1], w) if k else p1(w))
-        return total
-
-    return score
+
+def brute_model(train, two, three):
+    """Chances of a word after a history, from plain dictionaries; and the words there are."""
+    grams = [Counter(g for t in train for g in zip(*(tokens_of(t)[k:] for k in range(size)), strict=False)) for size in (1, 2, 3)]
+    n, v = sum(grams[0].values()), len(grams[0])
+
+    def chance(history, word):
+        if not history:
+            return (grams[0][(word,)] + 0.1) / (n + 0.1 * (v + 1))
+        prior = two if len(history) == 1 else three
+        return (grams[len(history)][(*history, word)] + prior * chance(history[1:], word)) / (grams[len(history) - 1][tuple(history)] + prior)
+
+    return chance, [w for (w,) in grams[0]]
+
+
+def test_a_states_chances_add_up_to_one(make):
+    chance, words = brute_model([make(1, 60, 9), make(2, 60, 9), "a b"], 2.0, 3.0)
+    for history in ([], [b"a"], [b"unseen"], [words[0], words[1]], [b"unseen", words[2]]):
+        assert sum(chance(history, w) for w in [*words, "unknown"]) == pytest.approx(1)
 
 
 def test_language_model_of_nothing(spark, table):
-    store = Store(spark, "t")
-    model = lm.fit(table([]), store)
-    assert lm.score(table([(1, "a b")]), model, store).first()["score"] == 0.0
-    assert lm.score(table([]), model, store).count() == 0
+    got = lm.score(table([(1, "a b")]), False).first()
+    assert (got["score"], got["train_tokens"], got["n_known"]) == (0.0, 0, 0)
+    assert lm.score(table([])).count() == 0
 
 
 def test_rules(spark, table, make):
