@@ -44,7 +44,8 @@ class Part:
     def of(cls, row: dict) -> Part:
         learn = np.array(row["learn"], bool)
         first = np.frombuffer(row["first"], np.int64)
-        return cls(np.frombuffer(row["words"], np.uint64), packed.from_planes(row["ids"], "i4"), first, np.repeat(learn, np.diff(first)))
+        words = packed.unpack(row["words"], row["types"])
+        return cls(words, packed.from_planes(packed.zstd(row["ids"], 4 * row["tokens"]), "i4"), first, np.repeat(learn, np.diff(first)))
 
     def __post_init__(self):
         place = np.arange(len(self.ids)) - np.repeat(self.first[:-1], np.diff(self.first))
@@ -91,13 +92,14 @@ def _parts(part_bytes: int):
                         pa.array([part]),
                         pa.array([len(ids)]),
                         pa.array([taught]),
-                        pa.array([words.tobytes()], pa.binary()),
-                        pa.array([packed.planes(ids.astype(np.int32))], pa.binary()),
+                        pa.array([len(words)]),
+                        pa.array([packed.pack(words)], pa.binary()),
+                        pa.array([packed.zstd(packed.planes(ids.astype(np.int32)))], pa.binary()),
                         pa.array([first.tobytes()], pa.binary()),
                         pa.ListArray.from_arrays(once, learn),
                         pa.ListArray.from_arrays(once, batch.column(2).slice(lo, hi - lo)),
                     ],
-                    names=["part", "tokens", "taught", "words", "ids", "first", "learn", "rows"],
+                    names=["part", "tokens", "taught", "types", "words", "ids", "first", "learn", "rows"],
                 )
                 part += 1
 
@@ -214,7 +216,7 @@ def score(
         F.coalesce(learn, F.lit(False)).alias("learn"),
         F.struct(F.col(id_col).cast("long").alias(id_col), *carry).alias("row"),
     )
-    fields = "part long, tokens long, taught long, words binary, ids binary, first binary, learn array<boolean>"
+    fields = "part long, tokens long, taught long, types long, words binary, ids binary, first binary, learn array<boolean>"
     rows = T.StructType([*T._parse_datatype_string(fields).fields, T.StructField("rows", T.ArrayType(source.schema["row"].dataType))])
     parts = store.put(source.mapInArrow(_parts(part_bytes), rows), "parts")
     size = parts.agg(F.sum("tokens"), F.sum("taught")).first()

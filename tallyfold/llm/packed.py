@@ -31,13 +31,18 @@ def from_planes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def zstd(data: bytes, size: int | None = None) -> bytes:
+    """``data`` compressed, or with its full ``size``, what it was."""
+    return pa.compress(data, codec="zstd", asbytes=True) if size is None else pa.decompress(data, size, codec="zstd", asbytes=True)
+
+
 def pack(keys: np.ndarray) -> bytes:
     """Sorted keys as compressed gaps."""
-    return pa.compress(planes(np.diff(keys, prepend=np.uint64(0))), codec="zstd", asbytes=True)
+    return zstd(planes(np.diff(keys, prepend=np.uint64(0))))
 
 
 def unpack(data: bytes, m: int) -> np.ndarray:
-    return np.cumsum(from_planes(pa.decompress(data, 8 * m, codec="zstd", asbytes=True), "u8"), dtype=np.uint64)
+    return np.cumsum(from_planes(zstd(data, 8 * m), "u8"), dtype=np.uint64)
 
 
 def bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -57,7 +62,7 @@ def question(part: int, size: int, keys: np.ndarray, n: np.ndarray, buckets: int
         pa.array(np.full(len(some), part, np.int64)),
         pa.array(np.diff(at)[some].astype(np.int32)),
         pa.array([pack(keys[a:z]) for a, z in spans], pa.binary()),
-        pa.array([pa.compress(planes(n[a:z]), codec="zstd", asbytes=True) for a, z in spans], pa.binary()),
+        pa.array([zstd(planes(n[a:z])) for a, z in spans], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["size", "bucket", "part", "m", "keys", "n"])
 
@@ -65,7 +70,7 @@ def question(part: int, size: int, keys: np.ndarray, n: np.ndarray, buckets: int
 def _settle(group: pa.Table) -> pa.Table:
     m = group.column("m").to_numpy()
     keys = np.concatenate([unpack(x.as_py(), k) for x, k in zip(group.column("keys"), m.tolist(), strict=True)])
-    n = np.concatenate([from_planes(pa.decompress(x.as_py(), 4 * k, codec="zstd", asbytes=True), "u4") for x, k in zip(group.column("n"), m.tolist(), strict=True)]).astype(np.int64)
+    n = np.concatenate([from_planes(zstd(x.as_py(), 4 * k), "u4") for x, k in zip(group.column("n"), m.tolist(), strict=True)]).astype(np.int64)
     order = np.argsort(keys)
     own = keys[order]
     lead = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))

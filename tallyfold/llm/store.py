@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests), one of this process."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets one of this process; a cluster's
+    executors wouldn't see that one, so there it is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the whole cluster shares")
         path = f"file://{tempfile.mkdtemp(prefix='tallyfold-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -21,7 +27,8 @@ class Store:
     """Intermediate tables of one operator call, as Parquet in the shared folder.
 
     A written table survives the loss of any executor, and cuts the lineage of
-    what is read from it.  ``drop`` frees a table that no later frame reads.
+    what is read from it.  ``drop`` frees a table that no later frame reads;
+    those that the result reads stay until the folder is cleared.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -33,6 +40,7 @@ class Store:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         schema = df.schema
         # Spark deletes the shuffle files behind the table once the driver has collected what refers to them
+        del df
         self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(schema).parquet(path)
 
