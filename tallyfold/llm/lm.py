@@ -228,5 +228,6 @@ def score(
     asked = parts.drop("rows").groupBy("part").cogroup(known.where("size = 2").groupBy("part")).applyInArrow(_ask_triples(buckets), packed.ASKED)
     more = store.put(packed.settle(asked), "triples").where("part >= 0")
     out = T.StructType([T.StructField("row", parts.schema["rows"].dataType.elementType), *T._parse_datatype_string("n_tokens long, n_known long, base_score double, score double").fields])
+    store.free()
     walked = parts.groupBy("part").cogroup(known.union(more).groupBy("part")).applyInArrow(_walk(buckets, total, types, priors), out)
     return walked.select(f"row.{id_col}", *(f"row.{c}" for c in carry), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

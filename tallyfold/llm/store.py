@@ -37,13 +37,16 @@ class Store:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
+        self.free()
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         schema = df.schema
-        # Spark deletes the shuffle files behind the table once the driver has collected what refers to them
         del df
-        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(schema).parquet(path)
 
+    def free(self) -> None:
+        """Spark deletes the shuffle files behind a written table once the driver has collected what refers to them, which is held for a moment after the write."""
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
