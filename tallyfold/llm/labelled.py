@@ -22,8 +22,8 @@ def counts(labels: DataFrame, label_col: str) -> dict[int, int]:
 
 def looks(text: str) -> set[tuple[int, int]]:
     """Four minima of the text's shingles: near copies share one, unrelated texts don't."""
-    runs, _ = tokens.shingles(next(tokens.text_chunks(pa.array([text], pa.string())))[2], minhash.SHINGLE)
-    return set(enumerate(minhash.signature(runs, 4).tolist()))
+    runs, first = tokens.shingles(next(tokens.text_chunks(pa.array([text], pa.string())))[2], minhash.SHINGLE)
+    return set(enumerate(minhash.signatures(runs, first, 4)[0].tolist()))
 
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int = ROWS_PER_LABEL, text_bytes: int = TEXT_BYTES) -> Iterator[tuple[int, str]]:

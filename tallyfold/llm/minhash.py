@@ -20,6 +20,8 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 5
 #: Rows of a bucket that one task compares with each other; a larger bucket goes as pairs of blocks.
 BLOCK = 4096
+#: Bytes of shingle sets that a block of a bucket is meant to hold at most.
+BLOCK_BYTES = 64 << 20
 
 _U32 = np.uint32
 
@@ -33,59 +35,75 @@ def _mix32(x: np.ndarray, spare: np.ndarray) -> None:
             np.multiply(x, _U32(factor), out=x)
 
 
-def signature(shingle_set: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
-    """``size`` minima of a set, from two permutations of the 32-bit circle.
+def signatures(runs: np.ndarray, first: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
+    """A row of ``size`` minima for each set ``runs[first[d]:first[d + 1]]``, from two permutations of the 32-bit circle.
 
-    The first permutation scatters the set; coordinate k is the minimum of the
-    second one, shifted by k places around the circle.
+    The first permutation scatters the sets; coordinate k is the minimum of the
+    second one, shifted by k places around the circle.  An element that stands
+    repeatedly counts once, and the minima of an empty set are the circle's end.
     """
-    x = (shingle_set >> np.uint64(32)).astype(np.uint32)
+    out = np.full((len(first) - 1, size), 0xFFFFFFFF, np.uint32)
+    some = np.flatnonzero(np.diff(first))
+    if not len(some):
+        return out
+    x = (runs >> np.uint64(32)).astype(np.uint32)
     x ^= _U32(0x5BD1E995)
     _mix32(x, np.empty_like(x))
-    shift = np.arange(size, dtype=np.uint32)
-    least = np.full(size, 0xFFFFFFFF, np.uint32)
-    for lo in range(0, len(x), 256):
-        grid = x[lo : lo + 256, None] + shift[None, :]
-        _mix32(grid, np.empty_like(grid))
-        np.minimum(least, grid.min(axis=0), out=least)
-    return least
-
-
-def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key for each band of ``rows`` minima."""
-    grid = sig.reshape(-1, rows).astype(np.uint64)
-    key = np.arange(1, len(grid) + 1, dtype=np.uint64)
+    spare, shifted = np.empty_like(x), np.empty_like(x)
+    for k in range(size):
+        np.add(x, _U32(k), out=shifted)
+        _mix32(shifted, spare)
+        out[some, k] = np.minimum.reduceat(shifted, first[some])
+    return out
+
+
+def band_keys(sigs: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key for each band of ``rows`` minima, for each row of signatures."""
+    grid = sigs.reshape(len(sigs), sigs.shape[1] // rows, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, grid.shape[1] + 1, dtype=np.uint64), grid.shape[:2])
     for k in range(rows):
-        key = tokens.mix64(key * np.uint64(0x9E3779B97F4A7C15) + grid[:, k])
-    return key.view(np.int64)
+        key = tokens.mix64(key * np.uint64(0x9E3779B97F4A7C15) + grid[:, :, k])
+    return key
+
+
+def _own(w: tokens.Words) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Each document's set, and all shingles with where each document's begin."""
+    runs, first = tokens.shingles(w, SHINGLE)
+    return [np.unique(runs[first[d] : first[d + 1]]) for d in range(len(first) - 1)], runs, first
+
+
+def _digest(own: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(own.tobytes())
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
         for lo, hi, w in tokens.text_chunks(batch.column(1)):
-            runs, first = tokens.shingles(w, SHINGLE)
-            n, digest, bands, sigs = [], [], [], []
-            for d in range(hi - lo):
-                own = np.unique(runs[first[d] : first[d + 1]])
-                n.append(len(own))
-                digest.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sig = signature(own)
-                bands.append(band_keys(sig) if len(own) else np.zeros(0, np.int64))
-                sigs.append(sig.astype(np.uint8).tobytes())
-            off = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
+            sets, runs, first = _own(w)
+            n = np.array([len(x) for x in sets], np.int64)
+            keys = band_keys(signatures(runs, first))
+            off = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(lo, hi - lo),
-                    pa.array(n, pa.int64()),
-                    pa.array(digest, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(bands))),
-                    pa.array(sigs, pa.binary()),
+                    batch.column(0).slice(lo, hi - lo),
+                    pa.array(n),
+                    pa.array([_digest(x) for x in sets], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(off), pa.array(keys[n > 0].ravel().view(np.int64))),
                 ],
-                names=["id", "n", "digest", "bands", "sig"],
+                names=["id", "n", "digest", "bands"],
             )
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, n, sig): of texts, set sizes and the lowest bytes of the minima."""
+    for batch in batches:
+        for lo, hi, w in tokens.text_chunks(batch.column(1)):
+            sets, runs, first = _own(w)
+            sigs = signatures(runs, first).astype(np.uint8)
+            columns = [batch.column(0).slice(lo, hi - lo), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sigs], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "n", "sig"])
+
+
 #: Pairs for each row of a block that are checked by themselves; a block with more is checked within its task.
 DIRECT = 4
 
@@ -168,9 +186,8 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, w in tokens.text_chunks(batch.column(1)):
-            runs, first = tokens.shingles(w, SHINGLE)
-            own = [np.unique(runs[first[d] : first[d + 1]]).tobytes() for d in range(hi - lo)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], names=["rep", "own"])
+            own = pa.array([x.tobytes() for x in _own(w)[0]], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), own], names=["rep", "own"])
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -205,9 +222,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = []
         for col in (2, 3):
             own: list[np.ndarray] = []
-            for lo, hi, w in tokens.text_chunks(batch.column(col)):
-                runs, first = tokens.shingles(w, SHINGLE)
-                own += [np.unique(runs[first[d] : first[d + 1]]) for d in range(hi - lo)]
+            for _, _, w in tokens.text_chunks(batch.column(col)):
+                own += _own(w)[0]
             sets.append(own)
         keep = [similar(x, y) for x, y in zip(*sets, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -220,26 +236,28 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(_verified, "a long, b long")
 
 
-def link(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store) -> DataFrame:
-    """(rep, component) of ``reps(rep, n, sig, bands)``, by verified similarity of their texts.
+def link(shared: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store) -> DataFrame:
+    """(rep, component) of ``shared(bucket, rep)``, by verified similarity of the texts of reps that share a bucket.
 
     Reps that share no bucket with another are left out.  ``texts`` gives
-    (id, text) of at least the reps in a table (rep).  A rep may come up repeatedly.
+    (id, text) of the reps in a table (rep), once each.
 
     Within a band's bucket, all rows are first compared with the smallest rep
     alone, so that a group of near copies costs its size.  Only buckets that
     hold several components after that are compared row by row, in blocks, and
     only rows of different components.  A block with many candidate pairs is
-    checked within its task, on the sets, and gives only links.
+    checked within its task, on the sets, and gives only links.  A bucket has as
+    many blocks as its rows, and the bytes of their sets, ask for.
     """
-    rows = reps.select("rep", F.explode("bands").alias("bucket"))
+    rows = store.put(shared, "banded")
     stars = rows.groupBy("bucket").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
     # from here on only buckets that hold different sets
     shared = store.put(rows.join(stars.select("bucket", "centre"), "bucket").distinct(), "shared")
+    store.drop("banded")
     crowd = store.put(shared.select("rep").distinct(), "crowd")
-    reps = store.put(reps.select("rep", "n", "sig").join(crowd, "rep", "left_semi").dropDuplicates(["rep"]), "involved")
+    texts = store.put(texts(crowd), "texts")
+    reps = store.put(texts.select("id", "text").mapInArrow(_signed, "rep long, n long, sig binary"), "involved")
     sizes = reps.select("rep", "n")
-    texts = store.put(texts(crowd).join(crowd.withColumnRenamed("rep", "id"), "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
     first = store.put(
         shared.where("rep <> centre")
         .select("rep", "centre")
@@ -253,14 +271,15 @@ def link(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store)
     links = store.put(verify(first, texts), "links-1")
     found = components(links, store, "cc1")
 
-    named = shared.join(found.select(F.col("v").alias("rep"), F.col("component")), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = named.groupBy("bucket").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("members > 2 AND lo <> hi")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int")
+    named = shared.join(found.select(F.col("v").alias("rep"), F.col("component")), "rep", "left").join(sizes, "rep").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    named = store.put(named, "named")
+    mixed = named.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("members > 2 AND lo <> hi")
+    mixed = mixed.select("bucket", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(8 * F.col("shingles") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
     dealt = (
-        named.join(mixed.select("bucket", "members"), "bucket")
-        .select("bucket", "rep", "comp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .join(reps.select("rep", "n", "sig"), "rep")
+        named.join(mixed, "bucket")
+        .select("bucket", "rep", "comp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .join(reps, "rep")
         .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp", "n", "sig")
     )
     looked = store.put(
@@ -270,13 +289,14 @@ def link(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store)
     second = looked.where("a IS NOT NULL").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     crowded = dealt.join(looked.where("a IS NULL").select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi")
     inside = crowded.select("rep").distinct().join(texts.select(F.col("id").alias("rep"), "text"), "rep").select("rep", "text")
-    own = store.put(inside.mapInArrow(_sets, "rep long, own binary").dropDuplicates(["rep", "own"]), "sets")
+    own = store.put(inside.mapInArrow(_sets, "rep long, own binary"), "sets")
     within = crowded.join(own, "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     more = verify(second, texts).union(within.mapInArrow(_linked_within, "a long, b long"))
     to_a = found.select(F.col("v").alias("a"), F.col("component").alias("ca"))
     to_b = found.select(F.col("v").alias("b"), F.col("component").alias("cb"))
     joined = more.join(to_a, "a", "left").join(to_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     over = components(joined, store, "cc2").select(F.col("v").alias("comp"), F.col("component").alias("over"))
+    store.drop("stars", "links-1", "shared", "named", "involved", "leftovers", "sets", "texts")
     return (
         crowd.join(found.select(F.col("v").alias("rep"), "component"), "rep", "left")
         .select("rep", F.coalesce("component", "rep").alias("comp"))
@@ -285,6 +305,15 @@ def link(reps: DataFrame, texts: Callable[[DataFrame], DataFrame], store: Store)
     )
 
 
+def _as_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (rep, digest, text), those whose text has the set of that digest."""
+    for batch in batches:
+        keep = []
+        for lo, _, w in tokens.text_chunks(batch.column(2)):
+            keep += [_digest(x) == batch.column(1)[lo + d].as_py() for d, x in enumerate(_own(w)[0])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["id", "text"]).filter(pa.array(keep, pa.bool_()))
+
+
 def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -293,25 +322,29 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     smallest id that links lead to, the row's own included, and kept says that
     this is its own.  Texts that are null, empty or without words have an empty
     set and no links.  Rows of equal sets are one class, compared once, however
-    many there are.  A row without an id has no component and is kept; rows of
-    the same id stand for themselves.  Other columns are not read.
+    many there are.  A row without an id has no component and is kept.  Rows of
+    the same id stand for themselves: texts of theirs that differ are different
+    classes, and links lead through a class, not through an id.  Other columns
+    are not read.
     """
     store = store or Store(docs.sparkSession, "minhash")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = store.put(source.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>, sig binary"), "sketch")
+    sketch = store.put(source.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>"), "sketch")
     full = sketch.where("n > 0 AND id IS NOT NULL")
-    classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
-    reps = store.put(
-        full.join(classes, "digest").where("id = rep").select("rep", "n", "sig", "bands").dropDuplicates(["rep", "sig", "n"]), "reps"
-    )
-    linked = link(reps, lambda _: source.where("id IS NOT NULL"), store)
-
-    members = (
-        full.select("id", "n", "digest")
-        .join(classes, "digest")
-        .join(linked, "rep", "left")
-        .select("id", "n", F.coalesce("component", "rep").alias("component_id"))
-    )
+    classes = full.groupBy("digest").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands"))
+    classes = store.put(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+    def texts(crowd: DataFrame) -> DataFrame:
+        asked = classes.join(crowd, "rep", "left_semi").select("rep", "digest", F.col("least").alias("id"))
+        found = source.join(asked, "id").select("rep", "digest", "text").mapInArrow(_as_named, "id long, text string")
+        return found.groupBy("id").agg(F.any_value("text").alias("text"))
+
+    linked = store.put(link(classes.select(F.explode("bands").alias("bucket"), "rep"), texts, store), "linked")
+    # a component goes by its smallest id
+    least = classes.select("rep", "least").join(linked, "rep").groupBy("component").agg(F.min("least").alias("component_id"))
+    moved = store.put(linked.join(least, "component").select("rep", "component_id"), "moved")
+    named = store.put(classes.select("digest", "rep", "least").join(moved, "rep", "left").select("digest", F.coalesce("component_id", "least").alias("component_id")), "named")
+    members = full.select("id", "n", "digest").join(named, "digest").select("id", "n", "component_id")
     alone = sketch.where("NOT (n > 0 AND id IS NOT NULL)").select("id", "n", F.col("id").alias("component_id"))
     return members.union(alone).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")

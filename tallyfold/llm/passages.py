@@ -1,176 +1,69 @@
-"""Passages that repeat: lines, exactly or nearly, by MinHash banding, then verbatim runs of words in any lines; all but the first of each are cut."""
+"""Passages that repeat across documents: paragraphs, exactly or nearly, by MinHash banding, and verbatim runs of words; all but the first of each are cut.
+
+Paragraphs are bounded by what stands in them, not by lines, so a passage has
+the same ones in whatever lines, and behind whatever words, it stands.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyfold.llm import minhash, tokens
+from tallyfold.llm import minhash, packed, tokens
 from tallyfold.llm.store import Store
 
-#: Words from which a line is a passage.
+#: A paragraph begins at the word whose hash, with that of the next one, is least among those of so many words on either side.
+AROUND = 32
+#: Words from which a paragraph is a passage; only the first and last of a document can be shorter.
 LEAST_WORDS = 32
 #: Words of a window, and consecutive windows of which the one of the smallest hash is a mark.  Each run of at least
 #: WINDOW + WITHIN - 1 = 47 words that two documents share holds a mark of both.
 WINDOW, WITHIN = 32, 16
 #: Words on either side of a mark up to which a match is followed past it.
 REACH = 32
-#: Bands of minima, and minima in a band: 0.99985 of pairs at a similarity of 0.75 meet in a band.
-BANDS, ROWS = 16, 3
-
-
-def _lines(buf: np.ndarray, off: np.ndarray, least: int) -> tuple[tokens.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the lines (split at \\n) of at least ``least`` words; and each such line's document, number and byte range."""
-    base = int(off[0])
-    b, rel = buf[base : int(off[-1])], off - base
-    cut = np.flatnonzero(b == 10)
-    # lines begin at documents' starts and after \\n; empty documents share a start with the next
-    begin = np.unique(np.concatenate([rel[:-1], cut + 1]))
-    begin = begin[begin < len(b)]
-    end = np.append(begin[1:], len(b))
-    if not len(begin):
-        return tokens.words(b, np.zeros(1, np.int64)), np.zeros(0, int), np.zeros(0, int), np.zeros((0, 2), int)
-    doc = np.searchsorted(rel, begin, side="right") - 1
-    number = np.arange(len(begin)) - np.searchsorted(begin, rel[doc])
-    w = tokens.words(b, np.append(begin, len(b)))
-    use = np.flatnonzero(np.diff(w.first) >= least)
-    keep = np.repeat(np.diff(w.first) >= least, np.diff(w.first))
-    first = np.concatenate([[0], np.cumsum(np.diff(w.first)[use])])
-    own = tokens.Words(w.hash[keep], w.start[keep], w.end[keep], first, w.buf, w.off)
-    tail = (b[end[use] - 1] == 10).astype(int)
-    return own, doc[use], number[use], np.column_stack([begin[use], end[use] - tail])
-
-
-def _sets(w: tokens.Words) -> Iterator[tuple[np.ndarray, int]]:
-    """Each passage's shingle set and its 64-bit name."""
-    runs, first = tokens.shingles(w, minhash.SHINGLE)
-    for d in range(len(w.first) - 1):
-        own = np.unique(runs[first[d] : first[d + 1]])
-        yield own, xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
-
-
-def _sketch(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set[int] = set()
-            buf, off = tokens.buffers(batch.column(1))
-            for lo, hi in tokens.chunks(off):
-                w, doc, number, _ = _lines(buf, off[lo : hi + 1], least)
-                names, n, bands, sigs = [], [], [], []
-                for own, name in _sets(w):
-                    names.append(name)
-                    n.append(len(own))
-                    if name in seen:  # a passage's bands go on once for each batch
-                        bands.append(np.zeros(0, np.int64))
-                        sigs.append(None)
-                        continue
-                    seen.add(name)
-                    sig = minhash.signature(own, BANDS * ROWS)
-                    bands.append(minhash.band_keys(sig, ROWS))
-                    sigs.append(sig.astype(np.uint8).tobytes())
-                at = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(doc + lo)),
-                        pa.array(number, pa.int32()),
-                        pa.array(names, pa.int64()),
-                        pa.array(n, pa.int64()),
-                        pa.array(sigs, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *bands]))),
-                    ],
-                    names=["id", "line", "rep", "n", "sig", "bands"],
-                )
-
-    return run
-
-
-#: Bits of the filter that says which passages' texts are asked for, and bits that each name sets.
-FILTER_BITS, FILTER_HASHES = 1 << 26, 2
-
-
-def _bits(names: np.ndarray) -> np.ndarray:
-    h = tokens.mix64(names.view(np.uint64))
-    return np.stack([(h >> np.uint64(38 * k)) & np.uint64(FILTER_BITS - 1) for k in range(FILTER_HASHES)])
-
-
-def _filter(crowd: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``crowd(rep)``: 8 MB, however many there are; it lets through too much rather than too little."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(FILTER_BITS // 64, np.uint64)
-        for batch in batches:
-            at = _bits(batch.column(0).to_numpy().astype(np.int64)).ravel()
-            np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        used = np.flatnonzero(own)
-        for lo in range(0, len(used), 50_000):
-            part = used[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(own[part].view(np.int64))], names=["word", "bits"])
-
-    found = crowd.select("rep").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return out
-
-
-def _texts(least: int, wanted):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = wanted.value
-        for batch in batches:
-            seen: set[int] = set()
-            buf, off = tokens.buffers(batch.column(0))
-            for lo, hi in tokens.chunks(off):
-                w, _, _, span = _lines(buf, off[lo : hi + 1], least)
-                part = buf[int(off[lo]) : int(off[hi])]
-                names, texts = [], []
-                found = [name for _, name in _sets(w)]
-                at = _bits(np.array(found, np.int64))
-                asked = (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).all(axis=0)
-                for name, ask, (a, b) in zip(found, asked.tolist(), span.tolist(), strict=True):
-                    if ask and name not in seen:
-                        seen.add(name)
-                        names.append(name)
-                        texts.append(part[a:b].tobytes().decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
-
-    return run
-
-
-def repeats(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """One row for each repeated passage that goes: id, line (from 0), n_words' shingles, component, first_id, first_line.
-
-    A passage is a line of at least ``least`` words.  Passages are linked if the
-    Jaccard similarity of their sets of 5-word shingles is at least 0.75,
-    confirmed on the full sets; of each component the passage of the smallest id
-    and line stays.  A passage is named by a 64-bit hash of its set, so equal
-    ones are compared once however often they stand.  Rows without an id or a
-    text have no passages, and rows of one id are one document: none of them is
-    cut for another's sake.  An empty table gives an empty result.
-    """
-    store = store or Store(docs.sparkSession, "passages")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    sketch = store.put(source.mapInArrow(_sketch(least), "id long, line int, rep long, n long, sig binary, bands array<long>"), "sketch")
-    reps = sketch.where("sig IS NOT NULL").select("rep", "n", "sig", "bands")
-
-    def texts(crowd: DataFrame) -> DataFrame:
-        wanted = docs.sparkSession.sparkContext.broadcast(_filter(crowd))
-        return source.select("text").mapInArrow(_texts(least, wanted), "id long, text string")
-
-    linked = minhash.link(reps, texts, store)
-    places = sketch.groupBy("rep").agg(F.count("*").alias("times"), F.min(F.struct("id", "line")).alias("first"))
-    named = places.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    groups = named.groupBy("component").agg(F.sum("times").alias("times"), F.min("first").alias("first")).where("times > 1")
-    of_rep = store.put(named.select("rep", "component").join(groups.select("component", "first"), "component"), "groups")
-    return (
-        sketch.select("id", "line", "rep", "n")
-        .join(of_rep, "rep")
-        .where((F.col("id") != F.col("first.id")) | (F.col("line") != F.col("first.line")))
-        .select(F.col("id").alias(id_col), "line", F.col("n").alias("n_shingles"), "component", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
-    )
+#: Bands of minima, and minima in a band: 0.9977 of pairs at a similarity of 0.75 meet in a band, 0.99994 of those at 0.85.
+BANDS, ROWS = 16, 4
+#: Bytes of text in a part; a longer text is a part by itself.
+PART_BYTES = 8 << 20
+
+
+def paragraphs(w: tokens.Words) -> np.ndarray:
+    """The first words of all paragraphs of consecutive documents, and the number of words."""
+    n = len(w.hash)
+    counts = np.diff(w.first)
+    if not n:
+        return np.zeros(1, np.int64)
+    two = tokens.mix64(w.hash * tokens._BASE + np.append(w.hash[1:], np.uint64(0)))
+    last = w.first[1:][counts > 0] - 1
+    two[last] = ~np.uint64(0)
+    # documents lie AROUND places apart, so that none looks at another's words
+    place = np.arange(n) + AROUND * (1 + np.repeat(np.arange(len(counts)), counts))
+    wide = np.full(n + AROUND * (len(counts) + 2), ~np.uint64(0))
+    wide[place] = two
+    least, width = wide, 1
+    while width < AROUND:
+        step = min(width, AROUND - width)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        width += step
+    begins = (two < least[place - AROUND]) & (two <= least[place + 1])
+    begins[w.first[:-1][counts > 0]] = True
+    return np.append(np.flatnonzero(begins), n)
+
+
+def _names(w: tokens.Words) -> np.ndarray:
+    """A 64-bit name of each of ``w``'s word sequences, none of which is empty."""
+    counts = np.diff(w.first)
+    place = np.arange(len(w.hash)) - np.repeat(w.first[:-1], counts)
+    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(counts.max(initial=1)), tokens._BASE)]), dtype=np.uint64)
+    total = np.add.reduceat(w.hash * power[place], w.first[:-1]) if len(counts) else np.zeros(0, np.uint64)
+    return tokens.mix64(total ^ counts.astype(np.uint64)).view(np.int64)
 
 
 def _marks(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -201,17 +94,6 @@ def _marks(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
     return run[at], at
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, _, w in tokens.text_chunks(batch.column(2)):
-            mark, at = _marks(w)
-            doc = np.searchsorted(w.first, at, side="right") - 1
-            where = pa.array(doc + lo)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(where), batch.column(1).take(where), pa.array((at - w.first[doc]).astype(np.int32)), pa.array(mark.view(np.int64))], names=["row", "id", "at", "mark"]
-            )
-
-
 def _around(w: tokens.Words, d: int, at: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of up to REACH words before a window of document ``d``, the nearest first, and of up to as many after it."""
     a, z = int(w.first[d]), int(w.first[d + 1])
@@ -231,38 +113,20 @@ def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (row, matches), the matches from which a span of them may go on: those near its ends."""
+    """Of rows (id, h, matches), the matches from which a span of them may go on: those near its ends."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
     for batch in batches:
-        out: list[tuple[int, int, int, int]] = []
-        for row, matches in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        out: list[tuple[int, ...]] = []
+        for row, h, matches in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
             spans = _merged([(m["at"], m["at"] + WINDOW) for m in matches])
             k = 0
             for m in sorted(matches, key=lambda m: m["at"]):
                 while m["at"] >= spans[k][1]:
                     k += 1
                 if m["at"] - spans[k][0] <= WITHIN or spans[k][1] - m["at"] - WINDOW <= WITHIN:
-                    out.append((row, m["at"], m["first_row"], m["first_at"]))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)], names=["row", "at", "first_row", "first_at"])
-
-
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(first_row, first_at, before, after) of rows (row, text, ats): the words around each of the windows asked for."""
-    for batch in batches:
-        wanted = batch.column(2).to_pylist()
-        for lo, hi, w in tokens.text_chunks(batch.column(1)):
-            rows, ats, before, after = [], [], [], []
-            for d in range(hi - lo):
-                row = batch.column(0)[lo + d].as_py()
-                for at in wanted[lo + d]:
-                    x, y = _around(w, d, at)
-                    rows.append(row)
-                    ats.append(at)
-                    before.append(x.tobytes())
-                    after.append(y.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(ats, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["first_row", "first_at", "before", "after"]
-            )
+                    out.append((row, h, m["at"], m["first_id"], m["first_h"], m["first_at"]))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["id", "h", "at", "first_id", "first_h", "first_at"])
 
 
 def _agree(x: np.ndarray, y: np.ndarray) -> int:
@@ -292,86 +156,257 @@ def _without(text: bytes, start: np.ndarray, end: np.ndarray, spans: list[tuple[
     return out + text[last:]
 
 
-def _spans_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, text, spans, first_ids) of rows (row, text, ats, first_ids, edges): the text without the words that stand in earlier documents."""
+#: A part: its rows (id, h), paragraphs (row, first word, past the last, name), what belongs to each name (text, band keys), marks (row, first word, key).
+_PART = (
+    "part long, ids array<long>, hs array<long>, p_row array<int>, p_from array<int>, p_to array<int>, p_name array<long>, "
+    "names array<long>, texts array<string>, bands binary, m_row array<int>, m_at array<int>, marks binary"
+)
+
+
+def _sketch(least: int, part_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            buf, off = tokens.buffers(batch.column(2))
+            for lo, hi in tokens.chunks(off, part_bytes):
+                rows: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
+                names, texts, bands = [], [], []
+                seen: set[int] = set()
+                for a, z in tokens.chunks(off[lo : hi + 1]):
+                    w = tokens.words(buf, off[lo + a : lo + z + 1])
+                    cuts = paragraphs(w)
+                    size = np.diff(cuts)
+                    use = np.flatnonzero(size >= least)
+                    begin, end = cuts[:-1][use], cuts[1:][use]
+                    doc = np.searchsorted(w.first, begin, side="right") - 1
+                    keep = np.repeat(size >= least, size)
+                    own = tokens.Words(w.hash[keep], w.start[keep], w.end[keep], np.concatenate([[0], np.cumsum(size[use])]), w.buf, w.off)
+                    name = _names(own)
+                    keys = minhash.band_keys(minhash.signatures(*tokens.shingles(own, minhash.SHINGLE), BANDS * ROWS), ROWS)
+                    for k, x in enumerate(name.tolist()):
+                        if x not in seen:
+                            seen.add(x)
+                            names.append(x)
+                            texts.append(w.buf[int(w.start[begin[k]]) : int(w.end[end[k] - 1])].tobytes().decode("utf-8", "replace"))
+                            bands.append(keys[k])
+                    mark, at = _marks(w)
+                    where = np.searchsorted(w.first, at, side="right") - 1
+                    for held, x in zip(rows, (doc + a, begin - w.first[doc], end - w.first[doc], name, where + a, at - w.first[where], mark), strict=True):
+                        held.append(x)
+                p_row, p_from, p_to, p_name, m_row, m_at, marks = (np.concatenate(x) for x in rows)
+                listed = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kind) if not isinstance(x, pa.Array) else x)
+                columns = [
+                    pa.array([part]),
+                    listed(batch.column(0).slice(lo, hi - lo), None),
+                    listed(batch.column(1).slice(lo, hi - lo), None),
+                    *(listed(x.astype(np.int32), pa.int32()) for x in (p_row, p_from, p_to)),
+                    listed(p_name, pa.int64()),
+                    listed(names, pa.int64()),
+                    listed(texts, pa.string()),
+                    pa.array([np.array(bands, np.uint64).tobytes()], pa.binary()),
+                    *(listed(x.astype(np.int32), pa.int32()) for x in (m_row, m_at)),
+                    pa.array([marks.tobytes()], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _PART.split(", ")])
+                part += 1
+
+    return run
+
+
+def _ask(buckets: int):
+    """A part's band keys (once for each name) and marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                for size, data in ((1, row["bands"]), (2, row["marks"])):
+                    keys, n = np.unique(np.frombuffer(data, np.uint64), return_counts=True)
+                    yield packed.question(row["part"], size, keys, n, buckets)
+
+    return run
+
+
+def _met(buckets: int):
+    """What a part shares: (kind 1) names with the band keys that stand elsewhere too, and their texts; (kind 2) marks with their places."""
+
+    def again(data: bytes, answers: pa.Table, size: int) -> np.ndarray:
+        keys, at, n = np.unique(np.frombuffer(data, np.uint64), return_inverse=True, return_counts=True)
+        return ((packed.counted(keys, n, answers, size, buckets)[1]) | (n > 1))[at]
+
+    def run(part: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for row in part.to_pylist():
+            band = np.frombuffer(row["bands"], np.int64).reshape(-1, BANDS)
+            hit = again(row["bands"], answers, 1).reshape(-1, BANDS)
+            some = np.flatnonzero(hit.any(axis=1))
+            off = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
+            names = np.array(row["names"], np.int64)
+            none = pa.nulls(len(some), pa.int64())
+            texts = row["texts"]
+            named = [
+                pa.array(np.ones(len(some), np.int32)),
+                pa.array(names[some]),
+                none,
+                none,
+                pa.nulls(len(some), pa.int32()),
+                pa.ListArray.from_arrays(pa.array(off), pa.array(band[some][hit[some]])),
+                pa.array([texts[k] for k in some.tolist()], pa.string()),
+            ]
+            here = np.flatnonzero(again(row["marks"], answers, 2))
+            of = np.array(row["m_row"], np.int64)[here]
+            ids, hs = pa.array(row["ids"], pa.int64()), pa.array(row["hs"], pa.int64())
+            marked = [
+                pa.array(np.full(len(here), 2, np.int32)),
+                pa.array(np.frombuffer(row["marks"], np.int64)[here]),
+                ids.take(pa.array(of)),
+                hs.take(pa.array(of)),
+                pa.array(np.array(row["m_at"], np.int32)[here]),
+                pa.nulls(len(here), pa.list_(pa.int64())),
+                pa.nulls(len(here), pa.string()),
+            ]
+            out += [pa.table(x, names=["kind", "key", "id", "h", "at", "bands", "text"]) for x in (named, marked)]
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, at, before, after) of rows (id, h, text, ats): the words around each of the windows asked for."""
     for batch in batches:
-        ats, edges = batch.column(2).to_pylist(), batch.column(4).to_pylist()
-        raw, off = tokens.buffers(batch.column(1))
-        for lo, hi, w in tokens.text_chunks(batch.column(1)):
-            texts, all_spans = [], []
+        wanted = batch.column(3).to_pylist()
+        for lo, hi, w in tokens.text_chunks(batch.column(2)):
+            row, ats, before, after = [], [], [], []
             for d in range(hi - lo):
-                a0, z0 = int(w.first[d]), int(w.first[d + 1])
-                found = [(at, at + WINDOW) for at in ats[lo + d]]
-                for m in edges[lo + d]:
-                    x, y = _around(w, d, m["at"])
-                    found.append((m["at"] - _agree(x, np.frombuffer(m["before"], np.uint64)), m["at"] + WINDOW + _agree(y, np.frombuffer(m["after"], np.uint64))))
-                spans = _merged(found)
-                own = raw[int(off[lo + d]) : int(off[lo + d + 1])].tobytes()
-                base = int(off[lo + d] - off[lo])
-                texts.append(_without(own, w.start[a0:z0] - base, w.end[a0:z0] - base, spans).decode("utf-8", "replace"))
-                all_spans.append([list(s) for s in spans])
+                for at in wanted[lo + d]:
+                    x, y = _around(w, d, at)
+                    row.append(lo + d)
+                    ats.append(at)
+                    before.append(x.tobytes())
+                    after.append(y.tobytes())
+            where = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(texts, pa.string()), pa.array(all_spans, pa.list_(pa.list_(pa.int32()))), batch.column(3).slice(lo, hi - lo)],
-                names=["row", "text", "spans", "first_ids"],
+                [batch.column(0).take(where), batch.column(1).take(where), pa.array(ats, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["id", "h", "at", "before", "after"]
             )
 
 
-def runs(texts: DataFrame, store: Store) -> DataFrame:
-    """(row, text, spans, first_ids) of the rows of ``texts(row, id, text)`` that share a run of words with a document of a smaller id.
+def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, from, to) of rows (id, h, at, before, after, and both of the match): a window with the words around it that are the same."""
+    for batch in batches:
+        at = batch.column(2).to_numpy()
+        grown = []
+        for k in (3, 4):
+            pairs = zip(batch.column(k).to_pylist(), batch.column(k + 2).to_pylist(), strict=True)
+            grown.append(np.array([_agree(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs], np.int64))
+        cols = [batch.column(0), batch.column(1), pa.array((at - grown[0]).astype(np.int32)), pa.array((at + WINDOW + grown[1]).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(cols, names=["id", "h", "from", "to"])
 
-    A run is words that follow each other, however they are laid out in lines.
-    Every run of at least 47 words is found, and of shorter ones of 32 or more
-    those that hold a mark.  ``spans`` are the ranges of words that go (from,
-    past the last), ``first_ids`` the documents in which they stand first.
-    ``row`` tells rows apart that share an id.
-    """
-    source = texts.where("id IS NOT NULL AND text IS NOT NULL")
-    marks = store.put(source.select("row", "id", "text").mapInArrow(_marked, "row long, id long, at int, mark long"), "marks")
-    firsts = marks.groupBy("mark").agg(F.min(F.struct("id", "row", "at")).alias("first"), F.max("id").alias("last")).where("first.id < last")
-    firsts = store.put(firsts.select("mark", F.col("first.id").alias("first_id"), F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")), "firsts")
-    matches = (
-        marks.join(firsts, "mark")
-        .where("id > first_id")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("at", "first_row", "first_at")).alias("matches"), F.sort_array(F.collect_set("first_id")).alias("first_ids"))
+
+def _cut(place: int):
+    """Rows (row, spans, firsts) without the words of the spans in field ``place`` of the row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0)
+            fields = rows.flatten()
+            raw, off = tokens.buffers(fields[place])
+            wanted = batch.column(1).to_pylist()
+            texts, spans = fields[place].to_pylist(), [[] for _ in wanted]
+            for k in [k for k, x in enumerate(wanted) if x]:
+                w = tokens.words(raw, off[k : k + 2])
+                spans[k] = _merged([(s["from"], s["to"]) for s in wanted[k]])
+                texts[k] = _without(raw[int(off[k]) : int(off[k + 1])].tobytes(), w.start, w.end, spans[k]).decode("utf-8", "replace")
+            fields[place] = pa.array(texts, fields[place].type)
+            yield pa.RecordBatch.from_arrays(
+                [pa.StructArray.from_arrays(fields, fields=list(rows.type)), pa.array(spans, pa.list_(pa.list_(pa.int32()))), batch.column(2)], names=["row", "cut_spans", "kept_in"]
+            )
+
+    return run
+
+
+def _nullable(kind: T.StructType) -> T.StructType:
+    text = kind.json()
+    for word in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{word}":false', f'"{word}":true')
+    return T.StructType.fromJson(json.loads(text))
+
+
+def repeats(parts: DataFrame, met: DataFrame, store: Store) -> DataFrame:
+    """(id, h, from, to, first_id) of all paragraphs that repeat one of a document of a smaller id, by what ``_sketch`` and ``_met`` found."""
+    named = met.where("kind = 1").select(F.col("key").alias("rep"), "bands", "text")
+
+    def texts(crowd: DataFrame) -> DataFrame:
+        return named.select("rep", "text").join(crowd, "rep", "left_semi").groupBy(F.col("rep").alias("id")).agg(F.any_value("text").alias("text"))
+
+    linked = store.put(minhash.link(named.select(F.explode("bands").alias("bucket"), "rep"), texts, store), "linked")
+    each = F.explode(F.arrays_zip("p_row", "p_from", "p_to", "p_name")).alias("p")
+    places = parts.select("ids", "hs", each).select(
+        F.get("ids", F.col("p.p_row")).alias("id"), F.get("hs", F.col("p.p_row")).alias("h"), F.col("p.p_from").alias("from"), F.col("p.p_to").alias("to"), F.col("p.p_name").alias("rep")
     )
-    matches = store.put(matches, "matches")
-    edges = store.put(matches.select("row", "matches").mapInArrow(_edges, "row long, at int, first_row long, first_at int"), "edges")
-    asked = edges.groupBy("first_row").agg(F.collect_set("first_at").alias("ats"))
-    around = source.select(F.col("row").alias("first_row"), "text").join(asked, "first_row").select("first_row", "text", "ats")
-    around = store.put(around.mapInArrow(_surroundings, "first_row long, first_at int, before binary, after binary"), "around")
-    ends = edges.join(around, ["first_row", "first_at"]).groupBy("row").agg(F.collect_list(F.struct("at", "before", "after")).alias("edges"))
-    met = source.select("row", "text").join(matches.select("row", F.col("matches.at").alias("ats"), "first_ids"), "row").join(ends, "row")
-    return met.select("row", "text", "ats", "first_ids", "edges").mapInArrow(_spans_cut, "row long, text string, spans array<array<int>>, first_ids array<long>")
-
-
-def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS) -> DataFrame:
-    """The rows of ``docs`` with their repeated passages taken out of the text: lines (see ``repeats``), then runs of words (see ``runs``).
-
-    ``cut_lines`` are the numbers of the lines that went, ``cut_spans`` the
-    ranges of words that went of what the lines left, and ``kept_in`` the ids of
-    the documents in which those passages stay; columns of these names are
-    replaced.
+    ids = places.groupBy("rep").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    of_rep = store.put(ids.join(linked, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"), "first_id", "last_id"), "of-rep")
+    groups = of_rep.groupBy("component").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")).where("first_id < last_id")
+    gone = store.put(of_rep.select("rep", "component").join(groups, "component").select("rep", "first_id"), "gone")
+    return places.join(gone, "rep").where("id > first_id").select("id", "h", "from", "to", "first_id")
+
+
+def runs(source: DataFrame, met: DataFrame, store: Store) -> DataFrame:
+    """(id, h, from, to, first_id) of verbatim runs of words that a document of a smaller id has too, of ``source(id, h, text)``, by ``_met``'s marks.
+
+    Every run of at least 47 words is found whatever its lines, and of shorter
+    ones of 32 or more those that hold a mark; ``first_id`` is null for the
+    words by which a match has grown.
     """
-    store = store or Store(docs.sparkSession, "passages")
-    gone = repeats(docs, store, id_col, text_col, least).groupBy(F.col(id_col).alias("__id")).agg(
-        F.sort_array(F.collect_set("line")).alias("__gone"), F.sort_array(F.collect_set("first_id")).alias("__where")
-    )
-    gone = store.put(gone, "gone")
-    joined = docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left")
-    text = F.when(
-        F.col("__gone").isNull(), docs[text_col]
-    ).otherwise(F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n"))
-    own = [c for c in docs.columns if c not in ("cut_lines", "cut_spans", "kept_in")]
-    lined = joined.select(*[text.alias(c) if c == text_col else docs[c] for c in own], "__gone", "__where", F.monotonically_increasing_id().alias("__row"))
-    lined = store.put(lined, "lined")
-    found = runs(lined.select(F.col("__row").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), store)
-    found = store.put(found.select(F.col("row").alias("__of"), F.col("text").alias("__text"), F.col("spans").alias("__spans"), F.col("first_ids").alias("__firsts")), "runs")
-    both = lined.join(found, lined["__row"] == found["__of"], "left")
-    places = F.array().cast("array<long>")
-    return both.select(
-        *[F.when(F.col("__of").isNull(), lined[c]).otherwise(F.col("__text")).alias(c) if c == text_col else lined[c] for c in own],
-        F.coalesce("__gone", F.array().cast("array<int>")).alias("cut_lines"),
-        F.coalesce("__spans", F.array().cast("array<array<int>>")).alias("cut_spans"),
-        F.array_sort(F.array_union(F.coalesce("__where", places), F.coalesce("__firsts", places))).alias("kept_in"),
-    )
+    marks = met.where("kind = 2").select("key", "id", "h", "at")
+    firsts = marks.groupBy("key").agg(F.min(F.struct("id", "h", "at")).alias("first"), F.max("id").alias("last")).where("first.id < last")
+    firsts = store.put(firsts.select("key", F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"), F.col("first.at").alias("first_at")), "firsts")
+    found = store.put(marks.join(firsts, "key").where("id > first_id").select("id", "h", "at", "first_id", "first_h", "first_at"), "matches")
+    grouped = found.groupBy("id", "h").agg(F.collect_list(F.struct("at", "first_id", "first_h", "first_at")).alias("matches"))
+    edges = store.put(grouped.mapInArrow(_edges, "id long, h long, at int, first_id long, first_h long, first_at int"), "edges")
+    asked = edges.select("id", "h", "at").union(edges.select("first_id", "first_h", "first_at")).groupBy("id", "h").agg(F.collect_set("at").alias("ats"))
+    around = source.join(asked, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "h", "text", "ats")
+    around = store.put(around.mapInArrow(_surroundings, "id long, h long, at int, before binary, after binary"), "around")
+    theirs = around.select(F.col("id").alias("first_id"), F.col("h").alias("first_h"), F.col("at").alias("first_at"), F.col("before").alias("b"), F.col("after").alias("a"))
+    both = edges.join(around, ["id", "h", "at"]).join(theirs, ["first_id", "first_h", "first_at"]).select("id", "h", "at", "before", "after", "b", "a")
+    grown = both.mapInArrow(_grown, "id long, h long, from int, to int").select("*", F.lit(None).cast("long").alias("first_id"))
+    return found.select("id", "h", F.col("at").alias("from"), (F.col("at") + WINDOW).alias("to"), "first_id").union(grown)
+
+
+def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs`` without the passages that stand in a document of a smaller id.
+
+    Passages are paragraphs of at least ``least`` words, linked if the Jaccard
+    similarity of their sets of 5-word shingles is at least 0.75, confirmed on
+    the full sets: of each component the document of the smallest id keeps its
+    paragraphs.  They are also all verbatim runs of 47 words or more, as far as
+    the first document that holds their outer marks agrees (which leaves at most
+    15 words at an end).  ``cut_spans`` are the ranges of words (from, past the last) that
+    went from a text, ``kept_in`` the ids of the documents in which they stay;
+    columns of these names are replaced.
+
+    Rows of one id are one document: none is cut for another's sake, nor is
+    what repeats only within a document.  Rows without an id or a text stay as
+    they are.  Equal rows fare alike.  An empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    store = store or Store(spark, "passages")
+    key = [F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("h")]
+    source = docs.select(*key, F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    parts = store.put(source.mapInArrow(_sketch(least, part_bytes), _PART), "parts")
+    sizes = parts.agg(F.sum(F.size("names") * BANDS), F.sum(F.size("m_at"))).first()
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-max(sizes[0] or 0, sizes[1] or 0) // packed.BUCKET_KEYS))
+    answers = store.put(packed.settle(parts.select("part", "bands", "marks").mapInArrow(_ask(buckets), packed.ASKED)), "answers")
+    shown = parts.select("part", "ids", "hs", "names", "texts", "bands", "m_row", "m_at", "marks")
+    fields = "kind int, key long, id long, h long, at int, bands array<long>, text string"
+    met = store.put(shown.groupBy("part").cogroup(answers.where("part >= 0").groupBy("part")).applyInArrow(_met(buckets), fields), "met")
+    gone = store.put(repeats(parts, met, store), "paragraphs")
+    store.drop("parts", "answers")
+    gone = gone.union(runs(source, met, store))
+    spans = gone.groupBy("id", "h").agg(F.collect_set(F.struct("from", "to")).alias("spans"), F.sort_array(F.collect_set("first_id")).alias("firsts"))
+    spans = store.put(spans.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans", "firsts"), "spans")
+    own = [c for c in docs.columns if c not in ("cut_spans", "kept_in")]
+    kind = _nullable(docs.select(*own).schema)
+    keyed = docs.select(F.struct(*own).cast(kind).alias("__row"), key[0].alias("__of"), key[1].alias("__as"))
+    joined = keyed.join(spans, (F.col("__of") == F.col("__id")) & (F.col("__as") == F.col("__h")), "left").select("__row", "spans", F.coalesce("firsts", F.array().cast("array<long>")).alias("firsts"))
+    out = T.StructType([T.StructField("row", kind), *T._parse_datatype_string("cut_spans array<array<int>>, kept_in array<long>").fields])
+    store.free()
+    return joined.mapInArrow(_cut(own.index(text_col)), out).select("row.*", "cut_spans", "kept_in")

@@ -24,7 +24,7 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages that stand elsewhere before."""
     cleaned = passages.cut(_table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", (F.size("cut_lines") + F.size("cut_spans")).alias("n_cut"), "cut_lines", "cut_spans", "kept_in", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars_left"))
+    return cleaned.select("doc_id", "text", F.size("cut_spans").alias("n_cut"), "cut_spans", "kept_in", F.length("text").alias("n_chars_left"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

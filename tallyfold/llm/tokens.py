@@ -73,7 +73,29 @@ def chunks(off: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 
 
 def words(buf: np.ndarray, off: np.ndarray, lower: bool = True) -> Words:
-    """The words of the documents between ``off[0]`` and ``off[-1]``."""
+    """The words of the documents between ``off[0]`` and ``off[-1]``; a long range is taken piece by piece."""
+    lo, hi = int(off[0]), int(off[-1])
+    if hi - lo <= 2 * CHUNK_BYTES:
+        return _words(buf, off, lower)
+    pieces, at = [], lo
+    while at < hi:
+        to = min(hi, at + CHUNK_BYTES)
+        if to < hi:  # up to the last space, or, where there is none, the next one
+            space = np.flatnonzero(SPACE[buf[at:to]])
+            while not len(space) and to < hi:
+                more = min(hi, to + CHUNK_BYTES)
+                space = np.flatnonzero(SPACE[buf[to:more]]) + (to - at)
+                to = more
+            to = at + int(space[-1]) + 1 if len(space) else hi
+        inner = off[(off > at) & (off < to)]
+        w = _words(buf, np.concatenate([[at], inner, [to]]), lower)
+        pieces.append((w.hash, w.start + (at - lo), w.end + (at - lo), w.buf))
+        at = to
+    hashes, start, end, b = (np.concatenate(x) for x in zip(*pieces, strict=True))
+    return Words(hashes, start, end, np.searchsorted(start, off - lo), b, off - lo)
+
+
+def _words(buf: np.ndarray, off: np.ndarray, lower: bool) -> Words:
     base = int(off[0])
     b, off = buf[base : int(off[-1])], off - base
     n = len(b)
@@ -167,41 +189,3 @@ class Index:
             if not len(rest):
                 break
         return out
-
-
-class Counter:
-    """Counts of 64-bit keys within a task; ``add`` hands back what has outgrown the memory for it."""
-
-    LIMIT = 4_000_000
-
-    def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.held = 0
-        self.packed = 0
-
-    def add(self, keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        u, c = np.unique(keys, return_counts=True)
-        self.keys.append(u)
-        self.counts.append(c)
-        self.held += len(u)
-        if self.held < max(1_000_000, 2 * self.packed):
-            return []
-        out = self.take()
-        self.packed = len(out[0][0]) if out else 0
-        if self.packed > self.LIMIT:
-            self.packed = 0
-            return out
-        for u, c in out:
-            self.keys, self.counts, self.held = [u], [c], len(u)
-        return []
-
-    def take(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        if not self.keys:
-            return []
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-        self.keys, self.counts, self.held = [], [], 0
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        lead = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        return [(keys[lead], np.add.reduceat(counts, lead))] if len(keys) else []

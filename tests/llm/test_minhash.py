@@ -1,5 +1,4 @@
 import random
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +77,9 @@ def test_signature_estimates_jaccard():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 2**63, 1000).astype(np.uint64)
     y = np.concatenate([x[:800], rng.integers(0, 2**63, 200).astype(np.uint64)])
-    agree = (minhash.signature(x, 2000) == minhash.signature(y, 2000)).mean()
-    assert abs(agree - 800 / 1200) < 0.05
+    got = minhash.signatures(np.concatenate([x, y, x, x]), np.array([0, 1000, 1000, 2000, 4000]), 2000)
+    assert abs((got[0] == got[2]).mean() - 800 / 1200) < 0.05
+    assert (got[0] == got[3]).all() and (got[1] == 0xFFFFFFFF).all()
 
 
 def test_near_duplicates_equal_brute_force(spark, table, make):
@@ -117,32 +117,20 @@ def test_components_of_paths_and_stars(spark):
     assert all(got[k] == 0 for k in range(41)) and all(got[k] == 100 for k in range(100, 130)) and got[99] == 41
 
 
-def test_passages_equal_brute_force(spark, table, make):
-    r = random.Random(2)
-    shared = [make(k, 60) for k in range(4)]
-    rows, lines = [], {}
-    for i in range(30):
-        own = [make(1000 + i, 45), "short line", ""]
-        if i % 2:
-            w = shared[i % 4].split()
-            w[r.randrange(60)] = "other"
-            own.insert(r.randrange(3), " ".join(w))
-        if i % 5 == 0:
-            own.append(shared[i % 4])
-        rows.append((i, "\n".join(own)))
-        lines[i] = own
-    rows += [(50, ""), (51, None), (52, "\n\n"), (None, shared[0])]
-    items = [((i, k), shingle_set(t)) for i, own in lines.items() for k, t in enumerate(own) if len(words(t)) >= 32]
-    first = brute(items)
-    want = defaultdict(list)
-    for v, c in first.items():
-        if v != c:
-            want[v[0]].append(v[1])
-    docs = table(rows)
-    got = passages.cut(docs).collect()
-    assert len(got) == len(rows)
-    for x in got:
-        assert x["cut_lines"] == sorted(want[x["doc_id"]])
-        if x["doc_id"] in lines:
-            assert x["text"] == "\n".join(t for k, t in enumerate(lines[x["doc_id"]]) if k not in want[x["doc_id"]])
-    assert want and {r["text"] for r in got if r["doc_id"] is None} == {shared[0]}
+def test_rows_of_one_id_stand_for_themselves(spark, table, make):
+    """Two texts of id 5; each is the near copy of another document."""
+    one, two = make(1, 80), make(2, 80)
+    rows = [(5, one), (5, two), (7, one + " more"), (3, two + " more"), (9, make(4, 80)), (9, make(5, 80))]
+    got = sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(table(rows)).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (7, 5), (9, 9), (9, 9)]
+
+
+def test_a_very_long_text(spark, table, make, monkeypatch):
+    """A text of many pieces has the words that it has as a whole, and links like others."""
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 1000)
+    long = make(8, 20_000)
+    buf, off = tokens.buffers(pa.array(["x", long, "", "y" * 5000 + " z"]))
+    w, whole = tokens.words(buf, off), tokens._words(buf, off, True)
+    assert all((getattr(w, k) == getattr(whole, k)).all() for k in ("hash", "start", "end", "first", "buf", "off"))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table([(1, long), (2, long + " end"), (3, make(9, 300))])).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
