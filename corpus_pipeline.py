@@ -40,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages; those of which nothing is left go."""
     cut = passages.cut(docs)
-    untouched = (F.size("cut_lines") == 0) & (F.size("cut_spans") == 0)
+    untouched = F.size("cut_spans") == 0
     whole = untouched | F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     kept = cut.where(F.coalesce(whole, F.lit(True)))
     if "n_chars" in docs.columns:
