@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import itertools
 import re
 from collections import defaultdict
@@ -19,8 +20,10 @@ from pyspark.sql import types as T
 
 #: A vocabulary file may be broadcast up to this size.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Bytes of distinct pre-tokens that are merged at once; a longer pre-token goes alone.
+#: Bytes of distinct pre-tokens that are merged at once.
 MERGE_BYTES = 16 << 20
+#: Bytes from which a pre-token goes alone.
+LONG_BYTES = 4096
 _NONE = np.int32(2**31 - 1)
 
 
@@ -98,6 +101,7 @@ class Codec:
                             self.unsafe[part] = True
         order = np.argsort(keys)
         self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
+        self.pairs = dict(zip(keys, values, strict=True))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) * self.size + right
@@ -110,7 +114,10 @@ class Codec:
 
         The pieces lie in one linked list that no pair crosses.  A bucket holds
         the positions of one rank's pairs; the lowest rank that has a bucket is
-        taken next, and entries whose pair has changed since are skipped.
+        taken next, and entries whose pair has changed since are skipped.  Of a
+        rank after which a lower one may come up, each piece has its first pair
+        merged; in a piece by itself, pairs are taken from a heap, one by one,
+        until a lower rank has come up.
         """
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         first = np.concatenate([[0], np.cumsum(lengths)])
@@ -145,9 +152,47 @@ class Codec:
             elif len(positions):
                 queue.push(int(ranks[0]), positions)
 
+        heaps: dict[int, list[int]] = {}
+
+        def one_by_one(r: int, held: list[np.ndarray]) -> None:
+            heap = heaps.pop(r, [])
+            for fresh in held:
+                if heap:
+                    for x in fresh.tolist():
+                        heapq.heappush(heap, x)
+                else:
+                    heap = np.unique(fresh).tolist()
+            lower = False
+            while heap and not lower:
+                at = heapq.heappop(heap)
+                if not alive[at] or rank[at] != r:
+                    continue
+                gone = int(after[at])
+                beyond, prior = int(after[gone]), int(before[at])
+                ids[at] = r
+                alive[gone] = False
+                after[at] = beyond
+                if beyond >= 0:
+                    before[beyond] = at
+                for left, right in ((prior, at), (at, beyond)):
+                    if left >= 0:
+                        found = self.pairs.get(int(ids[left]) * self.size + int(ids[right]), _NONE) if right >= 0 else _NONE
+                        rank[left] = found
+                        if found == r:
+                            heapq.heappush(heap, left)
+                        elif found != _NONE:
+                            queue.push(found, np.array([left]))
+                            lower |= found < r
+            if heap:
+                heaps[r] = heap
+                queue.push(r, np.zeros(0, np.int64))
+
         push(inner)
         while (head := queue.pop()) is not None:
             r, held = head
+            if self.unsafe[r] and len(pieces) == 1:
+                one_by_one(r, held)
+                continue
             at = held[0] if len(held) == 1 else np.unique(np.concatenate(held))
             at = at[alive[at] & (rank[at] == r)]
             if not len(at):
@@ -224,8 +269,8 @@ class Codec:
     def _merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         parts, starts, lo, base = [], [np.zeros(1, np.int64)], 0, 0
         while lo < len(pieces):
-            hi, room = lo, MERGE_BYTES
-            while hi < len(pieces) and (hi == lo or len(pieces[hi]) <= room):
+            hi, room = lo + 1, MERGE_BYTES - len(pieces[lo])
+            while len(pieces[lo]) < LONG_BYTES and hi < len(pieces) and len(pieces[hi]) < min(LONG_BYTES, room + 1):
                 room -= len(pieces[hi])
                 hi += 1
             ids, first = self.merge(pieces[lo:hi])

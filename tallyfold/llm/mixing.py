@@ -13,8 +13,9 @@ from tallyfold.llm.store import Store
 
 #: Weights that sources have in turn, and how often a document may be taken.
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
-#: Of what the schedule gives a source, the part by which its rate rises (or falls) from the first position to the
-#: last.  Sources take these in turn as they do the weights, so some come early and some late.
+#: Of what the schedule gives a source, the part by which its rate rises (or falls) from the middle of training to its
+#: end.  Sources take these in turn as they do the weights, so some come early and some late; what all together would
+#: rise is taken off each, so that the rates of all sources add up to the whole at each time.
 SLOPES = (-0.5, 0.25, 0.5)
 #: Hexadecimal digits of the order that name a part of a source; parts are added up by themselves before rows are
 #: put in order within them, so a source may hold most rows.
@@ -51,7 +52,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     stepped = named.select("*", full.alias("full"), F.sum("source_size").over(everything).alias("total")).withColumn("level", level)
     # the first source that isn't full at the level for itself and all after it sets the level
     found = stepped.withColumn("line", F.min(F.when(F.col("full") > F.col("level"), F.struct("full", "place", "level"))).over(everything)["level"])
-    return found.select(
+    aimed = found.select(
         "source",
         "source_size",
         "place",
@@ -59,32 +60,39 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
         "slope",
         F.when(F.col("source_size") == 0, 0.0).when(F.col("full") <= F.coalesce("line", F.lit(float("inf"))), most * F.col("source_size").cast("double")).otherwise(F.col("line") * F.col("weight")).alias("target"),
     )
+    rise = F.sum(F.col("target") * F.col("slope")).over(everything) / F.greatest(F.sum("target").over(everything), F.lit(1.0))
+    return aimed.withColumn("slope", F.col("slope") - rise)
 
 
-def _mark(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+def _mark(id_col: str, text_col: str, source_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(source_col).cast("string"))
 
 
 def position(done: Column, slope: Column) -> Column:
-    """When a source has given the part ``done`` of what it gives: its rate is 1 + slope * (2t - 1), its integral inverted."""
+    """The time, of 0 to 1, by which a source's schedule has demanded the part ``done`` of its target.
+
+    Its rate at time t is 1 + slope * (2t - 1) of the mean; the integral, t + slope * (t * t - t), is inverted.
+    """
     a = 1 - slope
     root = F.sqrt(F.greatest(F.lit(0.0), a * a + 4 * slope * done))
     return F.when(F.abs(slope) < 1e-9, done).otherwise(2 * done / (a + root))
 
 
 def curriculum(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", most: int = MOST) -> DataFrame:
-    """One row for each row of ``docs``: id, mark (of id and text), size, source, source_size, target, taken, copies, slope, begin.
+    """One row for each row of ``docs``: id, mark (of id, text and source), size, source, source_size, target, taken, copies, positions.
 
     Documents of a source lie one behind the other in the order of the md5 of
-    their ids, and the mix takes them from the start for as many words as the
-    target has, going round again where it exceeds the source.  A document is
-    taken whole: as often as the middle of it is passed.  ``begin`` is the words
-    of the source before the document.
+    their ids, and again for each further round.  A source's rate of words over
+    the time of training is its schedule; a copy of a document is due when the
+    integral has reached the middle of its words, and the inverted integral is
+    its place in training, of 0 to 1, the same clock for all sources.  Copies
+    that the whole schedule doesn't reach, as it gives the source's target, are
+    not taken.  ``positions`` are those that are, one for each copy.
 
     A null source is a source; null and empty texts have size 0 and aren't
-    taken.  Rows that agree in id and text share a place and differ by nothing,
-    so any order of them gives the same result; a row without an id is a row
-    like others.  An empty table gives an empty result.
+    taken.  Rows that agree in id, text and source share a place and differ by
+    nothing, so any order of them gives the same result; a row without an id is
+    a row like others.  An empty table gives an empty result.
     """
     store = store or Store(docs.sparkSession, "mixing")
     measured = store.put(
@@ -93,7 +101,7 @@ def curriculum(docs: DataFrame, store: Store | None = None, id_col: str = "doc_i
             F.col(source_col).cast("string").alias("source"),
             n_words(F.col(text_col)).alias("size"),
             F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("order"),
-            _mark(id_col, text_col).alias("mark"),
+            _mark(id_col, text_col, source_col).alias("mark"),
         ),
         "sizes",
     )
@@ -111,38 +119,40 @@ def curriculum(docs: DataFrame, store: Store | None = None, id_col: str = "doc_i
     joined = here.join(heads.withColumnRenamed("source", "head_source").withColumnRenamed("part", "head_part"), here["source"].eqNullSafe(F.col("head_source")) & (here["part"] == F.col("head_part")))
     inside = Window.partitionBy("source", "part").orderBy("order", "size", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = joined.withColumn("begin", F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    middle = F.col("begin") + F.col("size") / 2
-    passed = F.when((F.col("size") == 0) | (F.col("target") <= middle), 0).otherwise(F.least(F.lit(most), F.ceil((F.col("target") - middle) / F.col("source_size"))))
-    return placed.select(
+    # the words that the source has to have given when a round comes to the middle of the document
+    due = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda r: F.col("begin") + F.col("size") / 2 + r * F.col("source_size"))
+    reached = F.when(F.col("size") > 0, F.filter(due, lambda d: d < F.col("target"))).otherwise(F.array().cast("array<double>"))
+    positions = F.transform(reached, lambda d: position(d / F.col("target"), F.col("slope")))
+    return placed.withColumn("positions", positions).select(
         F.col("id").alias(id_col),
         "mark",
         "size",
         "source",
         "source_size",
         "target",
-        (passed * F.col("size")).cast("long").alias("taken"),
-        passed.cast("int").alias("copies"),
-        "slope",
-        "begin",
+        (F.size("positions") * F.col("size")).cast("long").alias("taken"),
+        F.size("positions").alias("copies"),
+        "positions",
     )
 
 
+def in_order(placed: DataFrame, at: str, spread: str) -> DataFrame:
+    """Rows sorted by range of a position of 0 to 1, so that a hot source is dealt over all tasks; those without one follow, by the hash of ``spread``."""
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.coalesce(F.col(at), 1 + F.shiftrightunsigned(F.xxhash64(spread), 11) / float(1 << 53))
+    return placed.withColumn("__key", key).repartitionByRange(parts, "__key").sortWithinPartitions("__key").drop("__key")
+
+
 def arranged(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs`` as the mix has them: each as often as it is taken, sorted by training position.
 
-    A copy stands where its source's schedule has demanded the words before it.
-    The sort is by range of the position, so a hot source is dealt over all tasks.
-    Rows keep their columns, whatever their names.
+    Rows keep their columns, whatever their names.  Of rows that agree in id,
+    text and source, each goes as often as the one that goes most often.
     """
     store = store or Store(docs.sparkSession, "mixing")
     plan = curriculum(docs, store, id_col, text_col, source_col)
-    done = (F.col("begin") + F.col("__round") * F.col("source_size") + F.col("size") / 2) / F.greatest(F.col("target"), F.lit(1.0))
-    copies = plan.where("copies > 0").select(
-        F.col(id_col).alias("__id"), F.col("mark").alias("__mark"), F.posexplode(F.array_repeat(F.lit(0), F.col("copies"))).alias("__round", "__zero"), "slope", "begin", "size", "source_size", "target"
-    )
-    placed = copies.select("__id", "__mark", "__round", position(F.least(F.lit(1.0), done), F.col("slope")).alias("__at"))
-    placed = placed.dropDuplicates(["__id", "__mark", "__round"])
-    keyed = docs.withColumn("__mark", _mark(id_col, text_col))
-    together = keyed.join(placed, (keyed["__mark"] == placed["__mark"]) & keyed[id_col].cast("long").eqNullSafe(placed["__id"]))
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return together.repartitionByRange(int(parts), "__at").sortWithinPartitions("__at").select(*[docs[c] for c in docs.columns])
+    copies = plan.select(F.col(id_col).alias("__id"), F.col("mark").alias("__of"), F.posexplode("positions").alias("__round", "__at"))
+    placed = copies.dropDuplicates(["__id", "__of", "__round"])
+    keyed = docs.withColumn("__mark", _mark(id_col, text_col, source_col))
+    together = keyed.join(placed, (keyed["__mark"] == placed["__of"]) & keyed[id_col].cast("long").eqNullSafe(placed["__id"]))
+    return in_order(together, "__at", "__mark").select(*[docs[c] for c in docs.columns])

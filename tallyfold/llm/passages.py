@@ -330,18 +330,14 @@ def _nullable(kind: T.StructType) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
-def repeats(parts: DataFrame, met: DataFrame, store: Store) -> DataFrame:
-    """(id, h, from, to, first_id) of all paragraphs that repeat one of a document of a smaller id, by what ``_sketch`` and ``_met`` found."""
+def repeats(places: DataFrame, met: DataFrame, store: Store) -> DataFrame:
+    """(id, h, from, to, first_id) of all of ``places(id, h, from, to, rep)`` that repeat one of a document of a smaller id, by what ``_met`` found."""
     named = met.where("kind = 1").select(F.col("key").alias("rep"), "bands", "text")
 
     def texts(crowd: DataFrame) -> DataFrame:
         return named.select("rep", "text").join(crowd, "rep", "left_semi").groupBy(F.col("rep").alias("id")).agg(F.any_value("text").alias("text"))
 
     linked = store.put(minhash.link(named.select(F.explode("bands").alias("bucket"), "rep"), texts, store), "linked")
-    each = F.explode(F.arrays_zip("p_row", "p_from", "p_to", "p_name")).alias("p")
-    places = parts.select("ids", "hs", each).select(
-        F.get("ids", F.col("p.p_row")).alias("id"), F.get("hs", F.col("p.p_row")).alias("h"), F.col("p.p_from").alias("from"), F.col("p.p_to").alias("to"), F.col("p.p_name").alias("rep")
-    )
     ids = places.groupBy("rep").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
     of_rep = store.put(ids.join(linked, "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"), "first_id", "last_id"), "of-rep")
     groups = of_rep.groupBy("component").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")).where("first_id < last_id")
@@ -398,11 +394,18 @@ def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", tex
     shown = parts.select("part", "ids", "hs", "names", "texts", "bands", "m_row", "m_at", "marks")
     fields = "kind int, key long, id long, h long, at int, bands array<long>, text string"
     met = store.put(shown.groupBy("part").cogroup(answers.where("part >= 0").groupBy("part")).applyInArrow(_met(buckets), fields), "met")
-    gone = store.put(repeats(parts, met, store), "paragraphs")
+    each = F.explode(F.arrays_zip("p_row", "p_from", "p_to", "p_name")).alias("p")
+    places = parts.select("ids", "hs", each).select(
+        F.get("ids", F.col("p.p_row")).alias("id"), F.get("hs", F.col("p.p_row")).alias("h"), F.col("p.p_from").alias("from"), F.col("p.p_to").alias("to"), F.col("p.p_name").alias("rep")
+    )
+    places = store.put(places, "places")
     store.drop("parts", "answers")
+    gone = store.put(repeats(places, met, store), "paragraphs")
+    store.drop("places", "linked", "of-rep", "gone", "crowd")
     gone = gone.union(runs(source, met, store))
     spans = gone.groupBy("id", "h").agg(F.collect_set(F.struct("from", "to")).alias("spans"), F.sort_array(F.collect_set("first_id")).alias("firsts"))
     spans = store.put(spans.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans", "firsts"), "spans")
+    store.drop("met", "paragraphs", "firsts", "matches", "edges", "around")
     own = [c for c in docs.columns if c not in ("cut_spans", "kept_in")]
     kind = _nullable(docs.select(*own).schema)
     keyed = docs.select(F.struct(*own).cast(kind).alias("__row"), key[0].alias("__of"), key[1].alias("__as"))

@@ -43,8 +43,11 @@ def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document."""
-    return mixing.curriculum(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    """How many words the mix takes of each document, and where in training; sorted by the first place."""
+    plan = mixing.curriculum(_table(spark, sf_dir, "documents")).withColumn("first", F.get("positions", F.lit(0)))
+    return mixing.in_order(plan, "first", "mark").select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies", F.round("first", 9).alias("first_position"), F.round(F.get("positions", F.size("positions") - 1), 9).alias("last_position")
+    )
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,16 +135,18 @@ WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coa
     md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 n AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM s),
-w AS (SELECT *, [5.0, 2.0, 1.0][1 + place % 3]::DOUBLE AS weight, sum(source_size) OVER () AS total FROM n),
+w AS (SELECT *, [5.0, 2.0, 1.0][1 + place % 3]::DOUBLE AS weight, [-0.5, 0.25, 0.5][1 + place % 3]::DOUBLE AS slope, sum(source_size) OVER () AS total FROM n),
 f AS (SELECT *, 3 * source_size / weight AS fullness FROM w),
 l AS (SELECT *, (total - coalesce(sum(3 * source_size) OVER (ORDER BY fullness, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY fullness, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM f),
 line AS (SELECT arg_min(lv, fullness) AS line FROM l WHERE fullness > lv),
-t AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0 WHEN fullness <= line THEN 3.0 * source_size ELSE line * weight END::DOUBLE AS target FROM l, line),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, d.source,
+g AS (SELECT source, source_size, slope, CASE WHEN source_size = 0 THEN 0.0 WHEN fullness <= line THEN 3.0 * source_size ELSE line * weight END::DOUBLE AS target FROM l, line),
+t AS (SELECT source, source_size, target, slope - sum(target * slope) OVER () / greatest(sum(target) OVER (), 1.0) AS slope FROM g),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, d.source,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size / 2 AS middle
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, CASE WHEN size = 0 OR target <= middle THEN 0 ELSE least(3, ceil((target - middle) / source_size)) END AS n FROM p)
-SELECT doc_id, size, source_size, target, CAST(n * size AS BIGINT) AS taken, source, CAST(n AS INTEGER) AS copies FROM c
+c AS (SELECT *, CASE WHEN size = 0 THEN [] ELSE list_transform(list_filter([middle, middle + source_size, middle + 2 * source_size], lambda x: x < target),
+    lambda x: 2 * (x / target) / (1 - slope + sqrt(greatest(0.0, (1 - slope) * (1 - slope) + 4 * slope * (x / target))))) END AS at FROM p)
+SELECT doc_id, size, source_size, target, CAST(len(at) * size AS BIGINT) AS taken, source, CAST(len(at) AS INTEGER) AS copies, round(at[1], 9) AS first_position, round(at[-1], 9) AS last_position FROM c
 """,
 }

@@ -46,6 +46,19 @@ def test_small_merge_batches(codec, reference, monkeypatch):
     assert next(codec.encode_texts([text])).tolist() == reference.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("text", ["the" * 20_000, "thethea" * 3000 + " x " * 30, "ab" * 5000 + " hello " + "q" * 9000 + " " + "the" * 2000])
+def test_long_pre_tokens(codec, reference, text):
+    assert next(codec.encode_texts([text, text])).tolist() == reference.encode_ordinary(text)
+
+
+def test_a_pre_token_of_a_megabyte_takes_time_in_proportion(codec):
+    import time
+
+    began = time.time()
+    ids = next(codec.encode_texts(["the" * 349_525]))
+    assert codec.decode(ids.tolist()) == b"the" * 349_525 and time.time() - began < 20
+
+
 def test_rank_queue_finds_the_least():
     import numpy as np
 

@@ -60,6 +60,22 @@ def test_arranged_repeats_rows_in_schedule(spark, table, make):
     assert rows[0].__fields__ == docs.columns
 
 
+def test_equal_rows_of_two_sources_keep_their_own_copies(spark, table, make):
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "y"), (2, make(1, 30), "x"), (3, make(2, 30), "y"), (4, make(3, 30), "y")]
+    docs = table(rows)
+    want = Counter({(r["doc_id"], r["source"]): r["copies"] for r in mixing.curriculum(docs).collect()})
+    assert Counter((r["doc_id"], r["source"]) for r in mixing.arranged(docs).collect()) == +want
+
+
+def test_rates_add_up_at_each_time(spark):
+    sizes = spark.createDataFrame([("a", 50), ("b", 900), ("c", 400), ("d", 1), (None, 70)], "source string, source_size long")
+    plan = mixing.targets(sizes).collect()
+    total = sum(r["target"] for r in plan)
+    for t in (0, 0.3, 1):
+        rates = [r["target"] / total * (1 + r["slope"] * (2 * t - 1)) for r in plan]
+        assert sum(rates) == pytest.approx(1) and min(rates) >= 0
+
+
 def test_position_inverts_the_schedule(spark):
     from pyspark.sql import functions as F
 
