@@ -146,7 +146,7 @@ p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, d.source,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size / 2 AS middle
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, CASE WHEN size = 0 THEN [] ELSE list_transform(list_filter([middle, middle + source_size, middle + 2 * source_size], lambda x: x < target),
-    lambda x: 2 * (x / target) / (1 - slope + sqrt(greatest(0.0, (1 - slope) * (1 - slope) + 4 * slope * (x / target))))) END AS at FROM p)
-SELECT doc_id, size, source_size, target, CAST(len(at) * size AS BIGINT) AS taken, source, CAST(len(at) AS INTEGER) AS copies, round(at[1], 9) AS first_position, round(at[-1], 9) AS last_position FROM c
+    lambda x: 2 * (x / target) / (1 - slope + sqrt(greatest(0.0, (1 - slope) * (1 - slope) + 4 * slope * (x / target))))) END AS spots FROM p)
+SELECT doc_id, size, source_size, target, CAST(len(spots) * size AS BIGINT) AS taken, source, CAST(len(spots) AS INTEGER) AS copies, round(spots[1], 9) AS first_position, round(spots[-1], 9) AS last_position FROM c
 """,
 }
