@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate, token_cost
 from tallyfold.functions.text import stripped
+from tallyfold.operators.ranges import range_of
 
 LABELS = ("pos", "neg", "neu")
 BATCH_ROWS = 100_000
@@ -33,16 +34,17 @@ def requests(rows: DataFrame, model: str, max_tokens: int = 64, temperature: flo
 def numbered(rows: DataFrame, order: str, size: int = BATCH_ROWS) -> DataFrame:
     """Rows with ``batch_num`` from 1: ``size`` rows a batch in the order of the column, the last batch what is left.
 
-    Ranges of rows are counted first and numbered within afterwards, so no task
-    sees all rows.
+    Ranges of the column are counted first and numbered within afterwards, so no
+    task sees all rows, and both see the same ranges.  Rows of equal values are
+    numbered in any order; nulls come first.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, order).withColumn("__part", F.spark_partition_id())
+    ranged = rows.withColumn("__part", range_of(rows, order))
     counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    ahead = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__ahead"))
+    # one row for each range
+    ahead = counts.select(F.col("__part").alias("__of"), (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__ahead"))
     within = F.row_number().over(Window.partitionBy("__part").orderBy(order))
-    placed = ranged.join(F.broadcast(ahead), "__part").withColumn("__row", F.col("__ahead") + within - 1)
-    return placed.withColumn("batch_num", (F.floor(F.col("__row") / size) + 1).cast("int")).drop("__part", "__ahead", "__row")
+    placed = ranged.join(F.broadcast(ahead), F.col("__part") == F.col("__of")).withColumn("__row", F.col("__ahead") + within - 1)
+    return placed.withColumn("batch_num", (F.floor(F.col("__row") / size) + 1).cast("int")).drop("__part", "__of", "__ahead", "__row")
 
 
 def unfenced(text: Column) -> Column:
@@ -142,8 +144,10 @@ def model_comparison(rows: DataFrame, prices: DataFrame, volume: int, baseline:
     return priced.crossJoin(F.broadcast(base)).select("model", "accuracy", "mean_in", "mean_out", "cost", rate(100 * (F.col("base_cost") - F.col("cost")), F.col("base_cost"), 2).alias("saving_pct"))
 
 
-#: Weights of words for texts about sport, for the offline label; fixed values of our own.
-LEXICON = {"great": 0.6, "good": 0.4, "love": 0.6, "best": 0.6, "goat": 0.8, "clutch": 0.6, "fire": 0.4, "elite": 0.5, "bad": -0.5, "worst": -0.7, "hate": -0.6, "trash": -0.7, "bum": -0.6, "washed": -0.5, "overrated": -0.5, "fraud": -0.6, "brick": -0.4, "choke": -0.5}
+#: Weights of words of praise and blame for the offline label, graded in three steps; fixed values of our own.
+_PRAISE = {1: ("fine", "nice", "solid", "decent"), 2: ("good", "strong", "happy", "impressive"), 3: ("excellent", "brilliant", "wonderful", "superb")}
+_BLAME = {1: ("weak", "dull", "shaky", "poor"), 2: ("bad", "sloppy", "angry", "disappointing"), 3: ("terrible", "awful", "horrible", "dreadful")}
+LEXICON = {w: sign * step / 4 for sign, words in ((1, _PRAISE), (-1, _BLAME)) for step, some in words.items() for w in some}
 
 
 def polarity(text: Column, lexicon: dict[str, float] | None = None) -> Column:

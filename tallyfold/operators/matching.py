@@ -52,19 +52,23 @@ def mentions(text: Column, names: Iterable[Name], short: frozenset[str] = frozen
     aliases in ``short`` only between word boundaries, those in ``removed`` not
     at all.  Literal tests come first, as they are cheaper than the patterns.
     """
-    lower = F.lower(text)
-    found = []
-    for n in names:
-        keys = [a for a in dict.fromkeys(x.lower() for x in n.aliases) if a not in removed]
-        hit = None
-        for a in sorted(keys, key=lambda x: x in short):
-            # a literal test first: most texts don't hold the alias in any form
-            test = lower.contains(a) if a not in short else lower.contains(a) & bounded(text, a)
-            hit = test if hit is None else hit | test
-        if hit is not None:
-            found.append(F.when(hit, F.lit(n.name)))
+    kept = {n.name: [a for a in dict.fromkeys(x.lower() for x in n.aliases) if a not in removed] for n in names}
     none = F.array().cast("array<string>")
-    return F.coalesce(F.array_compact(F.array(*found)), none) if found else none
+
+    def found(lower: Column) -> Column:
+        each = []
+        for name, keys in kept.items():
+            hit = None
+            for a in sorted(keys, key=lambda x: x in short):
+                # a literal test first: most texts don't hold the alias in any form
+                test = lower.contains(a) if a not in short else lower.contains(a) & bounded(text, a)
+                hit = test if hit is None else hit | test
+            if hit is not None:
+                each.append(F.when(hit, F.lit(name)))
+        return F.array_compact(F.array(*each))
+
+    # the text is lowered once, as the item of a list
+    return F.coalesce(F.get(F.transform(F.array(F.lower(text)), found), F.lit(0)), none) if any(kept.values()) else none
 
 
 def longest_alias(tag: Column, names: Iterable[Name]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate
+from tallyfold.operators.ranges import range_of
 
 
 def value_counts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -20,22 +21,23 @@ def shares(counted: DataFrame, count: str = "n", name: str = "pct", digits: int
 
 
 def group_stats(rows: DataFrame, key: str, value: str) -> DataFrame:
-    return rows.groupBy(key).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), F.sum(value).alias("sum")
+    found = rows.groupBy(key).agg(
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"), F.sum(value).alias("sum")
     )
+    middle = quantiles(rows, value, [0.5], [key]).select(F.col(key).alias("__key"), F.col("value").alias("median"))
+    joined = found.join(middle, F.col(key).eqNullSafe(F.col("__key")), "left")
+    return joined.select(key, "n", "mean", "median", "std", "min", "max", "sum")
 
 
-def nearest_quantiles(rows: DataFrame, value: str, quantiles: list[float], keys: list[str] | None = None) -> DataFrame:
-    """(keys, q, value) with the element nearest to each quantile, from counts of distinct values.
+def _placed(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """(keys, value, __n, __upto, __all): of each distinct value, how often it stands, how many are not above it, and how many there are.
 
-    Equal values are summed first, and dealt to tasks by ranges of key and
+    Equal values are summed first, and dealt to tasks by key and range of the
     value; what lies ahead of a range is added from the ranges' sums.  So no
     task needs all values of a group.
     """
-    keys = keys or []
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("__n"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counted.repartitionByRange(parts, *keys, "value").withColumn("__part", F.spark_partition_id())
+    ranged = counted.withColumn("__part", range_of(rows.select(F.col(value).alias("value")), "value"))
     # one row for each range and key that meet
     sums = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__m"))
     of = Window.partitionBy(*(keys or [F.lit(0)]))
@@ -46,23 +48,43 @@ def nearest_quantiles(rows: DataFrame, value: str, quantiles: list[float], keys:
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     within = Window.partitionBy(*keys, "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = ranged.withColumn("__upto", F.sum("__n").over(within)).join(ahead, same)
-    asked = placed.withColumn("q", F.explode(F.array(*map(F.lit, quantiles))))
-    place, upto = F.round((F.col("__all") - 1) * F.col("q")).cast("long"), F.col("__ahead") + F.col("__upto")
-    return asked.where((place < upto) & (place >= upto - F.col("__n"))).select(*keys, "q", "value")
+    placed = ranged.withColumn("__in", F.sum("__n").over(within)).join(ahead, same)
+    return placed.select(*keys, "value", "__n", (F.col("__ahead") + F.col("__in")).alias("__upto"), "__all")
+
+
+def _at(place: Column) -> Column:
+    """Whether the element of that place, from 0, is of the row's value."""
+    return (place < F.col("__upto")) & (place >= F.col("__upto") - F.col("__n"))
+
+
+def nearest_quantiles(rows: DataFrame, value: str, quantiles: list[float], keys: list[str] | None = None) -> DataFrame:
+    """(keys, q, value) with the element nearest to each quantile, from counts of distinct values."""
+    keys = keys or []
+    asked = _placed(rows, value, keys).withColumn("q", F.explode(F.array(*map(F.lit, quantiles))))
+    return asked.where(_at(F.round((F.col("__all") - 1) * F.col("q")).cast("long"))).select(*keys, "q", "value")
+
+
+def quantiles(rows: DataFrame, value: str, asked: list[float], keys: list[str] | None = None) -> DataFrame:
+    """(keys, q, value) with each quantile, between two elements in proportion, from counts of distinct values."""
+    keys = keys or []
+    point = (F.col("__all") - 1) * F.col("q")
+    low, part = F.floor(point), point - F.floor(point)
+    each = _placed(rows, value, keys).withColumn("q", F.explode(F.array(*map(F.lit, asked))))
+    near = each.where(_at(low) | _at(F.ceil(point))).select(*keys, "q", F.col("value").cast("double").alias("value"), part.alias("__part"))
+    found = near.groupBy(*keys, "q").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.max("__part").alias("__part"))
+    return found.select(*keys, "q", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__part")).alias("value"))
 
 
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each numeric column: count, null_count, mean, std, min, quartiles, max; all exact, in one pass."""
-    each = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        each.append(
-            F.struct(
-                F.lit(c).alias("column"), F.count(x).alias("count"), F.count_if(x.isNull()).alias("null_count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"), F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")
-            )
-        )
-    return rows.agg(F.array(*each).alias("__all")).select(F.inline("__all"))
+    """One row for each numeric column: count, null_count, mean, std, min, quartiles, max; all exact."""
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("e")).select("e.*")
+    basic = long.groupBy("column").agg(
+        F.count("x").alias("count"), F.count_if(F.col("x").isNull()).alias("null_count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")
+    )
+    # one row for each column
+    cuts = quantiles(long, "x", [0.25, 0.5, 0.75], ["column"]).groupBy("column").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    cuts = cuts.select("column", *[F.col(f"`{q}`").alias(f"p{100 * q:.0f}") for q in (0.25, 0.5, 0.75)])
+    return basic.join(cuts, "column", "left").select("column", "count", "null_count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def completeness(rows: DataFrame) -> DataFrame:

@@ -66,22 +66,27 @@ def quadrants(rows: DataFrame, x: str, y: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(middle)).withColumn("quadrant", side).drop("mx", "my")
 
 
+def lot(key: str, seed: int) -> Column:
+    """A row's lot in a sample: the md5 of the seed and its key."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
 def sampled(rows: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer), the same on every run."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(lot(key, seed), key).limit(n)
 
 
 def sampled_by(rows: DataFrame, n: int, key: str, stratum: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows of each stratum.
 
-    Each is first thinned to a part of its rows that holds ``n`` in all
-    likelihood, by counts of hash ranges, so no stratum is sorted whole.
+    Each is first thinned to a part of its rows that holds ``n``, by counts of
+    lots that begin alike, so no stratum is sorted whole.
     """
-    hashed = rows.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
-    cell = F.shiftrightunsigned("__h", 52)
-    cells = hashed.groupBy(stratum, cell.alias("__cell")).agg(F.count("*").alias("__n"))
+    drawn = rows.withColumn("__h", lot(key, seed))
+    cell = F.substring("__h", 1, 3)
+    cells = drawn.groupBy(stratum, cell.alias("__cell")).agg(F.count("*").alias("__n"))
     ahead = F.sum("__n").over(Window.partitionBy(stratum).orderBy("__cell")) - F.col("__n")
     open_cells = cells.withColumn("__ahead", ahead).where(F.col("__ahead") < n).select(F.col(stratum).alias("__s"), "__cell")
-    near = hashed.withColumn("__c", cell).join(open_cells, F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("__c") == F.col("__cell")), "left_semi")
-    w = Window.partitionBy(stratum).orderBy(F.shiftrightunsigned("__h", 52), "__h", key)
+    near = drawn.withColumn("__c", cell).join(open_cells, F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("__c") == F.col("__cell")), "left_semi")
+    w = Window.partitionBy(stratum).orderBy("__h", key)
     return near.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= n).drop("__k", "__h", "__c")

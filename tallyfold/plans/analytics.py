@@ -140,12 +140,12 @@ def _(spark, d):
     return profile.shares(table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("qty")), "qty", digits=4)
 
 
-@query("sample_hash")
+@query("sample_hash", "SELECT doc_id, lang, n_chars FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50")
 def _(spark, d):
     return ranking.sampled(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), 50, "doc_id")
 
 
-@query("sample_stratified")
+@query("sample_stratified", "SELECT doc_id, lang, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) <= 10")
 def _(spark, d):
     return ranking.sampled_by(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), 10, "doc_id", "lang")
 

@@ -42,24 +42,25 @@ def _(spark, d):
     return r.select("custom_id", "params.model", "params.max_tokens", "params.temperature", m["role"].alias("role"), F.md5(m["content"]).alias("content_md5"))
 
 
-@query("batch_split", "SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // 700 + 1 AS INTEGER) AS batch_num FROM events")
+@query("batch_split", "SELECT *, CAST((row_number() OVER (ORDER BY event_id) - 1) // 700 + 1 AS INTEGER) AS batch_num FROM events")
 def _(spark, d):
-    return L.numbered(table(spark, d, "events").select("event_id"), "event_id", 700)
+    return L.numbered(table(spark, d, "events"), "event_id", 700)
 
 
-@query("batch_file_counts")
+@query("batch_file_counts", "SELECT CAST((k - 1) // 300 + 1 AS INTEGER) AS batch_num, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY doc_id) AS k FROM documents) GROUP BY 1")
 def _(spark, d):
-    return value_counts(L.numbered(table(spark, d, "documents").select("doc_id"), "doc_id", 300), "batch_num")
+    return value_counts(L.numbered(table(spark, d, "documents"), "doc_id", 300), "batch_num")
 
 
-_COMMENTS = "comments AS (SELECT CAST(event_id AS VARCHAR) AS id, event_type AS body, user_id AS score FROM events WHERE event_id % 5 <> 0)"
+_COMMENTS = "comments AS (SELECT CASE WHEN event_id % 5 = 0 THEN 'x' ELSE '' END || event_id AS id, event_type AS body, user_id AS score FROM events)"
 
 
 def _comments(spark, d):
-    e = table(spark, d, "events").where("event_id % 5 <> 0")
+    e = table(spark, d, "events")
     null = F.lit(None).cast("string")
     return e.select(
-        F.col("event_id").cast("string").alias("id"),
+        # some are known by another key than their labels
+        F.concat(F.when(F.col("event_id") % 5 == 0, "x").otherwise(""), F.col("event_id").cast("string")).alias("id"),
         F.col("event_type").alias("body"),
         null.alias("author"),
         null.alias("author_flair_text"),
@@ -227,7 +228,7 @@ _STATE = "st AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'ended' WHE
 
 @query(
     "batch_state_views",
-    f"WITH {_STATE} SELECT 'pending' AS view, count(*) AS n FROM st WHERE status IS DISTINCT FROM 'ended' UNION ALL SELECT 'downloadable', count(*) FROM st WHERE status = 'ended' AND NOT results_downloaded UNION ALL SELECT 'to_submit', (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey % 3 = 0 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0))",
+    f"WITH {_STATE} SELECT 'pending' AS view, count(*) AS n FROM st WHERE status IS DISTINCT FROM 'ended' UNION ALL SELECT 'downloadable', count(*) FROM st WHERE status = 'ended' AND NOT results_downloaded UNION ALL SELECT 'to_submit', (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0))",
 )
 def _(spark, d):
     o = table(spark, d, "orders")
@@ -236,7 +237,7 @@ def _(spark, d):
         F.when(F.col("o_orderstatus") == "F", "ended").when(F.col("o_orderstatus") == "O", "in_progress").alias("status"),
         (F.col("o_orderkey") % 2 == 0).alias("results_downloaded"),
     )
-    files = table(spark, d, "lineitem").where("l_orderkey % 3 = 0").select(F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("request_file")).distinct()
+    files = table(spark, d, "lineitem").select(F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("request_file")).distinct()
     found = {"pending": pending(st), "downloadable": downloadable(st), "to_submit": to_submit(files, st.where("results_downloaded"))}
     out = None
     for name, df in found.items():

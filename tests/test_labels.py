@@ -44,16 +44,26 @@ def test_cost(spark, i, o, cost):
     assert spark.range(1).select(N.token_cost(F.lit(i), F.lit(o))).first()[0] == pytest.approx(cost)
 
 
+def test_batches_of_wide_rows_are_full(spark):
+    """More columns than the key, and more rows than any sample of them."""
+    rows = spark.range(40_000).selectExpr("id * 7919 % 40009 AS k", "'x' AS a", "id AS b", "cast(id as string) AS c").repartition(9)
+    for size in (700, 1, 50_000):
+        got = L.numbered(rows, "k", size).groupBy("batch_num").count().orderBy("batch_num").collect()
+        assert [r["count"] for r in got[:-1]] == [size] * (len(got) - 1) and sum(r["count"] for r in got) == 40_000
+    order = L.numbered(rows, "k", 700).groupBy("batch_num").agg({"k": "max"}).orderBy("batch_num").collect()
+    assert [r[1] for r in order] == sorted(r[1] for r in order)
+
+
 def test_numbered_batches(spark):
     got = L.numbered(spark.range(25).withColumnRenamed("id", "k"), "k", 10).groupBy("batch_num").count().orderBy("batch_num").collect()
     assert [tuple(r) for r in got] == [(1, 10), (2, 10), (3, 5)]
 
 
 def test_requests_and_offline_classifier(spark):
-    rows = spark.createDataFrame([("1", "great game"), ("2", 'the "worst"')], "id string, body string")
+    rows = spark.createDataFrame([("1", "superb game"), ("2", 'the "dreadful"')], "id string, body string")
     requests = L.requests(rows, "m")
     first = json.loads(requests.select(F.to_json("params")).first()[0])
-    assert first["model"] == "m" and first["messages"][0]["role"] == "user" and "great game" in first["messages"][0]["content"]
+    assert first["model"] == "m" and first["messages"][0]["role"] == "user" and "superb game" in first["messages"][0]["content"]
     labels = {r["id"]: r for r in L.labels_of(L.classified(requests, L.offline)).collect()}
     assert labels["1"]["sentiment"] == "pos" and labels["2"]["sentiment"] == "neg" and labels["1"]["input_tokens"] > 0
 
@@ -92,7 +102,7 @@ def test_rounding_and_empty_rate(spark):
 
 
 def test_polarity(spark):
-    df = spark.createDataFrame([("Great, great!",), ("the worst bum",), ("so",), (None,)], "t string")
+    df = spark.createDataFrame([("Superb, superb!",), ("the dreadful, sloppy one",), ("so",), (None,)], "t string")
     assert [r[0] for r in df.select(L.lexicon_label(L.polarity(F.col("t")))).collect()] == ["pos", "neg", "neu", "neu"]
 
 
