@@ -129,6 +129,15 @@ reach AS (SELECT rep AS v, rep AS c FROM sets UNION SELECT reach.v, two.b FROM r
 comp AS (SELECT v, min(c) AS c FROM reach GROUP BY v)
 SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(comp.c, s.doc_id) AS component_id, coalesce(comp.c, s.doc_id) = s.doc_id AS kept
 FROM s LEFT JOIN sets ON s.sh = sets.sh LEFT JOIN comp ON comp.v = sets.rep
+""",
+    "op4_forest": """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+p AS (SELECT a.k AS a, b.k AS b FROM s a JOIN s b ON len(a.x) = len(b.x) AND a.k <> b.k WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a),
+reach AS (SELECT k, k AS o FROM v UNION SELECT reach.k, p.b FROM reach JOIN p ON reach.o = p.a),
+c AS (SELECT reach.k, min(v.vec_id) AS component_id FROM reach JOIN v ON v.k = reach.o GROUP BY reach.k)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (k) LEFT JOIN n ON n.a = v.k
 """,
     "op5_mixing": r"""
 WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size,
