@@ -17,8 +17,11 @@ from pyspark.sql import DataFrame
 #: Keys that a bucket is meant to get.
 BUCKET_KEYS = 1_000_000
 
-ASKED = "size int, bucket int, part long, m int, keys binary, n binary"
-ANSWERED = "part long, size int, bucket int, m long, mask binary, n binary"
+ASKED = "size int, bucket int, part long, m int, keys binary, n binary, places binary"
+ANSWERED = "part long, size int, bucket int, m long, mask binary, n binary, places binary"
+
+#: Where a key stands first: three columns by which places are in order.
+PLACE = np.dtype([("id", "i8"), ("h", "i8"), ("at", "i4")])
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -50,8 +53,21 @@ def bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
 
 
-def question(part: int, size: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of ``ASKED``: a part's sorted distinct keys and their counts, one row for each bucket that gets any."""
+def _pack_places(places: np.ndarray) -> bytes:
+    return zstd(b"".join(planes(np.ascontiguousarray(places[c])) for c in PLACE.names))
+
+
+def _places(data: bytes, m: int) -> np.ndarray:
+    raw, out, at = zstd(data, m * PLACE.itemsize), np.empty(m, PLACE), 0
+    for c in PLACE.names:
+        to = at + m * PLACE[c].itemsize
+        out[c] = from_planes(raw[at:to], PLACE[c].str)
+        at = to
+    return out
+
+
+def question(part: int, size: int, keys: np.ndarray, n: np.ndarray, buckets: int, places: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of ``ASKED``: a part's sorted distinct keys and their counts, and where each stands first in it, one row for each bucket that gets any."""
     at = bounds(keys, buckets)
     some = np.flatnonzero(np.diff(at))
     n = n.astype(np.uint32)
@@ -63,35 +79,44 @@ def question(part: int, size: int, keys: np.ndarray, n: np.ndarray, buckets: int
         pa.array(np.diff(at)[some].astype(np.int32)),
         pa.array([pack(keys[a:z]) for a, z in spans], pa.binary()),
         pa.array([zstd(planes(n[a:z])) for a, z in spans], pa.binary()),
+        pa.array([None if places is None else _pack_places(places[a:z]) for a, z in spans], pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["size", "bucket", "part", "m", "keys", "n"])
+    return pa.RecordBatch.from_arrays(columns, names=["size", "bucket", "part", "m", "keys", "n", "places"])
 
 
 def _settle(group: pa.Table) -> pa.Table:
     m = group.column("m").to_numpy()
     keys = np.concatenate([unpack(x.as_py(), k) for x, k in zip(group.column("keys"), m.tolist(), strict=True)])
     n = np.concatenate([from_planes(zstd(x.as_py(), 4 * k), "u4") for x, k in zip(group.column("n"), m.tolist(), strict=True)]).astype(np.int64)
-    order = np.argsort(keys)
+    first = None
+    if group.column("places").null_count == 0:
+        first = np.concatenate([_places(x.as_py(), k) for x, k in zip(group.column("places"), m.tolist(), strict=True)])
+        order = np.lexsort((first["at"], first["h"], first["id"], keys))
+    else:
+        order = np.argsort(keys)
     own = keys[order]
     lead = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     total = np.add.reduceat(n[order], lead)
     everywhere = np.empty(len(keys), np.int64)
     everywhere[order] = np.repeat(total, np.diff(np.append(lead, len(own))))
+    if first is not None:  # the first place of all parts'
+        first[order] = np.repeat(first[order][lead], np.diff(np.append(lead, len(own))))
     more = everywhere != n
     ends = np.cumsum(m)
-    rows = [(k, more[z - w : z], everywhere[z - w : z]) for k, (w, z) in enumerate(zip(m.tolist(), ends.tolist(), strict=True))]
-    rows = [(k, hit, found[hit]) for k, hit, found in rows if hit.any()]
+    rows = [(k, more[z - w : z], slice(z - w, z)) for k, (w, z) in enumerate(zip(m.tolist(), ends.tolist(), strict=True))]
+    rows = [(k, hit, everywhere[at][hit], None if first is None else _pack_places(first[at][hit])) for k, hit, at in rows if hit.any()]
     size, bucket = group.column("size")[0].as_py(), group.column("bucket")[0].as_py()
     parts = group.column("part").to_numpy()
     return pa.table(
         {
             # the last row tells how many different keys have been counted
-            "part": pa.array([*(int(parts[k]) for k, _, _ in rows), -1], pa.int64()),
+            "part": pa.array([*(int(parts[k]) for k, _, _, _ in rows), -1], pa.int64()),
             "size": pa.array([size] * (len(rows) + 1), pa.int32()),
             "bucket": pa.array([bucket] * (len(rows) + 1), pa.int32()),
-            "m": pa.array([*(len(hit) for _, hit, _ in rows), int((total > 0).sum())], pa.int64()),
-            "mask": pa.array([*(np.packbits(hit).tobytes() for _, hit, _ in rows), None], pa.binary()),
-            "n": pa.array([*(planes(found) for _, _, found in rows), None], pa.binary()),
+            "m": pa.array([*(len(hit) for _, hit, _, _ in rows), int((total > 0).sum())], pa.int64()),
+            "mask": pa.array([*(np.packbits(hit).tobytes() for _, hit, _, _ in rows), None], pa.binary()),
+            "n": pa.array([*(planes(found) for _, _, found, _ in rows), None], pa.binary()),
+            "places": pa.array([*(place for _, _, _, place in rows), None], pa.binary()),
         }
     )
 
@@ -104,6 +129,16 @@ def settle(asked: DataFrame) -> DataFrame:
     return asked.groupBy("size", "bucket").applyInArrow(_settle, ANSWERED)
 
 
+def placed(keys: np.ndarray, first: np.ndarray, answers: pa.Table, size: int, buckets: int) -> np.ndarray:
+    """Where each of a part's keys stands first over all parts, from where it does in the part."""
+    first = first.copy()
+    at = bounds(keys, buckets)
+    for row in _rows(answers, size):
+        hit = int(at[row["bucket"]]) + np.flatnonzero(np.unpackbits(np.frombuffer(row["mask"], np.uint8), count=row["m"]))
+        first[hit] = _places(row["places"], len(hit))
+    return first
+
+
 def counted(keys: np.ndarray, n: np.ndarray, answers: pa.Table, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts over all parts of a part's keys of one size, and which of them other parts have to do with."""
     n = n.astype(np.int64)
@@ -119,4 +154,4 @@ def counted(keys: np.ndarray, n: np.ndarray, answers: pa.Table, size: int, bucke
 
 def _rows(answers: pa.Table, size: int) -> Iterator[dict]:
     for k in np.flatnonzero(answers.column("size").to_numpy() == size).tolist():
-        yield {c: answers.column(c)[k].as_py() for c in ("bucket", "m", "mask", "n")}
+        yield {c: answers.column(c)[k].as_py() for c in ("bucket", "m", "mask", "n", "places")}

@@ -213,58 +213,64 @@ def _sketch(least: int, part_bytes: int):
     return run
 
 
+def _first_marks(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A part's distinct marks, how often and where first each stands, and of all marks, in order, which each is and its place."""
+    marks, of = np.frombuffer(row["marks"], np.uint64), np.array(row["m_row"], np.int64)
+    place = np.empty(len(marks), packed.PLACE)
+    place["id"], place["h"] = np.array(row["ids"], np.int64)[of], np.array(row["hs"], np.int64)[of]
+    place["at"] = row["m_at"]
+    order = np.lexsort((place["at"], place["h"], place["id"], marks))
+    place = place[order]
+    keys, lead, which, n = np.unique(marks[order], return_index=True, return_inverse=True, return_counts=True)
+    return keys, n, place[lead], which, place
+
+
 def _ask(buckets: int):
-    """A part's band keys (once for each name) and marks."""
+    """A part's band keys (once for each name) and marks, with where they stand first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for size, data in ((1, row["bands"]), (2, row["marks"])):
-                    keys, n = np.unique(np.frombuffer(data, np.uint64), return_counts=True)
-                    yield packed.question(row["part"], size, keys, n, buckets)
+                keys, n = np.unique(np.frombuffer(row["bands"], np.uint64), return_counts=True)
+                yield packed.question(row["part"], 1, keys, n, buckets)
+                keys, n, first, _, _ = _first_marks(row)
+                yield packed.question(row["part"], 2, keys, n, buckets, first)
 
     return run
 
 
 def _met(buckets: int):
-    """What a part shares: (kind 1) names with the band keys that stand elsewhere too, and their texts; (kind 2) marks with their places."""
-
-    def again(data: bytes, answers: pa.Table, size: int) -> np.ndarray:
-        keys, at, n = np.unique(np.frombuffer(data, np.uint64), return_inverse=True, return_counts=True)
-        return ((packed.counted(keys, n, answers, size, buckets)[1]) | (n > 1))[at]
+    """What a part shares: (kind 1) names with the band keys that stand elsewhere too, and their texts; (kind 2) marks that a document of a smaller id has first."""
 
     def run(part: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for row in part.to_pylist():
+            keys, at, n = np.unique(np.frombuffer(row["bands"], np.uint64), return_inverse=True, return_counts=True)
+            hit = ((packed.counted(keys, n, answers, 1, buckets)[1]) | (n > 1))[at].reshape(-1, BANDS)
             band = np.frombuffer(row["bands"], np.int64).reshape(-1, BANDS)
-            hit = again(row["bands"], answers, 1).reshape(-1, BANDS)
             some = np.flatnonzero(hit.any(axis=1))
             off = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
-            names = np.array(row["names"], np.int64)
-            none = pa.nulls(len(some), pa.int64())
             texts = row["texts"]
+            none = lambda kind, k=len(some): pa.nulls(k, kind)
             named = [
                 pa.array(np.ones(len(some), np.int32)),
-                pa.array(names[some]),
-                none,
-                none,
-                pa.nulls(len(some), pa.int32()),
+                pa.array(np.array(row["names"], np.int64)[some]),
+                *(none(kind) for kind in 2 * (pa.int64(), pa.int64(), pa.int32())),
                 pa.ListArray.from_arrays(pa.array(off), pa.array(band[some][hit[some]])),
                 pa.array([texts[k] for k in some.tolist()], pa.string()),
             ]
-            here = np.flatnonzero(again(row["marks"], answers, 2))
-            of = np.array(row["m_row"], np.int64)[here]
-            ids, hs = pa.array(row["ids"], pa.int64()), pa.array(row["hs"], pa.int64())
+            keys, _, first, which, place = _first_marks(row)
+            first = packed.placed(keys, first, answers, 2, buckets)[which]
+            here = place["id"] > first["id"]
             marked = [
-                pa.array(np.full(len(here), 2, np.int32)),
-                pa.array(np.frombuffer(row["marks"], np.int64)[here]),
-                ids.take(pa.array(of)),
-                hs.take(pa.array(of)),
-                pa.array(np.array(row["m_at"], np.int32)[here]),
-                pa.nulls(len(here), pa.list_(pa.int64())),
-                pa.nulls(len(here), pa.string()),
+                pa.array(np.full(int(here.sum()), 2, np.int32)),
+                pa.nulls(int(here.sum()), pa.int64()),
+                *(pa.array(np.ascontiguousarray(x[c][here])) for x in (place, first) for c in packed.PLACE.names),
+                pa.nulls(int(here.sum()), pa.list_(pa.int64())),
+                pa.nulls(int(here.sum()), pa.string()),
             ]
-            out += [pa.table(x, names=["kind", "key", "id", "h", "at", "bands", "text"]) for x in (named, marked)]
+            names = ["kind", "key", "id", "h", "at", "first_id", "first_h", "first_at", "bands", "text"]
+            out += [pa.table(x, names=names) for x in (named, marked)]
         return pa.concat_tables(out)
 
     return run
@@ -352,10 +358,7 @@ def runs(source: DataFrame, met: DataFrame, store: Store) -> DataFrame:
     ones of 32 or more those that hold a mark; ``first_id`` is null for the
     words by which a match has grown.
     """
-    marks = met.where("kind = 2").select("key", "id", "h", "at")
-    firsts = marks.groupBy("key").agg(F.min(F.struct("id", "h", "at")).alias("first"), F.max("id").alias("last")).where("first.id < last")
-    firsts = store.put(firsts.select("key", F.col("first.id").alias("first_id"), F.col("first.h").alias("first_h"), F.col("first.at").alias("first_at")), "firsts")
-    found = store.put(marks.join(firsts, "key").where("id > first_id").select("id", "h", "at", "first_id", "first_h", "first_at"), "matches")
+    found = met.where("kind = 2").select("id", "h", "at", "first_id", "first_h", "first_at")
     grouped = found.groupBy("id", "h").agg(F.collect_list(F.struct("at", "first_id", "first_h", "first_at")).alias("matches"))
     edges = store.put(grouped.mapInArrow(_edges, "id long, h long, at int, first_id long, first_h long, first_at int"), "edges")
     asked = edges.select("id", "h", "at").union(edges.select("first_id", "first_h", "first_at")).groupBy("id", "h").agg(F.collect_set("at").alias("ats"))
@@ -390,9 +393,9 @@ def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", tex
     parts = store.put(source.mapInArrow(_sketch(least, part_bytes), _PART), "parts")
     sizes = parts.agg(F.sum(F.size("names") * BANDS), F.sum(F.size("m_at"))).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-max(sizes[0] or 0, sizes[1] or 0) // packed.BUCKET_KEYS))
-    answers = store.put(packed.settle(parts.select("part", "bands", "marks").mapInArrow(_ask(buckets), packed.ASKED)), "answers")
+    answers = store.put(packed.settle(parts.select("part", "ids", "hs", "bands", "m_row", "m_at", "marks").mapInArrow(_ask(buckets), packed.ASKED)), "answers")
     shown = parts.select("part", "ids", "hs", "names", "texts", "bands", "m_row", "m_at", "marks")
-    fields = "kind int, key long, id long, h long, at int, bands array<long>, text string"
+    fields = "kind int, key long, id long, h long, at int, first_id long, first_h long, first_at int, bands array<long>, text string"
     met = store.put(shown.groupBy("part").cogroup(answers.where("part >= 0").groupBy("part")).applyInArrow(_met(buckets), fields), "met")
     each = F.explode(F.arrays_zip("p_row", "p_from", "p_to", "p_name")).alias("p")
     places = parts.select("ids", "hs", each).select(
@@ -405,7 +408,7 @@ def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", tex
     gone = gone.union(runs(source, met, store))
     spans = gone.groupBy("id", "h").agg(F.collect_set(F.struct("from", "to")).alias("spans"), F.sort_array(F.collect_set("first_id")).alias("firsts"))
     spans = store.put(spans.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans", "firsts"), "spans")
-    store.drop("met", "paragraphs", "firsts", "matches", "edges", "around")
+    store.drop("met", "paragraphs", "edges", "around")
     own = [c for c in docs.columns if c not in ("cut_spans", "kept_in")]
     kind = _nullable(docs.select(*own).schema)
     keyed = docs.select(F.struct(*own).cast(kind).alias("__row"), key[0].alias("__of"), key[1].alias("__as"))
