@@ -33,7 +33,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(~_fold(5)))
     found = toxicity.tag(docs, model)
     return found.select(
-        "doc_id", _fold(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_words", F.size("spans").alias("n_spans")
+        "doc_id", _fold(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_words", F.size("spans").alias("n_spans"), "spans"
     )
 
 
