@@ -240,7 +240,7 @@ def _ask(buckets: int):
 
 
 def _met(buckets: int):
-    """What a part shares: (kind 1) names with the band keys that stand elsewhere too, and their texts; (kind 2) marks that a document of a smaller id has first."""
+    """What a part shares: (kind 1) names with the band keys that stand elsewhere too; (kind 2) marks that a document of a smaller id has first."""
 
     def run(part: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
@@ -250,14 +250,12 @@ def _met(buckets: int):
             band = np.frombuffer(row["bands"], np.int64).reshape(-1, BANDS)
             some = np.flatnonzero(hit.any(axis=1))
             off = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
-            texts = row["texts"]
             none = lambda kind, k=len(some): pa.nulls(k, kind)
             named = [
                 pa.array(np.ones(len(some), np.int32)),
                 pa.array(np.array(row["names"], np.int64)[some]),
                 *(none(kind) for kind in 2 * (pa.int64(), pa.int64(), pa.int32())),
                 pa.ListArray.from_arrays(pa.array(off), pa.array(band[some][hit[some]])),
-                pa.array([texts[k] for k in some.tolist()], pa.string()),
             ]
             keys, _, first, which, place = _first_marks(row)
             first = packed.placed(keys, first, answers, 2, buckets)[which]
@@ -267,9 +265,8 @@ def _met(buckets: int):
                 pa.nulls(int(here.sum()), pa.int64()),
                 *(pa.array(np.ascontiguousarray(x[c][here])) for x in (place, first) for c in packed.PLACE.names),
                 pa.nulls(int(here.sum()), pa.list_(pa.int64())),
-                pa.nulls(int(here.sum()), pa.string()),
             ]
-            names = ["kind", "key", "id", "h", "at", "first_id", "first_h", "first_at", "bands", "text"]
+            names = ["kind", "key", "id", "h", "at", "first_id", "first_h", "first_at", "bands"]
             out += [pa.table(x, names=names) for x in (named, marked)]
         return pa.concat_tables(out)
 
@@ -336,12 +333,18 @@ def _nullable(kind: T.StructType) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
-def repeats(places: DataFrame, met: DataFrame, store: Store) -> DataFrame:
-    """(id, h, from, to, first_id) of all of ``places(id, h, from, to, rep)`` that repeat one of a document of a smaller id, by what ``_met`` found."""
-    named = met.where("kind = 1").select(F.col("key").alias("rep"), "bands", "text")
+def repeats(places: DataFrame, parts: DataFrame, met: DataFrame, store: Store) -> DataFrame:
+    """(id, h, from, to, first_id) of all of ``places(id, h, from, to, rep)`` that repeat one of a document of a smaller id, by what ``_met`` found.
+
+    Texts of paragraphs come from ``parts``, which are freed once those of paragraphs with a bucket in common are written.
+    """
+    named = met.where("kind = 1").select(F.col("key").alias("rep"), "bands")
 
     def texts(crowd: DataFrame) -> DataFrame:
-        return named.select("rep", "text").join(crowd, "rep", "left_semi").groupBy(F.col("rep").alias("id")).agg(F.any_value("text").alias("text"))
+        each = parts.select(F.explode(F.arrays_zip("names", "texts")).alias("p")).select(F.col("p.names").alias("rep"), F.col("p.texts").alias("text"))
+        found = store.put(each.join(crowd, "rep", "left_semi").groupBy(F.col("rep").alias("id")).agg(F.any_value("text").alias("text")), "worded")
+        store.drop("parts")
+        return found
 
     linked = store.put(minhash.link(named.select(F.explode("bands").alias("bucket"), "rep"), texts, store), "linked")
     ids = places.groupBy("rep").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
@@ -394,17 +397,17 @@ def cut(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", tex
     sizes = parts.agg(F.sum(F.size("names") * BANDS), F.sum(F.size("m_at"))).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-max(sizes[0] or 0, sizes[1] or 0) // packed.BUCKET_KEYS))
     answers = store.put(packed.settle(parts.select("part", "ids", "hs", "bands", "m_row", "m_at", "marks").mapInArrow(_ask(buckets), packed.ASKED)), "answers")
-    shown = parts.select("part", "ids", "hs", "names", "texts", "bands", "m_row", "m_at", "marks")
-    fields = "kind int, key long, id long, h long, at int, first_id long, first_h long, first_at int, bands array<long>, text string"
+    shown = parts.select("part", "ids", "hs", "names", "bands", "m_row", "m_at", "marks")
+    fields = "kind int, key long, id long, h long, at int, first_id long, first_h long, first_at int, bands array<long>"
     met = store.put(shown.groupBy("part").cogroup(answers.where("part >= 0").groupBy("part")).applyInArrow(_met(buckets), fields), "met")
     each = F.explode(F.arrays_zip("p_row", "p_from", "p_to", "p_name")).alias("p")
     places = parts.select("ids", "hs", each).select(
         F.get("ids", F.col("p.p_row")).alias("id"), F.get("hs", F.col("p.p_row")).alias("h"), F.col("p.p_from").alias("from"), F.col("p.p_to").alias("to"), F.col("p.p_name").alias("rep")
     )
     places = store.put(places, "places")
-    store.drop("parts", "answers")
-    gone = store.put(repeats(places, met, store), "paragraphs")
-    store.drop("places", "linked", "of-rep", "gone", "crowd")
+    store.drop("answers")
+    gone = store.put(repeats(places, parts, met, store), "paragraphs")
+    store.drop("places", "worded", "linked", "of-rep", "gone", "crowd")
     gone = gone.union(runs(source, met, store))
     spans = gone.groupBy("id", "h").agg(F.collect_set(F.struct("from", "to")).alias("spans"), F.sort_array(F.collect_set("first_id")).alias("firsts"))
     spans = store.put(spans.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "spans", "firsts"), "spans")
