@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, forest, lm, minhash, mixing, passages, quality, rules, sharding, toxicity
+from tallyfold.llm import bpe, forest, infill, lm, minhash, mixing, passages, quality, rules, sharding, sketches, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,23 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, ~F.col("held_out"), carry=("held_out",))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all embeddings, on the eight components of the largest variance."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return sketches.edited(_table(spark, sf_dir, "documents"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their middle last, as digests, and as digests of what is rebuilt from that."""
+    made = infill.transform(_table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -105,6 +122,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_rules": op9_rules,
     "op10_lm": op10_lm,
+    "op11_whitening": op11_whitening,
+    "op12_sketches": op12_sketches,
+    "op13_infill": op13_infill,
     "pipeline": pipeline,
 }
 
@@ -157,5 +177,15 @@ p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, d.source,
 c AS (SELECT *, CASE WHEN size = 0 THEN [] ELSE list_transform(list_filter([middle, middle + source_size, middle + 2 * source_size], lambda x: x < target),
     lambda x: 2 * (x / target) / (1 - slope + sqrt(greatest(0.0, (1 - slope) * (1 - slope) + 4 * slope * (x / target))))) END AS spots FROM p)
 SELECT doc_id, size, source_size, target, CAST(len(spots) * size AS BIGINT) AS taken, source, CAST(len(spots) AS INTEGER) AS copies, round(spots[1], 9) AS first_position, round(spots[-1], 9) AS last_position FROM c
+""",
+    "op13_infill": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN z - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, z + 1) || '<M>' || substring(t, a + 1, z - a)
+    WHEN 'spm' THEN '<S>' || substring(t, z + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, z - a) ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM c
 """,
 }

@@ -49,5 +49,5 @@ def test_registered():
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in found)] == []
+    assert [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in found)] == []
     assert "pipeline" in found
