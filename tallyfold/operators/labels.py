@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate, token_cost
 from tallyfold.functions.text import stripped
-from tallyfold.operators.ranges import range_of
+from tallyfold.operators.ranges import bounds, placed, tie
 
 LABELS = ("pos", "neg", "neu")
 BATCH_ROWS = 100_000
@@ -34,17 +34,21 @@ def requests(rows: DataFrame, model: str, max_tokens: int = 64, temperature: flo
 def numbered(rows: DataFrame, order: str, size: int = BATCH_ROWS) -> DataFrame:
     """Rows with ``batch_num`` from 1: ``size`` rows a batch in the order of the column, the last batch what is left.
 
-    Ranges of the column are counted first and numbered within afterwards, so no
-    task sees all rows, and both see the same ranges.  Rows of equal values are
-    numbered in any order; nulls come first.
+    Ranges of (column, hash of the row) are counted first and numbered within
+    afterwards, so rows of one value are spread over many tasks and no task sees
+    all rows; there are as many ranges as shuffle partitions.  Rows of equal
+    values are in the order of the hash; nulls come first.  The rows are read
+    three times: for the ranges' bounds, the counts, and the result.
     """
-    ranged = rows.withColumn("__part", range_of(rows, order))
+    keyed = rows.withColumn("__tie", tie(rows))
+    key = F.struct(F.col(order).alias("v"), F.col("__tie").alias("t"))
+    ranged = placed(keyed, bounds(keyed, key), key, "__part")
     counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     # one row for each range
     ahead = counts.select(F.col("__part").alias("__of"), (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__ahead"))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(order))
-    placed = ranged.join(F.broadcast(ahead), F.col("__part") == F.col("__of")).withColumn("__row", F.col("__ahead") + within - 1)
-    return placed.withColumn("batch_num", (F.floor(F.col("__row") / size) + 1).cast("int")).drop("__part", "__of", "__ahead", "__row")
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(order, "__tie"))
+    numbers = ranged.join(F.broadcast(ahead), F.col("__part") == F.col("__of")).withColumn("__row", F.col("__ahead") + within - 1)
+    return numbers.withColumn("batch_num", (F.floor(F.col("__row") / size) + 1).cast("int")).drop("__part", "__of", "__ahead", "__row", "__tie")
 
 
 def unfenced(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate
-from tallyfold.operators.ranges import range_of
+from tallyfold.operators.ranges import bounds, placed
 
 
 def value_counts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -37,7 +37,8 @@ def _placed(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
     task needs all values of a group.
     """
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("__n"))
-    ranged = counted.withColumn("__part", range_of(rows.select(F.col(value).alias("value")), "value"))
+    ends = bounds(rows.where(F.col(value).isNotNull()), F.col(value))
+    ranged = placed(counted, ends, F.col("value"), "__part")
     # one row for each range and key that meet
     sums = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__m"))
     of = Window.partitionBy(*(keys or [F.lit(0)]))
@@ -48,8 +49,8 @@ def _placed(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     within = Window.partitionBy(*keys, "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = ranged.withColumn("__in", F.sum("__n").over(within)).join(ahead, same)
-    return placed.select(*keys, "value", "__n", (F.col("__ahead") + F.col("__in")).alias("__upto"), "__all")
+    found = ranged.withColumn("__in", F.sum("__n").over(within)).join(ahead, same)
+    return found.select(*keys, "value", "__n", (F.col("__ahead") + F.col("__in")).alias("__upto"), "__all")
 
 
 def _at(place: Column) -> Column:

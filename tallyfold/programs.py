@@ -22,7 +22,7 @@ from tallyfold.functions.numbers import token_cost
 from tallyfold.operators import labels, matching, metrics, temporal
 from tallyfold.operators.records import Step, Steps, extract_fields, from_source, has_valid_body
 from tallyfold.schemas import COMMENT, MENTION
-from tallyfold.sources import config, readers, writers
+from tallyfold.sources import batches, config, readers, writers
 
 
 def _parsed(found: DataFrame, seen: Observation, schema=COMMENT) -> DataFrame:
@@ -53,10 +53,11 @@ def mentions(spark: SparkSession, source: str, target: str, names: config.Entiti
     return seen.get | passed.get
 
 
-def prepare(spark: SparkSession, source: str, folder: str, model: str, size: int = labels.BATCH_ROWS) -> None:
-    """Request files of at most ``size`` rows for comments with mentions."""
-    rows = readers.jsonl(spark, source, MENTION)
-    writers.batches(labels.requests(rows, model), folder, "custom_id", size)
+def prepare(spark: SparkSession, source: str, folder: str, model: str, size: int = labels.BATCH_ROWS, limit: int | None = None) -> dict[str, int]:
+    """Request files batch_001.jsonl, ... of at most ``size`` rows for comments with mentions, or the first ``limit`` of them; how many there are."""
+    rows = readers.jsonl(spark, source, MENTION, limit)
+    batches.write(labels.requests(rows, model), folder, "custom_id", size)
+    return {"batches": len(batches.files(folder))}
 
 
 def collect(spark: SparkSession, results: str, comments: str, target: str, dead: str, state_path: str | None = None) -> dict[str, float] | None:
@@ -138,7 +139,7 @@ def race(spark: SparkSession, views: str, target: str, names: config.Entities, t
 
 
 def submit_all(path: str, files: list[str], send: Callable[[str], str], poll: Callable[[str], dict], fetch: Callable[[dict], None], sleep: Callable[[float], None], at_once: int = 1, **wait: float) -> bool:
-    """Sends files ``at_once`` at a time and fetches their results before the next; whether all results are there.
+    """Sends files, in the order of their batch numbers, ``at_once`` at a time and fetches their results before the next; whether all results are there.
 
     A second call goes on where the first stopped.
     """

@@ -10,8 +10,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.labels import BATCH_ROWS, numbered
-
 
 def parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Never onto a path that ``df`` reads."""
@@ -27,11 +25,6 @@ def csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
-def batches(df: DataFrame, path: str, order: str, size: int = BATCH_ROWS) -> None:
-    """JSON lines of at most ``size`` rows each, in folders batch_num=1, 2, ..."""
-    numbered(df, order, size).repartition("batch_num").sortWithinPartitions("batch_num", order).write.mode("overwrite").partitionBy("batch_num").json(path)
-
-
 def split_results(results: DataFrame, good: str, dead: str) -> None:
     """Results that succeeded to ``good``, all others to ``dead``."""
     ok = F.col("result_type").eqNullSafe("succeeded")

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.sources.batches import in_order, number_of
 from tallyfold.sources.writers import atomic
 
 COUNTS = ("processing", "succeeded", "errored", "canceled", "expired")
@@ -51,17 +52,23 @@ def complete(state: dict) -> bool:
 
 
 def submit(path: str, files: list[str], send: Callable[[str], str], limit: int | None = None) -> list[str]:
-    """Sends files that weren't sent yet, in order; the state is saved after each, so a failure loses none."""
+    """Sends files that weren't sent yet, in the order of their batch numbers; the state is saved after each, so a failure loses none.
+
+    ``batch_num`` is the number in the file's name; a name without one gets the next after the highest.
+    """
     state = load(path)
     sent = {b["request_file"] for b in state["batches"]}
     done = []
-    for name in [f for f in sorted(files) if f not in sent][:limit]:
+    for name in [f for f in in_order(files) if f not in sent][:limit]:
         try:
             batch_id = send(name)
         finally:
             save(path, state)
+        number = number_of(name)
+        if number is None:
+            number = max((b["batch_num"] or 0 for b in state["batches"]), default=0) + 1
         state["batches"].append(
-            {"batch_num": len(state["batches"]) + 1, "batch_id": batch_id, "request_file": name, "status": "in_progress", "submitted_at": datetime.now(UTC).isoformat(), "ended_at": None, "results_url": None, "request_counts": dict.fromkeys(COUNTS, 0), "results_downloaded": False}
+            {"batch_num": number, "batch_id": batch_id, "request_file": name, "status": "in_progress", "submitted_at": datetime.now(UTC).isoformat(), "ended_at": None, "results_url": None, "request_counts": dict.fromkeys(COUNTS, 0), "results_downloaded": False}
         )
         state["total_batches"] = len(state["batches"])
         save(path, state)

@@ -116,3 +116,27 @@ def test_dry_run(spark):
     rows = spark.createDataFrame([("f", 1, '{"custom_id": "1", "params": {}}'), ("f", 2, '{"custom_id": "2", "params": {}}')], "file string, line int, value string")
     r = L.dry_run(rows, 10).first()
     assert r["valid"] and r["rows"] == 2 and r["cost"] == pytest.approx(16 / 1e6 * 0.5 + 20 / 1e6 * 2.5)
+
+
+def test_equal_values_are_numbered_in_many_tasks(spark):
+    """40,000 rows of one value, beside values that are spread; no range holds more than a few times its share."""
+    from tallyfold.operators import ranges
+
+    rows = spark.range(40_000).select(F.lit("same").alias("k"), "id").union(spark.range(20_000).select(F.col("id").cast("string"), F.col("id") + 90_000)).union(spark.range(3).select(F.lit(None).cast("string"), "id"))
+    got = L.numbered(rows.repartition(8), "k", 700)
+    sizes = [r["count"] for r in got.groupBy("batch_num").count().orderBy("batch_num").collect()]
+    assert sizes == [700] * (60_003 // 700) + [60_003 % 700]
+    assert got.where("k IS NULL").select("batch_num").distinct().collect() == [(1,)]
+    keyed = rows.withColumn("t", ranges.tie(rows))
+    key = F.struct("k", "t")
+    per = [r["count"] for r in ranges.placed(keyed, ranges.bounds(keyed, key, 16), key, "part").groupBy("part").count().collect()]
+    assert len(per) == 16 and max(per) < 2 * 60_003 / 16
+
+
+def test_one_value_that_stands_often_leaves_the_others_their_ranges(spark):
+    from tallyfold.operators import ranges
+
+    rows = spark.range(20_000).union(spark.range(5000).select(F.lit(77).cast("long")))
+    per = [r["count"] for r in ranges.placed(rows, ranges.bounds(rows, F.col("id"), 8), F.col("id"), "part").groupBy("part").count().collect()]
+    assert len(per) == 8 and max(per) < 5000 + 2 * 20_000 / 8
+    assert ranges.placed(rows.limit(0), ranges.bounds(rows.limit(0), F.col("id"), 8), F.col("id"), "part").count() == 0

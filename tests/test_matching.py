@@ -1,4 +1,8 @@
+import random
+import time
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tallyfold.operators import matching as M
@@ -98,3 +102,55 @@ def test_extract_fields(spark):
 def test_unresolved(spark):
     rows = spark.createDataFrame([("Curry",), ("who",), ("who",), ("he",), (None,)], "v string")
     assert [tuple(r) for r in M.unresolved(rows, "v", M.alias_table(spark, NAMES), 5).collect()] == [("who", 2), ("he", 1)]
+
+
+def test_mentions_equal_a_test_of_each_alias(spark):
+    """Random texts and aliases with overlaps, one inside another, shared by names, next to marks and digits."""
+    r = random.Random(5)
+    alphabet = "abé _-1ß\u0301"
+    words = sorted({"".join(r.choice(alphabet) for _ in range(r.randrange(1, 4))).lower() for _ in range(60)})
+    names = tuple(M.Name(f"N{k}", tuple(r.sample(words, 3))) for k in range(12))
+    short = frozenset(r.sample(words, 30))
+    texts = ["".join(r.choice(alphabet + "AB") for _ in range(r.randrange(0, 25))) for _ in range(400)]
+    word = r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}]"
+
+    def holds(text, alias):
+        if alias not in short:
+            return alias in text
+        ends = [i for i in range(len(text) + 1) if (i > 0 and bool(regex.match(word, text[i - 1]))) != (i < len(text) and bool(regex.match(word, text[i])))]
+        return any(text.startswith(alias, i) and i + len(alias) in ends for i in ends)
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", M.mentions(F.col("t"), names, short).alias("m")).collect()
+    assert all(row["m"] == [n.name for n in names if any(holds(row["t"].lower(), a) for a in n.aliases)] for row in got)
+
+
+def test_thousands_of_aliases_cost_a_text_no_more(spark):
+    texts = spark.range(4000).select(F.concat_ws(" ", *[F.format_string("w%d", F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50_000))) for k in range(60)]).alias("t")).cache()
+    texts.count()
+
+    def took(n):
+        found = texts.select(F.size(M.mentions(F.col("t"), tuple(M.Name(f"N{k}", (f"w{k * 7}x", f"w{k * 7 + 1} ")) for k in range(n)))).alias("n"))
+        runs = []
+        for _ in range(3):
+            began = time.perf_counter()
+            found.agg(F.sum("n")).collect()
+            runs.append(time.perf_counter() - began)
+        return min(runs)
+
+    few, many = took(20), took(2000)
+    assert many < 3 * few + 0.5
+
+
+def test_containment(spark):
+    names = spark.createDataFrame([("Ab",), ("ab",), ("",), (None,), ("x",), ("abcd",), ("zzzz",), ("bcdb",)], "name string")
+    labels = spark.createDataFrame([("xABy", 2), ("abcdbcd", 3), ("", 5), (None, 7), ("ab", 11), ("X", 13)], "label string, n long")
+    got = M.containment(names, labels, "name", "label", "n")
+    assert "BroadcastNestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("Ab", 3, 16), ("ab", 3, 16), ("", 5, 34), (None, 0, 0), ("x", 2, 15), ("abcd", 1, 3), ("zzzz", 0, 0), ("bcdb", 1, 3)], key=str)
+
+
+def test_containment_of_names_that_share_their_beginning(spark):
+    """All labels and names begin alike; each name meets only labels that hold its own run."""
+    names = spark.range(300).select(F.format_string("source %d.", "id").alias("name"))
+    labels = spark.range(300).select(F.format_string("my source %d. here", "id").alias("label"), F.lit(1).cast("long").alias("n"))
+    assert {tuple(r)[1:] for r in M.containment(names, labels, "name", "label", "n").collect()} == {(1, 1)}

@@ -7,7 +7,7 @@ import pytest
 import zstandard
 
 from tallyfold import programs, state
-from tallyfold.sources import config
+from tallyfold.sources import batches, config
 
 ENTITIES = """
 players:
@@ -58,10 +58,10 @@ def test_from_raw_lines_to_the_race(spark, folder):
     counts = programs.mentions(spark, p["clean"], p["mentions"], names)
     assert counts == {"lines": 7, "malformed": 0, "total": 7, "accepted": 6, "rejected_mention": 1}
 
-    programs.prepare(spark, p["mentions"], p["batches"], "some-model", 4)
-    files = {d.name: [json.loads(x) for f in sorted(d.glob("*.json")) for x in f.read_text().splitlines()] for d in (folder / "batches").glob("batch_num=*")}
-    assert {k: [r["custom_id"] for r in v] for k, v in files.items()} == {"batch_num=1": ["a", "b", "c", "d"], "batch_num=2": ["g", "h"]}
-    assert files["batch_num=2"][1]["params"]["messages"][0]["content"].count("cy!") == 1
+    assert programs.prepare(spark, p["mentions"], p["batches"], "some-model", 4) == {"batches": 2}
+    files = {f.name: [json.loads(x) for x in f.read_text().splitlines()] for f in (folder / "batches").iterdir()}
+    assert {k: [r["custom_id"] for r in v] for k, v in files.items()} == {"batch_001.jsonl": ["a", "b", "c", "d"], "batch_002.jsonl": ["g", "h"]}
+    assert files["batch_002.jsonl"][1]["params"]["messages"][0]["content"].count("cy!") == 1
 
     replies = {i: r for i, _, _, _, r in RAW if r}
     ok = [{"custom_id": i, "result": {"type": "succeeded", "message": {"content": [{"text": r}], "usage": {"input_tokens": 10, "output_tokens": 2}}}} for i, r in replies.items()]
@@ -112,3 +112,27 @@ def test_arguments():
     a = programs._arguments().parse_args(["race", "--views", "v", "--target", "t", "--entities", "e", "--top", "3"])
     assert (a.top, a.min_ranking, a.min_entry) == (3, 5000, 1000)
     assert programs._arguments().parse_args(["clean", "--source", "s", "--target", "t", "--sources", "a", "b"]).sources == ["a", "b"]
+
+
+def test_prepared_files_are_sent_in_the_order_of_their_numbers(spark, tmp_path):
+    """Twelve batches, by way of the files that prepare writes; a send fails once."""
+    rows = [{"id": f"c{k:03d}", "body": f"text {k}", "mentioned_entities": ["x"]} for k in range(116)]
+    (tmp_path / "mentions.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    assert programs.prepare(spark, str(tmp_path / "mentions.jsonl"), str(tmp_path / "requests"), "some-model", 10) == {"batches": 12}
+    files, path, sent, fetched = batches.files(str(tmp_path / "requests")), str(tmp_path / "state.json"), [], []
+    assert [len(open(f).readlines()) for f in files] == [10] * 11 + [6]
+    assert [json.loads(x)["custom_id"] for f in files for x in open(f)] == [r["id"] for r in rows]
+
+    def send(name):
+        if len(sent) == 5 and "failed" not in sent:
+            sent.append("failed")
+            raise OSError("no answer")
+        sent.append(name)
+        return f"id {batches.number_of(name)}"
+
+    run = lambda: programs.submit_all(path, files[::-1], send, lambda i: {"status": "ended"}, lambda b: fetched.append(b["batch_num"]), lambda s: None, at_once=2)
+    with pytest.raises(OSError):
+        run()
+    assert run()
+    assert [x for x in sent if x != "failed"] == files and fetched == list(range(1, 13))
+    assert [(b["batch_num"], b["batch_id"]) for b in state.load(path)["batches"]] == [(k, f"id {k}") for k in range(1, 13)]

@@ -1,10 +1,12 @@
 import json
+import os
 
+import pyarrow as pa
 import pytest
 
 from tallyfold import state
 from tallyfold.schemas import COMMENT
-from tallyfold.sources import config, paged, readers, writers
+from tallyfold.sources import batches, config, paged, readers, writers
 from tallyfold.streaming import ingest
 from tallyfold.operators.matching import Name
 
@@ -59,10 +61,50 @@ def test_document_refuses_large_views(spark, tmp_path):
         writers.document({"rows": spark.range(10)}, str(tmp_path / "d.json"), limit=3)
 
 
-def test_batches(spark, tmp_path):
-    writers.batches(spark.range(25), str(tmp_path / "b"), "id", 10)
-    got = spark.read.json(str(tmp_path / "b")).groupBy("batch_num").count().collect()
-    assert sorted(tuple(r) for r in got) == [(1, 10), (2, 10), (3, 5)]
+def test_batch_files(spark, tmp_path):
+    folder = tmp_path / "b"
+    folder.mkdir()
+    (folder / "batch_007.jsonl").write_text("of an earlier run")
+    (folder / "notes.txt").write_text("stay")
+    batches.write(spark.range(25), str(folder), "id", 10)
+    assert sorted(p.name for p in folder.iterdir()) == ["batch_001.jsonl", "batch_002.jsonl", "batch_003.jsonl", "notes.txt"]
+    assert [json.loads(x)["id"] for x in (folder / "batch_002.jsonl").read_text().splitlines()] == list(range(10, 20))
+    batches.write(spark.range(1), f"file://{folder}", "id", 10)
+    assert [os.path.basename(f) for f in batches.files(str(folder))] == ["batch_001.jsonl"]
+    batches.write(spark.range(0), str(tmp_path / "none"), "id", 10)
+    assert batches.files(str(tmp_path / "none")) == []
+
+
+def test_attempts_that_failed_leave_no_batch(tmp_path):
+    def rows(*pairs):
+        return iter([pa.RecordBatch.from_arrays([pa.array([n for n, _ in pairs]), pa.array([v for _, v in pairs])], names=["batch_num", "value"])])
+
+    def breaks():
+        yield from rows((1, "a"), (2, "b"))
+        raise OSError("the executor is lost")
+
+    w = batches.BatchFileWriter(str(tmp_path))
+    with pytest.raises(OSError):
+        w.write(breaks())
+    again, twice, other = w.write(rows((1, "a"), (1, "c"), (2, "b"))), w.write(rows((1, "a"), (1, "c"), (2, "b"))), w.write(rows((12, "é")))
+    assert batches.files(str(tmp_path)) == []
+    w.commit([again, None, other])
+    assert twice.batches != again.batches
+    assert {p.name: p.read_text() for p in tmp_path.iterdir()} == {"batch_001.jsonl": "a\nc\n", "batch_002.jsonl": "b\n", "batch_012.jsonl": "é\n"}
+    w = batches.BatchFileWriter(str(tmp_path))
+    w.write(rows((1, "new")))
+    w.abort([])
+    assert (tmp_path / "batch_001.jsonl").read_text() == "a\nc\n" and len(list(tmp_path.iterdir())) == 3
+    w = batches.BatchFileWriter(str(tmp_path))
+    with pytest.raises(ValueError, match="two tasks"):
+        w.commit([w.write(rows((1, "x"))), w.write(rows((1, "y")))])
+    with pytest.raises(ValueError, match="together"):
+        w.write(rows((1, "x"), (2, "y"), (1, "z")))
+
+
+def test_names_of_batches():
+    assert [batches.file_name(n) for n in (1, 12, 1234)] == ["batch_001.jsonl", "batch_012.jsonl", "batch_1234.jsonl"]
+    assert batches.in_order(["d/batch_1000.jsonl", "x", "d/batch_999.jsonl", "d/batch_2.jsonl", "a"]) == ["d/batch_2.jsonl", "d/batch_999.jsonl", "d/batch_1000.jsonl", "a", "x"]
 
 
 def test_results_and_split(spark, tmp_path):
