@@ -110,3 +110,17 @@ def _(spark, d):
     damaged = lines.select("file", F.monotonically_increasing_id().alias("line"), F.when(broken, F.substring("value", 1, 20)).otherwise(F.col("value")).alias("value"))
     whole = F.try_parse_json("value").isNotNull()
     return damaged.groupBy(F.when(whole, "whole").otherwise("broken").alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "zstd_round_trip",
+    f"WITH {RAW} SELECT id, subreddit, CASE WHEN body IS NULL THEN NULL ELSE md5(body) END AS body_md5 FROM raw WHERE id % 7 <> 2",
+)
+def _(spark, d):
+    """Records as lines of zstd files in frames of 100 kB, read by runs of about as much; every seventh line is broken."""
+    path = scratch.folder(spark, "zstd")
+    rows = raw(spark, d).select("id", "body", "subreddit")
+    line = F.to_json(F.struct(*rows.columns))
+    writers.zstd_lines(rows.select(F.when(F.col("id") % 7 == 2, F.substring(line, 1, 9)).otherwise(line).alias("value")), path, frame=100_000)
+    found = readers.parsed(readers.zstd_lines(spark, path, run=50_000), rows.schema)
+    return found.select("id", "subreddit", F.md5("body").alias("body_md5"))

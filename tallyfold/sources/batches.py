@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tallyfold.operators.labels import BATCH_ROWS, numbered
+from tallyfold.sources.paths import at
 
 _NAME = re.compile(r"batch_(\d+)")
 
@@ -35,14 +36,9 @@ def in_order(names: list[str]) -> list[str]:
     return sorted(names, key=lambda n: (numbered_[n] is None, numbered_[n] or 0, n))
 
 
-def _at(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path and the path in it; a path without a scheme is a local one."""
-    return fs.FileSystem.from_uri(path) if re.match(r"\w+:", path) else (fs.LocalFileSystem(), path)
-
-
 def files(path: str) -> list[str]:
     """The request files of a folder, in the order of their numbers."""
-    system, root = _at(path)
+    system, root = at(path)
     found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
     return in_order([f.path for f in found if f.is_file and number_of(f.path) is not None and f.path.endswith(".jsonl")])
 
@@ -76,7 +72,7 @@ class BatchFileWriter(DataSourceArrowWriter):
         self.path, self.staging = path, f"_staging-{uuid.uuid4().hex[:12]}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
-        system, root = _at(self.path)
+        system, root = at(self.path)
         folder = posixpath.join(root, self.staging)
         system.create_dir(folder)
         attempt, done, out = uuid.uuid4().hex, [], None
@@ -90,7 +86,7 @@ class BatchFileWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.close()
                         done.append([number, posixpath.join(folder, f"{number}-{attempt}"), 0])
-                        out = system.open_output_stream(done[-1][1])
+                        out = system.open_output_stream(done[-1][1], compression=None)
                     out.write(line.encode() + b"\n")
                     done[-1][2] += 1
         finally:
@@ -99,7 +95,7 @@ class BatchFileWriter(DataSourceArrowWriter):
         return Staged([tuple(d) for d in done])
 
     def commit(self, messages: list[Staged | None]) -> None:
-        system, root = _at(self.path)
+        system, root = at(self.path)
         made = {}
         for number, staged, rows in (b for m in messages if m for b in m.batches):
             if number in made:
@@ -116,7 +112,7 @@ class BatchFileWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list[Staged | None]) -> None:
         """What attempts have left goes."""
-        system, root = _at(self.path)
+        system, root = at(self.path)
         folder = posixpath.join(root, self.staging)
         if system.get_file_info(folder).type != fs.FileType.NotFound:
             system.delete_dir(folder)

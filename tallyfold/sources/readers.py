@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bytes that a compressed file is read by.
-CHUNK = 4 << 20
-
+from tallyfold.sources import zstd
 
 def parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -55,38 +49,10 @@ def rows(spark: SparkSession, records: list[dict], schema: T.StructType) -> Data
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in records], schema)
 
 
-def zstd_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``value`` of each line of zstd files that isn't blank; the last one counts without a newline too.
-
-    Files come through Spark's reader, one task a file, and are decoded as a
-    stream: memory holds the compressed file and one chunk.
-    """
-    files = spark.read.format("binaryFile").load(path).select("content")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                yield from _decoded(content.as_buffer())
-
-    return files.mapInArrow(run, "value string")
-
-
-def _decoded(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    reader = zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(pa.BufferReader(content), read_across_frames=True)
-    text, held = io.TextIOWrapper(reader, encoding="utf-8", errors="replace", newline="\n"), []
-    size = 0
-    for line in text:
-        line = line.strip()
-        if line:
-            held.append(line)
-            size += len(line)
-        if size > CHUNK:
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+def zstd_lines(spark: SparkSession, path: str, run: int = zstd.RUN) -> DataFrame:
+    """``value`` of each line of zstd files that isn't blank, by runs of frames; see ``zstd.ZstdLines``."""
+    spark.dataSource.register(zstd.ZstdLines)
+    return spark.read.format("zstd_lines").option("bytes", run).load(path)
 
 
 def batch_results(spark: SparkSession, pattern: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.sources import zstd
+
 
 def parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Never onto a path that ``df`` reads."""
@@ -20,6 +22,12 @@ def jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 
 
+def zstd_lines(df: DataFrame, path: str, frame: int = zstd.FRAME, append: bool = False) -> None:
+    """One text column as lines of zstd files, in frames of about ``frame`` bytes of text that can be read in parallel."""
+    df.sparkSession.dataSource.register(zstd.ZstdLines)
+    df.write.format("zstd_lines").option("frame", frame).mode("append" if append else "overwrite").save(path)
+
+
 def csv(df: DataFrame, path: str) -> None:
     """With a header; nulls are empty cells."""
     df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)

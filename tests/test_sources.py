@@ -3,10 +3,11 @@ import os
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold import state
 from tallyfold.schemas import COMMENT
-from tallyfold.sources import batches, config, paged, readers, writers
+from tallyfold.sources import batches, config, paged, readers, writers, zstd
 from tallyfold.streaming import ingest
 from tallyfold.operators.matching import Name
 
@@ -32,6 +33,65 @@ def test_zstd_keeps_the_last_line_and_multibyte_characters(spark, tmp_path):
     assert len(got) == 51 and got[-1] == "last" and all("\ufffd" not in x for x in got)
 
 
+def test_zstd_frames_are_read_in_parallel(spark, tmp_path):
+    """Lines over the ends of frames, at them, without newlines in whole frames; frames with and without checksum and size; skippable ones."""
+    import io as bytes_io
+    import random
+
+    import zstandard
+
+    r = random.Random(3)
+    for trial in range(25):
+        text = "\n".join("".join(r.choice("aé🏀 ") for _ in range(r.choice((0, 1, 3, 40, 400)))) for _ in range(r.randrange(1, 60)))
+        data, raw = text.encode() + (b"\n" if trial % 3 else b""), b""
+        while data:
+            n = r.choice((1, 2, 7, 60, 300))
+            piece, data = data[:n], data[n:]
+            raw += zstandard.ZstdCompressor(write_checksum=bool(r.randrange(2)), write_content_size=bool(r.randrange(2))).compress(piece)
+            if r.random() < 0.2:
+                raw += (0x184D2A50 + r.randrange(16)).to_bytes(4, "little") + (5).to_bytes(4, "little") + b"hello"
+        want = [x.strip() for x in text.split("\n") if x.strip()]
+        for most in (1, 50, 200, 10**9):
+            parts = zstd.runs(bytes_io.BytesIO(raw), "f", len(raw), most)
+            assert [p.start for p in parts[1:]] == [p.end for p in parts[:-1]] and parts[-1].end == len(raw)
+            assert [x for p in parts for some in zstd.lines(bytes_io.BytesIO(raw), p) for x in some] == want
+        if trial < 3:
+            (tmp_path / f"{trial}.zst").write_bytes(raw)
+            found = readers.zstd_lines(spark, f"file://{tmp_path}/{trial}.zst", run=100)
+            assert sorted(x["value"] for x in found.collect()) == sorted(want)
+    assert found.rdd.getNumPartitions() > 3
+
+
+def test_zstd_memory_is_a_chunk(tmp_path):
+    """A single frame of 300 MB of text."""
+    import tracemalloc
+
+    import zstandard
+
+    with open(tmp_path / "big.zst", "wb") as f, zstandard.ZstdCompressor(level=1).stream_writer(f) as w:
+        for k in range(300):
+            w.write((f"line {k} " + "x" * 90 + "\n").encode() * 10_000)
+    n = 0
+    tracemalloc.start()
+    with open(tmp_path / "big.zst", "rb") as f:
+        (run,) = zstd.runs(f, "f", os.path.getsize(tmp_path / "big.zst"))
+        for some in zstd.lines(f, run):
+            n += len(some)
+    assert n == 3_000_000 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_zstd_files_are_written_in_frames(spark, tmp_path):
+    rows = spark.range(5000).select(F.format_string("line %d é", "id").alias("value")).repartition(3)
+    writers.zstd_lines(rows, str(tmp_path / "z"), frame=2000)
+    writers.zstd_lines(rows.limit(10), str(tmp_path / "z"), frame=2000, append=True)
+    names = sorted(p.name for p in (tmp_path / "z").iterdir())
+    assert len(names) == 4 and all(n.startswith("part-") for n in names)
+    assert readers.zstd_lines(spark, str(tmp_path / "z")).count() == 5010
+    writers.zstd_lines(rows.limit(7), str(tmp_path / "z"))
+    assert readers.zstd_lines(spark, str(tmp_path / "z")).count() == 7
+
+
 def test_writers_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", None)], "k string, n long")
     writers.parquet(df, str(tmp_path / "p"))
