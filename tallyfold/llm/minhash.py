@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import tokens
 from tallyfold.llm.graph import components
-from tallyfold.llm.store import Store
+from tallyfold.llm.store import Store, whole_row
 
 #: Words in a shingle, and the similarity in percent from which two sets are near duplicates.
 SHINGLE, PERCENT = 5, 75
@@ -89,8 +89,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(n),
                     pa.array([_digest(x) for x in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(off), pa.array(keys[n > 0].ravel().view(np.int64))),
+                    batch.column(2).slice(lo, hi - lo),
                 ],
-                names=["id", "n", "digest", "bands"],
+                names=["id", "n", "digest", "bands", "text_hash"],
             )
 
 
@@ -315,7 +316,7 @@ def _as_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: id, n_shingles, component_id, kept, text_hash, group.
 
     Documents are linked if the Jaccard similarity of their sets of 5-word
     shingles is at least 0.75, confirmed on the full sets; component_id is the
@@ -329,7 +330,8 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     """
     store = store or Store(docs.sparkSession, "minhash")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = store.put(source.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>"), "sketch")
+    hashed = source.select("id", "text", F.xxhash64("text").alias("text_hash"))
+    sketch = store.put(hashed.mapInArrow(_sketch, "id long, n long, digest binary, bands array<long>, text_hash long"), "sketch")
     full = sketch.where("n > 0 AND id IS NOT NULL")
     classes = full.groupBy("digest").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands"))
     classes = store.put(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
@@ -342,10 +344,35 @@ def near_duplicates(docs: DataFrame, store: Store | None = None, id_col: str = "
     linked = store.put(link(classes.select(F.explode("bands").alias("bucket"), "rep"), texts, store), "linked")
     # a component goes by its smallest id
     least = classes.select("rep", "least").join(linked, "rep").groupBy("component").agg(F.min("least").alias("component_id"))
-    moved = store.put(linked.join(least, "component").select("rep", "component_id"), "moved")
-    named = store.put(classes.select("digest", "rep", "least").join(moved, "rep", "left").select("digest", F.coalesce("component_id", "least").alias("component_id")), "named")
-    members = full.select("id", "n", "digest").join(named, "digest").select("id", "n", "component_id")
-    alone = sketch.where("NOT (n > 0 AND id IS NOT NULL)").select("id", "n", F.col("id").alias("component_id"))
-    return members.union(alone).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    moved = store.put(linked.join(least, "component").select("rep", "component", "component_id"), "moved")
+    own = F.coalesce("component_id", "least").alias("component_id"), F.coalesce("component", "rep").alias("group")
+    named = store.put(classes.select("digest", "rep", "least").join(moved, "rep", "left").select("digest", *own), "named")
+    members = full.select("id", "n", "digest", "text_hash").join(named, "digest").select("id", "n", "component_id", "text_hash", "group")
+    alone = sketch.where("NOT (n > 0 AND id IS NOT NULL)").select("id", "n", F.col("id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("group"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return members.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", kept, "text_hash", "group")
+
+
+def representatives(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay if one of each component does, whole and under their own names.
+
+    That is the row of the smallest id; where several rows of a component have
+    this id, the one whose text has the least hash; of rows that agree in id and
+    text, any one.  Rows without words or without an id all stay.
+    """
+    store = store or Store(docs.sparkSession, "minhash")
+    found = store.put(near_duplicates(docs, store, id_col, text_col).select(F.col(id_col).alias("__id"), "kept", "text_hash", "group"), "decided")
+    first = found.where("kept AND group IS NOT NULL").groupBy("group").agg(F.min("__id").alias("__id"), F.min("text_hash").alias("least"), F.max("text_hash").alias("last"), F.count("*").alias("rows"))
+    # seldom any: components with several rows of their smallest id
+    several = store.put(first.where("rows > 1"), "several")
+    later = found.where("kept").join(several.where("least < last").select("group", "least"), "group").where("text_hash > least")
+    gone = found.where("NOT kept").select("__id", "text_hash").union(later.select("__id", "text_hash")).distinct().select("__id", F.col("text_hash").alias("__as"))
+    # a row is carried as one column, so that no name of its own meets another
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).cast("long").alias("__of"), F.xxhash64(F.col(text_col).cast("string")).alias("__hash"))
+    left = rows.join(gone, (F.col("__of") == F.col("__id")) & (F.col("__hash") == F.col("__as")), "left_anti")
+    again = several.select("__id", F.col("least").alias("__as"))
+    if again.isEmpty():
+        return left.select("row.*")
+    same = (F.col("__of") == F.col("__id")) & (F.col("__hash") == F.col("__as"))
+    once = left.join(again, same, "left_semi").groupBy("__of", "__hash").agg(F.first("row").alias("row"))
+    return left.join(again, same, "left_anti").select("row.*").union(once.select("row.*"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyfold.llm.store import Store
+from tallyfold.llm.store import Store, whole_row
 
 #: Weights that sources have in turn, and how often a document may be taken.
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
@@ -153,6 +153,6 @@ def arranged(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id"
     plan = curriculum(docs, store, id_col, text_col, source_col)
     copies = plan.select(F.col(id_col).alias("__id"), F.col("mark").alias("__of"), F.posexplode("positions").alias("__round", "__at"))
     placed = copies.dropDuplicates(["__id", "__of", "__round"])
-    keyed = docs.withColumn("__mark", _mark(id_col, text_col, source_col))
-    together = keyed.join(placed, (keyed["__mark"] == placed["__of"]) & keyed[id_col].cast("long").eqNullSafe(placed["__id"]))
-    return in_order(together, "__at", "__mark").select(*[docs[c] for c in docs.columns])
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).cast("long").alias("of"), _mark(id_col, text_col, source_col).alias("mark"))
+    together = rows.join(placed, (F.col("mark") == F.col("__of")) & F.col("of").eqNullSafe(F.col("__id")))
+    return in_order(together, "__at", "mark").select("row.*")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +24,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def whole_row(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """The columns of a table as one, in which no name of theirs can meet one of an operator's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without])
+
+
 class Store:
     """Intermediate tables of one operator call, as Parquet in the shared folder.
 

@@ -134,3 +134,18 @@ def test_a_very_long_text(spark, table, make, monkeypatch):
     assert all((getattr(w, k) == getattr(whole, k)).all() for k in ("hash", "start", "end", "first", "buf", "off"))
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table([(1, long), (2, long + " end"), (3, make(9, 300))])).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_representatives_keep_one_row_of_each_group(spark, make):
+    """Repeated ids, repeated rows, texts that differ in white space only, and columns named like the operator's own."""
+    one, two, three = make(1, 80), make(2, 80), make(3, 80)
+    rows = [(3, one), (5, one), (5, two), (9, three), (7, two + " more"), (9, three.replace(" ", "  ")), (11, ""), (11, ""), (11, None), (None, one), (12, make(4, 80)), (12, make(4, 80)), (9, three)]
+    docs = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, group int, kept string")
+    got = minhash.representatives(docs)
+    assert got.columns == docs.columns
+    stay = [(r["doc_id"], r["text"], r["kept"]) for r in got.collect()]
+    assert len(stay) == 8 and all(k == "x" for _, _, k in stay)
+    assert sorted(((i, t) for i, t, _ in stay if i not in (9, 11)), key=str) == sorted([(3, one), (5, two), (None, one), (12, make(4, 80))], key=str)
+    assert sum(i == 11 for i, _, _ in stay) == 3
+    assert [t.replace("  ", " ") for i, t, _ in stay if i == 9] == [three]
+    assert minhash.representatives(docs.limit(0)).count() == 0

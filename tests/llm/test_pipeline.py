@@ -51,3 +51,53 @@ def test_registered():
     found = __spark_entry__.queries()
     assert [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in found)] == []
     assert "pipeline" in found
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, kept_in string, cut_spans string, row int, __mark string, score string, kept string"
+
+
+def odd_rows(make):
+    """Nulls, empty texts, repeated rows and ids, ties, a very long text, passages that several documents hold."""
+    one, two, shared = make(1, 80), make(2, 80), make(3, 60)
+    texts = [(3, one), (5, one), (5, two), (9, make(4, 120)), (None, None), (None, make(5, 60)), (10, ""), (10, ""), (11, None), (12, " \n\t "), (13, make(6, 80) + "\n" + shared), (14, make(7, 80) + "\n" + shared), (15, make(8, 90)), (15, make(8, 90))]
+    texts += [(40 + k, make(20 + k, 70)) for k in range(25)] + [(99, make(9, 150_000, 90_000))]
+    return [(i, t, "en", f"s{k % 3}" if k % 5 else None, len(t or ""), "mine", "mine", k, "mine", "mine", "mine") for k, (i, t) in enumerate(texts)]
+
+
+@pytest.fixture
+def labels(spark, tmp_path, make):
+    """Learned labels that leave no document of ``odd_rows`` out: every text is a good one but those of few words."""
+    rows = [(i, 1, 0) for i in range(0, 100)] + [(10, 0, 0), (11, 0, 0)]
+    spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_each_stage_takes_odd_tables(spark, make, labels, k):
+    docs = spark.createDataFrame(odd_rows(make), CLASHING)
+    name, stage = corpus_pipeline.STAGES[k]
+    got = stage(spark, docs, labels)
+    rows = got.collect()
+    if k == 4:
+        assert len(rows) == docs.count()
+        return
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    assert all(r[c] == "mine" for r in rows for c in ("kept_in", "cut_spans", "__mark", "score", "kept"))
+    by_row = {r["row"]: r for r in docs.collect()}
+    if name != "substring dedup":
+        assert all(r["text"] == by_row[r["row"]]["text"] for r in rows)
+    if name == "MinHash near-dedup":
+        ids = [(r["doc_id"], r["text"]) for r in rows]
+        assert (3, make(1, 80)) in ids and (5, make(2, 80)) in ids and (5, make(1, 80)) not in ids
+        assert sum(i == 15 for i, _ in ids) == 1 and sum(i == 10 for i, _ in ids) == 2
+    if name == "substring dedup":
+        texts = {r["doc_id"]: r["text"] for r in rows if r["doc_id"] in (13, 14, 99)}
+        assert make(3, 60) in texts[13] and make(3, 60) not in texts[14] and len(texts[99].split()) == 150_000
+        assert sum(r["n_chars"] != len(r["text"] or "") for r in rows) == 0
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_each_stage_takes_an_empty_table(spark, labels, k):
+    empty = spark.createDataFrame([], CLASHING)
+    got = corpus_pipeline.STAGES[k][1](spark, empty, labels)
+    assert got.count() == 0 and (k == 4 or got.columns == empty.columns)
