@@ -11,41 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import bpe, minhash, mixing, passages, quality
-from tallyfold.llm.store import Store
+from tallyfold.llm.store import Store, whole_row
 
 #: Documents of a lower quality score go.
 LEAST_QUALITY = 0.3
 
 
-def _as(docs: DataFrame, found: DataFrame) -> DataFrame:
-    return found.select(*docs.columns)
-
-
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; it learns from all labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
     # whole rows are carried as one column, so that no name of theirs meets one of the classifier's
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    rows = docs.select("doc_id", "text", whole_row(docs).alias("row"))
     return quality.score(rows, model, carry=("row",)).where(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of the smallest id."""
-    found = minhash.near_duplicates(docs)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return _as(docs, docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti"))
+    """One document of each group of near duplicates, the one of the smallest id, once."""
+    return minhash.representatives(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages; those of which nothing is left go."""
-    cut = passages.cut(docs)
+    cut = passages.cut(docs.select("doc_id", "text", whole_row(docs, without=("text",)).alias("row")))
     untouched = F.size("cut_spans") == 0
     whole = untouched | F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     kept = cut.where(F.coalesce(whole, F.lit(True)))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(untouched, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return _as(docs, kept)
+        new["n_chars"] = F.when(untouched, F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
