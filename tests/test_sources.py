@@ -7,11 +7,24 @@ from pyspark.sql import functions as F
 
 from tallyfold import state
 from tallyfold.schemas import COMMENT
-from tallyfold.sources import batches, config, paged, readers, writers, zstd
+from tallyfold.sources import batches, budget, config, paged, readers, writers, zstd
 from tallyfold.streaming import ingest
 from tallyfold.operators.matching import Name
 
 
+class Free:
+    """A gate that is open."""
+
+    def enter(self):
+        pass
+
+    def seen(self, headers):
+        pass
+
+
+FREE = Free()
+
+
 def lines(n, **more):
     return [json.dumps({"id": str(k), "body": f"b{k} curry", "created_utc": 1704067200 + 86400 * k, "x": 1} | more) for k in range(n)]
 
@@ -200,7 +213,7 @@ def test_config(spark, tmp_path):
     ("headers", "wait"), [({}, 0), ({"X-RateLimit-Remaining": "50"}, 0), ({"X-RateLimit-Remaining": "5", "X-RateLimit-Reset": "110"}, 11), ({"X-RateLimit-Remaining": "5"}, 60), ({"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "1"}, 1)]
 )
 def test_rate_limit(headers, wait):
-    assert paged.wait_for(headers, 100) == wait
+    assert budget.wait_for(headers, 100) == wait
 
 
 @pytest.mark.parametrize("same_second", [1, 3, 40])
@@ -214,7 +227,7 @@ def test_pages_lose_nothing(monkeypatch, same_second):
         q = {k: int(v[0]) for k, v in parse_qs(urlparse(url).query).items() if k in ("after", "before", "limit")}
         return [x for x in items if q["after"] < x["created_utc"] < q["before"]][: q["limit"]], {}
 
-    got = [x["id"] for x in paged.pages(get, "http://x", {}, 1000, 5000, sleep=lambda s: None)]
+    got = [x["id"] for x in paged.pages(get, "http://x", {}, 1000, 5000, FREE)]
     assert got == [x["id"] for x in items]
 
 
@@ -258,17 +271,3 @@ def test_stream_is_the_batch(spark, tmp_path):
     again = ingest.mentioning(ingest.comments(spark, str(land)), (Name("C", ("curry",)),))
     ingest.run_once(again, str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 7
-
-
-def test_download_goes_on_where_it_broke_off(spark, tmp_path):
-    out, progress = str(tmp_path / "raw"), str(tmp_path / "progress.json")
-
-    def fetch(source):
-        if source == "b":
-            raise OSError("down")
-        return spark.range(3)
-
-    with pytest.raises(OSError):
-        paged.download(fetch, ["a", "b", "c"], out, progress)
-    assert paged.download(lambda s: spark.range(2), ["a", "b", "c"], out, progress) == ["b", "c"]
-    assert sorted((r["source"], r["count"]) for r in spark.read.parquet(out).groupBy("source").count().collect()) == [("a", 3), ("b", 2), ("c", 2)]
