@@ -130,6 +130,46 @@ QUERIES: dict[str, Query] = {
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+
+
+def _rules_sql() -> str:
+    """The rules and their cutoffs over plain counts."""
+    value = {"symbols": "n_symbols / greatest(word_chars, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)", "dup_lines": "100 * n_dup_lines / greatest(n_words, 1)"}
+    steps, strata, level = rules.STEPS, len(rules.STRATA) + 1, rules.DOUBT / (len(rules.STRATA) + 1)
+    first = {
+        r: f"{steps + 1} - (" + " + ".join(f"CAST({value.get(r, 'word_chars / greatest(n_words, 1)')} {'>' if way == 'above' else '<'} {c} AS INTEGER)" for c in tried) + ")"
+        for r, (way, tried) in rules.RULES.items()
+    }
+    least = rules.least_labels(rules.RISK, level)
+    pools = ["c0 AS (SELECT *, 0 AS p0, n0 AS a0 FROM n)"]
+    for k in range(1, strata):
+        pools.append(f"c{k} AS (SELECT *, p{k - 1} + CAST(a{k - 1} >= {least} AS INTEGER) AS p{k}, CASE WHEN a{k - 1} >= {least} THEN 0 ELSE a{k - 1} END + n{k} AS a{k} FROM c{k - 1})")
+    last = strata - 1
+    ends = " UNION ALL ".join(f"SELECT {k} AS stratum, n{k} AS n, CASE WHEN p{k} = p{last} AND a{last} < {least} THEN greatest(p{last} - 1, 0) ELSE p{k} END AS pool FROM c{last}" for k in range(strata))
+    risk = rules.RISK
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT k, i, array_to_string(w[i:i+7], ' ') AS s FROM (SELECT k, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+r AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, s) AS c FROM g) WHERE c > 1),
+cov AS (SELECT k, count(DISTINCT i + j) AS n FROM r, range(0, 8) AS o(j) GROUP BY k),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+    coalesce(cov.n, 0) AS n_repeat_words FROM d LEFT JOIN cov USING (k)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CAST({" + ".join(f"(n_words >= {x})::INTEGER" for x in rules.STRATA)} AS INTEGER) AS stratum,
+    {", ".join(f"{sql} AS at_{r}" for r, sql in first.items())} FROM m),
+h AS (SELECT stratum, least({", ".join(f"at_{r}" for r in first)}) AS at FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+n AS (SELECT {", ".join(f"count(*) FILTER (stratum = {k}) AS n{k}" for k in range(strata))} FROM h),
+{", ".join(pools)},
+p AS ({ends}),
+q AS (SELECT p.stratum, (SELECT sum(n) FROM p AS o WHERE o.pool = p.pool) AS n, s.step, (SELECT count(*) FROM h JOIN p AS o USING (stratum) WHERE o.pool = p.pool AND h.at <= s.step) AS x FROM p, range(1, {steps + 1}) AS s(step)),
+v AS (SELECT stratum, step, n < {least} OR (SELECT sum(exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({risk}) + (n - i) * ln(1 - {risk}))) FROM range(0, x + 1) AS t(i)) > {level} AS bad FROM q),
+c AS (SELECT stratum, coalesce(min(step) FILTER (bad) - 1, {steps}) AS step FROM v GROUP BY stratum),
+j AS (SELECT f.*, CASE WHEN base_failed THEN 'base' {" ".join(f"WHEN at_{r} <= step THEN '{r}'" for r in first)} END AS rejected_by FROM f JOIN c USING (stratum))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, rejected_by IS NULL AS kept, stratum, rejected_by FROM j
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
@@ -178,6 +218,7 @@ c AS (SELECT *, CASE WHEN size = 0 THEN [] ELSE list_transform(list_filter([midd
     lambda x: 2 * (x / target) / (1 - slope + sqrt(greatest(0.0, (1 - slope) * (1 - slope) + 4 * slope * (x / target))))) END AS spots FROM p)
 SELECT doc_id, size, source_size, target, CAST(len(spots) * size AS BIGINT) AS taken, source, CAST(len(spots) AS INTEGER) AS copies, round(spots[1], 9) AS first_position, round(spots[-1], 9) AS last_position FROM c
 """,
+    "op9_rules": _rules_sql(),
     "op13_infill": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 g AS (SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),

@@ -9,19 +9,18 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyfold.llm.store import Store
 
-#: The share of good documents of a stratum that all rules together may reject (each an equal part of it), and the
-#: chance that any rule of any stratum exceeds its part.
-RISK, DOUBT = 0.01, 0.05
+#: The share of good documents of a stratum that all rules together may reject, and the chance that this is exceeded in
+#: any stratum.
+RISK, DOUBT = 0.02, 0.05
 #: Words in a window that counts as repeated if it stands twice in a text.
 WINDOW = 8
 #: Words from which a text belongs to the next stratum.
 STRATA = (100, 400, 1600)
-#: Each rule: what it measures of a text (as in ``rates``), whether high or low values are rejected, and the cutoffs
-#: that are tried, the one that rejects least first.
+#: Each rule: whether high or low values (of ``rates``) are rejected, and the cutoffs that are tried, the one that
+#: rejects least first.  All rules have as many, and take them together, step by step.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "symbols": ("above", (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05, 0.04, 0.03, 0.02)),
     "repeats": ("above", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05)),
@@ -148,53 +147,81 @@ def binomial_tail(x: Column, n: Column, risk: float) -> Column:
     return F.when(x >= n, 1.0).otherwise(F.least(F.lit(1.0), F.exp(first + F.log(summed))))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, label_col: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """(stratum, rule, step): of each rule's cutoffs, how many hold in a stratum.
+#: Steps of cutoffs.
+STEPS = 12
 
-    Of the good labelled documents that pass the base, x of n would be rejected
-    by a cutoff.  If the true share were above the rule's part of ``risk``, x or fewer would come up
-    with at most the binomial tail's chance.  The cutoffs of a rule are tested
-    in order and the first that can't be told from a bad one ends the series,
-    which keeps the series' error at one test's; the doubt is shared equally by
-    the rules and strata (Bonferroni).  One row for each stratum and rule.
+
+def least_labels(risk: float, level: float) -> int:
+    """Good documents without which not even a rule that rejects none of them could be told from a bad one."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
+
+def _pools(counts: Column, least: int) -> Column:
+    """For each stratum, by its count of labels, the number of its pool: neighbours go together until each pool has ``least``; what is left at the end goes with the last pool."""
+    start = F.struct(F.lit(0).alias("pool"), F.lit(0).cast("long").alias("n"), F.array().cast("array<int>").alias("of"))
+
+    def add(a: Column, n: Column) -> Column:
+        full = a["n"] >= least
+        return F.struct((a["pool"] + full.cast("int")).alias("pool"), (F.when(full, 0).otherwise(a["n"]) + n).alias("n"), F.array_append(a["of"], a["pool"] + full.cast("int")).alias("of"))
+
+    return F.aggregate(counts, start, add, lambda a: F.transform(a["of"], lambda p: F.when((p == a["pool"]) & (a["n"] < least), F.greatest(a["pool"] - 1, F.lit(0))).otherwise(p)))
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, label_col: str = "quality", risk: float = RISK, doubt: float = DOUBT, id_col: str = "doc_id") -> DataFrame:
+    """(stratum, pool, labels, step): how many steps of their cutoffs the rules may take in each stratum.
+
+    Labelled good documents that pass the base are the holdout.  At a step, x of
+    a stratum's n would be rejected by any of the rules; if the true share were
+    above ``risk``, x or fewer would come up with at most the binomial tail's
+    chance.  Each step rejects what those before it do, so steps are tested in
+    order at the same level, and the first that can't be told from a bad one
+    ends the series: that keeps a stratum's error at one test's.  The doubt is
+    shared equally by the strata (Bonferroni).  Neighbouring strata with fewer
+    labels than a test needs are pooled, by their counts alone; if there aren't
+    enough in all, no step is taken.  A document with contradicting labels is a
+    good one.
     """
-    level = doubt / (len(RULES) * (len(STRATA) + 1))
-    good = labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    held = measured.where(~base_failed()).join(good, "doc_id", "left_semi")
-    graded = held.select(stratum().alias("stratum"), F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _first_cutoff(r).alias("at")) for r in RULES])).alias("g"))
-    counted = graded.groupBy("stratum", "g.rule", "g.at").agg(F.count("*").alias("n"))
-    # at most strata * rules * (cutoffs + 1) rows from here on
-    most = max(len(c) for _, c in RULES.values())
-    of = Window.partitionBy("stratum", "rule")
-    tried = counted.groupBy("stratum", "rule").agg(F.sum("n").alias("n"), F.collect_list(F.struct("at", "n")).alias("by")).select(
-        "stratum", "rule", "n", "by", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("step")
+    level = doubt / (len(STRATA) + 1)
+    least = least_labels(risk, level)
+    good = labels.where((F.col(label_col) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias(id_col)).distinct()
+    held = measured.where(~base_failed()).join(good, id_col, "left_semi")
+    at = F.least(*[_first_cutoff(r) for r in RULES])
+    counted = held.select(stratum().alias("stratum"), at.alias("at")).groupBy("stratum", "at").agg(F.count("*").alias("n"))
+    # from here on one row: at most strata * (steps + 1) counts
+    number = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0)).cast("long")
+    strata = range(len(STRATA) + 1)
+    by = counted.agg(
+        F.array(*[number(F.col("stratum") == s) for s in strata]).alias("n"),
+        F.array(*[F.array(*[number((F.col("stratum") == s) & (F.col("at") <= k)) for k in range(1, STEPS + 1)]) for s in strata]).alias("x"),
     )
-    rejected = tried.select("stratum", "rule", F.col("n").cast("double").alias("n"), "step", F.aggregate("by", F.lit(0).cast("long"), lambda a, g: a + F.when(g["at"] <= F.col("step"), g["n"]).otherwise(0)).cast("double").alias("x"))
-    tested = rejected.withColumn("safe", binomial_tail(F.col("x"), F.col("n"), risk / len(RULES)) <= level)
-    first_bad = F.min(F.when(~F.col("safe"), F.col("step"))).over(of)
-    return tested.withColumn("bad", first_bad).groupBy("stratum", "rule").agg(F.max(F.coalesce(F.col("bad") - 1, F.lit(most))).cast("int").alias("step"))
+    pooled = by.withColumn("pools", _pools(F.col("n"), least)).select("pools", "n", "x", F.explode(F.sequence(F.lit(0), F.lit(len(STRATA)))).alias("stratum"))
+    pooled = pooled.withColumn("pool", F.get("pools", F.col("stratum")))
+    mine = lambda values: F.aggregate(F.zip_with("pools", values, lambda p, v: F.when(p == F.col("pool"), v).otherwise(0)), F.lit(0).cast("long"), lambda a, v: a + v)
+    step = F.explode(F.sequence(F.lit(1), F.lit(STEPS))).alias("step")
+    tried = pooled.select("stratum", "pool", "pools", "x", mine(F.col("n")).cast("double").alias("labels"), step)
+    tried = tried.select("stratum", "pool", "labels", "step", mine(F.transform("x", lambda v: F.get(v, F.col("step") - 1))).cast("double").alias("rejected"))
+    tested = tried.withColumn("bad", (F.col("labels") < least) | (binomial_tail(F.col("rejected"), F.col("labels"), risk) > level))
+    ended = F.coalesce(F.min(F.when(F.col("bad"), F.col("step"))) - 1, F.lit(STEPS)).cast("int").alias("step")
+    return tested.groupBy("stratum", "pool", F.col("labels").cast("long").alias("labels")).agg(ended)
 
 
 def judge(docs: DataFrame, labels: DataFrame, store: Store | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """Each row's measures, stratum, base_failed, kept and the first rule that rejects it (``rejected_by``).
 
-    A row is kept if it passes the base and no rule of its stratum rejects it.
-    A stratum without enough labelled good documents has no rules.  Rows are
-    judged by themselves; a row without an id teaches nothing but is judged.
+    A row is kept if it passes the base and no rule, at the step that its
+    stratum's labels vouch for (see ``cutoffs``), rejects it.  Rows are judged
+    by themselves; a row without an id teaches nothing but is judged.  An empty
+    table gives an empty result, and without labels only the base rejects.
     """
     store = store or Store(docs.sparkSession, "rules")
     measured = store.put(measures(docs, id_col, text_col), "measures")
-    named = measured if id_col == "doc_id" else measured.withColumnRenamed(id_col, "doc_id")
-    chosen = store.put(cutoffs(named, labels, label_col, risk, doubt), "cutoffs")
-    # at most one row for each of the strata, of which there are len(STRATA) + 1
-    limits = chosen.groupBy("stratum").pivot("rule", list(RULES)).agg(F.max("step"))
-    limits = limits.select(F.col("stratum").alias("__of"), *[F.col(r).alias(f"__{r}") for r in RULES])
+    chosen = store.put(cutoffs(measured, labels, label_col, risk, doubt, id_col), "cutoffs")
+    # one row for each stratum
+    limits = chosen.select(F.col("stratum").alias("__of"), F.col("step").alias("__step"))
     judged = measured.withColumn("stratum", stratum()).join(F.broadcast(limits), F.col("stratum") == F.col("__of"), "left")
     rejected_by = F.when(base_failed(), "base")
-    for rule, (way, tried) in RULES.items():
-        for k, c in enumerate(tried, 1):
-            value = rates()[rule]
-            rejected_by = rejected_by.when((F.coalesce(F.col(f"__{rule}"), F.lit(0)) >= k) & (value > c if way == "above" else value < c), rule)
+    for rule in RULES:
+        rejected_by = rejected_by.when(_first_cutoff(rule) <= F.col("__step"), rule)
     return judged.select(
         id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), rejected_by.isNull().alias("kept"), "stratum", rejected_by.alias("rejected_by")
     )

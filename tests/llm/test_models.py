@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -149,22 +150,80 @@ def test_rules(spark, table, make):
     assert rules.judge(table([]), labels).count() == 0
 
 
-def test_cutoffs_keep_their_promise(spark):
-    from pyspark.sql import functions as F
+def measured(spark, counts):
+    """Rows (n_words, n_symbols), as often as told; ids from 0."""
+    rows, k = [], 0
+    for words, symbols, times in counts:
+        rows += [(k + i, words, 5 * words, symbols, 0, 0) for i in range(times)]
+        k += times
+    return spark.createDataFrame(rows, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+
+
+def steps(rows, labels, **more):
+    return {r["stratum"]: (r["labels"], r["step"]) for r in rules.cutoffs(rows, labels, **more).collect()}
+
 
-    # 4000 good documents of one stratum, one in a hundred with a symbol rate of 0.06
-    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(200).alias("n_words"), F.lit(1000).alias("word_chars"), F.when(F.col("id") % 100 == 0, 60).otherwise(0).alias("n_symbols"), F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"))
+def tail(x, n, risk):
+    return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(risk) + (n - k) * math.log1p(-risk)) for k in range(x + 1))
+
+
+def test_cutoffs_keep_their_promise(spark):
+    """4,000 good documents of one stratum, one in a hundred with a symbol rate of 0.06; words of five characters pass the other rules."""
+    rows = measured(spark, [(200, 0, 3960), (200, 60, 40)])
     labels = rows.select("doc_id", F.lit(1).alias("quality"))
-    got = {r["rule"]: r["step"] for r in rules.cutoffs(rows, labels, risk=0.1).collect()}
-    assert got["symbols"] == len(rules.RULES["symbols"][1])  # 1 % may be rejected at a risk of 2 %
-    assert {r["rule"]: r["step"] for r in rules.cutoffs(rows, labels, risk=0.025).collect()}["symbols"] == 8  # the last cutoff above 0.06
-    assert {r["rule"]: r["step"] for r in rules.cutoffs(rows.limit(20), labels, risk=0.1).collect()}["symbols"] == 0  # too few to vouch
+    assert steps(rows, labels, risk=0.02)[1] == (4000, 12)  # 1 % may be rejected at a risk of 2 %
+    assert steps(rows, labels, risk=0.005)[1] == (4000, 8)  # the last cutoff above 0.06
+    few = rows.where("doc_id < 20")
+    assert steps(few, labels, risk=0.1)[1] == (20, 0)  # too few to vouch
+    most = next(x for x in range(4000) if tail(x, 4000, 0.02) > 0.05 / 4) - 1
+    for x in (most, most + 1):
+        own = measured(spark, [(200, 0, 4000 - x), (200, 60, x)])
+        assert steps(own, labels, risk=0.02)[1][1] == (12 if x == most else 8)
+
+
+@pytest.mark.parametrize(
+    ("counts", "want"),
+    [
+        ((300, 300, 300, 300), (300, 300, 300, 300)),
+        ((300, 300, 300, 10), (300, 300, 310, 310)),
+        ((10, 300, 10, 300), (310, 310, 310, 310)),
+        ((100, 100, 100, 300), (300, 300, 300, 300)),
+        ((5, 5, 5, 5), (20, 20, 20, 20)),
+        ((0, 0, 0, 0), (0, 0, 0, 0)),
+        ((0, 0, 0, 250), (250, 250, 250, 250)),
+    ],
+)
+def test_strata_are_pooled_until_they_can_vouch(spark, counts, want):
+    """A test needs 217 labels at a risk of 2 %."""
+    assert rules.least_labels(0.02, 0.05 / 4) == 217
+    rows = measured(spark, [(w, 0, n) for w, n in zip((50, 200, 800, 3000), counts, strict=True)])
+    got = steps(rows, rows.select("doc_id", F.lit(1).alias("quality")))
+    assert tuple(got[s][0] for s in range(4)) == want
+    assert all(step == (12 if n >= 217 else 0) for n, step in got.values())
+
+
+def test_rules_reject_and_spare_on_labels_held_back(spark):
+    """Cutoffs from four fifths of the labels, judged on the rest: bad documents go, good ones within the risk."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no tables here")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    back = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    judged = rules.judge(docs, labels.where(~back)).join(labels.where(back), "doc_id").where("NOT base_failed").groupBy("quality").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept"))
+    got = {r["quality"]: r["kept"] / r["n"] for r in judged.collect()}
+    assert got[1] >= 1 - rules.RISK and got[0] < 0.2
+
+
+def test_contradicting_labels_count_as_good(spark):
+    rows = measured(spark, [(200, 0, 300), (200, 600, 300)])
+    labels = rows.select("doc_id", F.lit(1).alias("quality")).union(rows.select("doc_id", F.lit(0)))
+    assert steps(rows, labels)[1] == (600, 0)
+    assert steps(rows, labels.where("quality = 1 AND doc_id < 300"))[1] == (300, 12)
 
 
 @pytest.mark.parametrize(("n", "x"), [(1, 0), (50, 0), (50, 3), (5000, 60), (100_000, 1900), (10, 10)])
 def test_binomial_tail(spark, n, x):
-    from pyspark.sql import functions as F
-
     got = spark.range(1).select(rules.binomial_tail(F.lit(float(x)), F.lit(float(n)), 0.02)).first()[0]
     want = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(0.02) + (n - k) * math.log1p(-0.02)) for k in range(x + 1))
     assert got == pytest.approx(want, rel=1e-7)
