@@ -21,6 +21,8 @@ PRIORS = (1000.0, 4.0)
 RAISED = 0.1
 #: Bytes of text in a part; a longer text is a part by itself.
 PART_BYTES = 8 << 20
+#: Tokens of a text that are walked in one go; longer texts are walked in segments, side by side.
+SEGMENT = 512
 #: The end of a text, as a token.
 END = np.uint64(0x454E442D4F462D54)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -147,32 +149,122 @@ def _ask_triples(buckets: int):
     return run
 
 
-def _walk(buckets: int, total: int, types: int, priors: tuple[float, float]):
-    """Sums over each text's tokens; ``total`` and ``types`` are of all that was taught.
-
-    A state is the longest context, of up to two words, that has arcs.  A word
-    that has none there is looked for from the shorter context, at the weight
-    of the failure arc, prior / (count + prior); an arc's own probability holds
-    what would come by way of the failure arc as well.
+@dataclass
+class Automaton:
+    """States, the arcs that leave them, and the failure arcs.
+
+    State 0 is the empty context, the next ones are contexts of one word, the
+    others of two; each context that was taught is a state.  An arc is found by
+    ``state * words + word``; it has a log10 weight and the state that it leads
+    to, the longest context of its words.  A word without an arc is looked for
+    from the state that the failure arc leads to, at the failure arc's weight;
+    the empty context has an arc for every word.
     """
-    for_two, for_three = priors
+
+    words: int
+    arcs: np.ndarray
+    weight: np.ndarray
+    target: np.ndarray
+    fail: np.ndarray
+    fail_weight: np.ndarray
+
+    @classmethod
+    def of(cls, own: Part, n1: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], triples: tuple[np.ndarray, np.ndarray], total: int, types: int, priors: tuple[float, float]) -> Automaton:
+        """Of a part's words, pairs and triples, with their counts over all parts; pairs and triples as counts and, by token, which one ends there."""
+        size = len(own.words)
+        p1 = (n1 + RAISED) / (total + RAISED * (types + 1))
+        known = n1 > 0
+        of_word = np.where(known, np.cumsum(known), 0)
+
+        n2, pair = pairs
+        at = _where(len(n2), pair, own.two)
+        u, v = own.ids[at - 1], own.ids[at]
+        p2 = (n2 + priors[0] * p1[v]) / (n1[u] + priors[0])
+        taught = n2 > 0
+        of_pair = np.where(taught, known.sum() + np.cumsum(taught), of_word[v])
+
+        n3, triple = triples
+        to = _where(len(n3), triple, own.three)
+        first, second = pair[to - 1], pair[to]
+        p3 = (n3 + priors[1] * p2[second]) / (n2[first] + priors[1])
+        some = n3 > 0
+
+        arcs = np.concatenate([np.arange(size), of_word[u[taught]] * size + v[taught], of_pair[first[some]] * size + own.ids[to[some]]])
+        weight = np.log10(np.concatenate([p1, p2[taught], p3[some]]))
+        target = np.concatenate([of_word, of_pair[taught], of_pair[second[some]]])
+        order = np.argsort(arcs)
+        fail = np.concatenate([np.zeros(1 + known.sum(), np.int64), of_word[v[taught]]])
+        lost = np.concatenate([[1.0], priors[0] / (n1[known] + priors[0]), priors[1] / (n2[taught] + priors[1])])
+        return cls(size, arcs[order], weight[order], target[order], fail, np.log10(lost))
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From states, by words: the log10 weights of the ways, and where they lead."""
+        state, spent = state.copy(), np.zeros(len(state))
+        arc = np.empty(len(state), np.int64)
+        open_ = np.arange(len(state))
+        while len(open_):
+            key = state[open_] * self.words + word[open_]
+            at = np.searchsorted(self.arcs, key)
+            hit = self.arcs[np.minimum(at, len(self.arcs) - 1)] == key
+            arc[open_[hit]] = at[hit]
+            open_ = open_[~hit]
+            spent[open_] += self.fail_weight[state[open_]]
+            state[open_] = self.fail[state[open_]]
+        return spent + self.weight[arc], self.target[arc]
+
+    def walk(self, ids: np.ndarray, first: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+        """From left to right through texts, the state carried: of each token the log10 probability, and the state after it.
+
+        Texts go side by side, long ones in segments.  A segment sets out two
+        tokens before its first, as no state holds more; so it begins in the
+        state in which the one before it ends.
+        """
+        lengths = np.diff(first)
+        pieces = -(-lengths // segment)
+        text = np.repeat(np.arange(len(lengths)), pieces)
+        begin = first[text] + segment * (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        end = np.minimum(begin + segment, first[text + 1])
+        at = np.maximum(begin - 2, first[text])
+        order = np.argsort(at - end, kind="stable")
+        begin, end, at = begin[order], end[order], at[order]
+        scores, states = np.empty(len(ids)), np.empty(len(ids), np.int64)
+        state = np.zeros(len(at), np.int64)
+        left = len(at)
+        while left:
+            score, state = self.step(state[:left], ids[at[:left]])
+            inside = at[:left] >= begin[:left]
+            scores[at[:left][inside]], states[at[:left][inside]] = score[inside], state[inside]
+            at[:left] += 1
+            while left and at[left - 1] >= end[left - 1]:  # the shortest are last
+                left -= 1
+        return scores, states
+
+
+def _where(n: int, which: np.ndarray, has: np.ndarray) -> np.ndarray:
+    """For each of n n-grams a token that ends it."""
+    out = np.zeros(n, np.int64)
+    at = np.flatnonzero(has)
+    out[which[at]] = at
+    return out
+
+
+def _walk(buckets: int, total: int, types: int, priors: tuple[float, float]):
+    """Sums over each text's tokens; ``total`` and ``types`` are of all that was taught."""
 
     def run(part: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         rows = part.column("rows").combine_chunks()
         for k, row in enumerate(part.drop_columns(["rows"]).to_pylist()):
             own = Part.of(row)
-            n1 = packed.counted(own.words, own.counts(), answers, 1, buckets)[0][own.ids].astype(float)
+            n1 = packed.counted(own.words, own.counts(), answers, 1, buckets)[0].astype(float)
             n2, pair, keys, n3, triple, open_ = _triples(own, answers, buckets)
             n3 = n3.astype(np.int64)
             n3[open_] = packed.counted(keys[open_], n3[open_], answers, 3, buckets)[0]
-            n2 = np.where(own.two, n2[pair] if len(n2) else 0, 0).astype(float)
-            n3 = np.where(own.three, n3[triple] if len(n3) else 0, 0).astype(float)
-            before = lambda x: np.concatenate([np.zeros(1), x[:-1]])
-            p = base = (n1 + RAISED) / (total + RAISED * (types + 1))
-            p = np.where(own.two, (n2 + for_two * p) / (before(n1) + for_two), p)
-            p = np.where(own.three, (n3 + for_three * p) / (before(n2) + for_three), p)
-            sums = [np.add.reduceat(x, own.first[:-1]) for x in ((n1 > 0).astype(np.int64), np.log10(base), np.log10(p))]
+            automaton = Automaton.of(own, n1, (n2.astype(float), pair), (n3.astype(float), triple), total, types, priors)
+            scores, _ = automaton.walk(own.ids, own.first)
+            each = n1[own.ids]
+            base = np.log10((each + RAISED) / (total + RAISED * (types + 1)))
+            sums = [np.add.reduceat(x, own.first[:-1]) for x in ((each > 0).astype(np.int64), base, scores)]
             cols = [rows.slice(k, 1).flatten(), pa.array(np.diff(own.first)), *map(pa.array, sums)]
             out.append(pa.table(cols, names=["row", "n_tokens", "n_known", "base_score", "score"]))
         return pa.concat_tables(out)
@@ -192,8 +284,8 @@ def score(
 ) -> DataFrame:
     """Each row's id, ``carry`` columns, n_tokens, n_known, train_tokens, base_score, score, under what the rows of ``learn`` teach.
 
-    All words, pairs and triples of words of the rows of ``learn`` are arcs,
-    however rare.  With c the count of a context, n that of an arc and q the
+    All words, pairs and triples of words of the rows of ``learn`` are arcs of an
+    ``Automaton``, however rare; each text is one way through it.  With c the count of a context, n that of an arc and q the
     probability in the context without its first word, an arc's probability is
     (n + prior * q) / (c + prior); the shortest context adds 0.1 to each count
     and has one more token for all that is unknown.  So each state's
