@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate, token_cost
 from tallyfold.functions.text import stripped
+from tallyfold.operators.polarity import LEXICON
 from tallyfold.operators.ranges import bounds, placed, tie
 
 LABELS = ("pos", "neg", "neu")
@@ -148,25 +149,6 @@ def model_comparison(rows: DataFrame, prices: DataFrame, volume: int, baseline:
     return priced.crossJoin(F.broadcast(base)).select("model", "accuracy", "mean_in", "mean_out", "cost", rate(100 * (F.col("base_cost") - F.col("cost")), F.col("base_cost"), 2).alias("saving_pct"))
 
 
-#: Weights of words of praise and blame for the offline label, graded in three steps; fixed values of our own.
-_PRAISE = {1: ("fine", "nice", "solid", "decent"), 2: ("good", "strong", "happy", "impressive"), 3: ("excellent", "brilliant", "wonderful", "superb")}
-_BLAME = {1: ("weak", "dull", "shaky", "poor"), 2: ("bad", "sloppy", "angry", "disappointing"), 3: ("terrible", "awful", "horrible", "dreadful")}
-LEXICON = {w: sign * step / 4 for sign, words in ((1, _PRAISE), (-1, _BLAME)) for step, some in words.items() for w in some}
-
-
-def polarity(text: Column, lexicon: dict[str, float] | None = None) -> Column:
-    """Sum of the words' weights over the square root of its square and 15."""
-    weights = F.create_map(*[F.lit(x) for kv in (lexicon or LEXICON).items() for x in kv])
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}']+")
-    known = F.filter(words, lambda w: w.isin(*(lexicon or LEXICON)))
-    total = F.aggregate(known, F.lit(0.0), lambda a, w: a + F.coalesce(F.try_element_at(weights, w), F.lit(0.0)))
-    return total / F.sqrt(total * total + 15)
-
-
-def lexicon_label(score: Column) -> Column:
-    return F.when(score > 0.05, "pos").when(score < -0.05, "neg").otherwise("neu")
-
-
 class Classifier(Protocol):
     """What gives a text its raw reply, many texts at a time."""
 
@@ -188,12 +170,9 @@ def classified(requests_: DataFrame, classifier: Callable[[list[str]], list[str]
 def offline(bodies: list[str]) -> list[str]:
     """A classifier without a service: the lexicon's label, in the service's form."""
     import json
-    import re
 
     out = []
     for body in bodies:
-        text = body.removeprefix(_BEFORE).removesuffix(_AFTER)
-        score = sum(LEXICON.get(w, 0.0) for w in re.findall(r"[\w']+", text.lower()))
-        score = score / (score * score + 15) ** 0.5
+        score = LEXICON.compound(body.removeprefix(_BEFORE).removesuffix(_AFTER))
         out.append(json.dumps({"s": "pos" if score > 0.05 else "neg" if score < -0.05 else "neu", "c": round(min(1.0, abs(score) + 0.5), 2), "p": None}))
     return out

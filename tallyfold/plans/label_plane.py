@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.numbers import duration_text, percent_text, signed_text, size_text, token_cost, tokens_of_chars
 from tallyfold.functions.text import batch_number
 from tallyfold.operators import labels as L
+from tallyfold.operators import polarity as P
 from tallyfold.operators import matching as M
 from tallyfold.operators import metrics
 from tallyfold.operators.profile import value_counts
@@ -175,18 +176,33 @@ def _(spark, d):
     return L.accuracy(rows.withColumn("predicted", (F.col("n_chars") >= 600).cast("int")), "predicted", "quality")
 
 
-#: A lexicon of words that the texts hold; the weights add up without rounding.
-_LEX = {"idiot": -0.75, "moron": -0.75, "stupid": -0.5, "the": 0.25, "und": 0.25, "que": -0.25}
-_LEX_SQL = "CASE w " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LEX.items()) + " ELSE 0 END"
+#: A lexicon of words that the texts hold: word, role, weight.  Weights add up without rounding.
+_LEXICON = [
+    ("idiot", "word", -1.0), ("und", "word", 0.25), ("que", "word", -0.25), ("eau", "word", 0.5), ("is", "word", -0.5), ("do", "word", 0.75), ("kend", "word", 0.5),
+    ("de", "negator", None), ("der", "negator", None), ("not", "negator", None), ("la", "booster", 0.5), ("die", "booster", 0.25), ("the", "booster", -0.25),
+]
+_LEXICON_SQL = "lex(word, role, weight) AS (VALUES " + ", ".join(f"('{w}', '{r}', {'NULL' if v is None else v}::DOUBLE)" for w, r, v in _LEXICON) + ")"
 
 
 @query(
     "lexicon_label",
-    rf"WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}'']+')) AS w FROM documents), s AS (SELECT doc_id, CAST(sum({_LEX_SQL}) AS DOUBLE) AS total FROM w GROUP BY doc_id) SELECT doc_id, total / sqrt(total * total + 15) AS compound, CASE WHEN total / sqrt(total * total + 15) > 0.05 THEN 'pos' WHEN total / sqrt(total * total + 15) < -0.05 THEN 'neg' ELSE 'neu' END AS label FROM s",
+    rf"""WITH {_LEXICON_SQL},
+t AS (SELECT doc_id, text, text = upper(text) AS shouted, regexp_extract_all(text, '[\p{{L}}\p{{N}}'']+') AS ws FROM documents),
+w AS (SELECT doc_id, shouted, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
+j AS (SELECT w.*, lex.role, lex.weight FROM w LEFT JOIN lex ON lex.word = lower(w.word)),
+b AS (SELECT *, count(*) FILTER (role = 'negator') OVER before AS negators, max(pos) FILTER (role = 'booster') OVER before AS boosted, arg_max(weight, pos) FILTER (role = 'booster') OVER before AS boost
+  FROM j WINDOW before AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)),
+v AS (SELECT doc_id, CASE WHEN negators > 0 THEN -0.5 ELSE 1 END * (weight + sign(weight) * (coalesce(boost * power(0.5, pos - boosted - 1), 0)
+  + CASE WHEN NOT shouted AND length(word) > 1 AND word <> lower(word) AND word = upper(word) THEN 0.25 ELSE 0 END)) AS v FROM b WHERE role = 'word'),
+s AS (SELECT doc_id, sum(v) AS v FROM v GROUP BY doc_id),
+c AS (SELECT doc_id, coalesce(v, 0) + coalesce(sign(v), 0) * 0.25 * least(3, length(text) - length(replace(text, '!', ''))) AS total FROM t LEFT JOIN s USING (doc_id)),
+o AS (SELECT doc_id, CAST(total / sqrt(total * total + 15) AS DOUBLE) AS compound FROM c)
+SELECT doc_id, compound, CASE WHEN compound > 0.05 THEN 'pos' WHEN compound < -0.05 THEN 'neg' ELSE 'neu' END AS label FROM o""",
 )
 def _(spark, d):
-    scored = table(spark, d, "documents").select("doc_id", L.polarity(F.col("text"), _LEX).alias("compound"))
-    return scored.withColumn("label", L.lexicon_label(F.col("compound")))
+    lexicon = P.Lexicon.of_table(spark.createDataFrame(_LEXICON, "word string, role string, weight double"))
+    scored = table(spark, d, "documents").select("doc_id", P.polarity(F.col("text"), lexicon).alias("compound"))
+    return scored.withColumn("label", P.lexicon_label(F.col("compound")))
 
 
 @query("format_strings", "SELECT event_id, printf('%.1f%%', (event_id % 16) / 16.0::DOUBLE * 100) AS pct, printf('%+.3f', (event_id % 17 - 8) / 8.0::DOUBLE) AS signed FROM events")

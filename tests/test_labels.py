@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import numbers as N
 from tallyfold.operators import labels as L
+from tallyfold.operators import polarity as P
 
 GOOD = '{"s": "pos", "c": 0.9, "p": "A"}'
 
@@ -103,7 +104,7 @@ def test_rounding_and_empty_rate(spark):
 
 def test_polarity(spark):
     df = spark.createDataFrame([("Superb, superb!",), ("the dreadful, sloppy one",), ("so",), (None,)], "t string")
-    assert [r[0] for r in df.select(L.lexicon_label(L.polarity(F.col("t")))).collect()] == ["pos", "neg", "neu", "neu"]
+    assert [r[0] for r in df.select(P.lexicon_label(P.polarity(F.col("t")))).collect()] == ["pos", "neg", "neu", "neu"]
 
 
 def test_validation(spark):
@@ -140,3 +141,37 @@ def test_one_value_that_stands_often_leaves_the_others_their_ranges(spark):
     per = [r["count"] for r in ranges.placed(rows, ranges.bounds(rows, F.col("id"), 8), F.col("id"), "part").groupBy("part").count().collect()]
     assert len(per) == 8 and max(per) < 5000 + 2 * 20_000 / 8
     assert ranges.placed(rows.limit(0), ranges.bounds(rows.limit(0), F.col("id"), 8), F.col("id"), "part").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "total"),
+    [
+        ("good", 0.5),
+        ("not good", -0.25),
+        ("not a very good", -0.375),
+        ("never did we see good", 0.5),
+        ("very good", 0.75),
+        ("truly a good", 0.75),
+        ("truly a b good", 0.625),
+        ("truly a b c good", 0.5),
+        ("slightly bad", -0.25),
+        ("GOOD one", 0.75),
+        ("GOOD ONE", 0.5),
+        ("a VERY Good", 0.75),
+        ("bad!!!!", -1.25),
+        ("hm!", 0.0),
+        ("good but not bad", 0.75),
+        ("isn't good, isn't it", -0.25),
+        ("", 0.0),
+    ],
+)
+def test_words_are_weighed_by_those_before_them(text, total):
+    assert P.LEXICON.total(text) == total
+
+
+def test_lexicon_of_a_table(spark):
+    rows = spark.createDataFrame([("Nasty", "word", 0.75), ("no", "negator", None), ("mad", "booster", 0.25)], "word string, role string, weight double")
+    lexicon = P.Lexicon.of_table(rows)
+    assert lexicon.total("mad nasty") == 1.0 and lexicon.total("no nasty") == -0.375 and lexicon.patched({"NASTY": -1.0}).total("nasty") == -1.0
+    with pytest.raises(ValueError, match="more than 2"):
+        P.Lexicon.of_table(rows, 2)
