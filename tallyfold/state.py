@@ -51,6 +51,15 @@ def complete(state: dict) -> bool:
     return bool(state["batches"]) and all(b.get("status") == "ended" and b.get("results_downloaded") for b in state["batches"])
 
 
+def entry(state: dict, name: str) -> dict:
+    """A file that is sent now, as the state holds it."""
+    number = number_of(name)
+    if number is None:
+        number = max((b["batch_num"] or 0 for b in state["batches"]), default=0) + 1
+    now = datetime.now(UTC).isoformat()
+    return {"batch_num": number, "batch_id": None, "request_file": name, "status": "in_progress", "submitted_at": now, "ended_at": None, "results_url": None, "request_counts": dict.fromkeys(COUNTS, 0), "results_downloaded": False}
+
+
 def submit(path: str, files: list[str], send: Callable[[str], str], limit: int | None = None) -> list[str]:
     """Sends files that weren't sent yet, in the order of their batch numbers; the state is saved after each, so a failure loses none.
 
@@ -64,12 +73,7 @@ def submit(path: str, files: list[str], send: Callable[[str], str], limit: int |
             batch_id = send(name)
         finally:
             save(path, state)
-        number = number_of(name)
-        if number is None:
-            number = max((b["batch_num"] or 0 for b in state["batches"]), default=0) + 1
-        state["batches"].append(
-            {"batch_num": number, "batch_id": batch_id, "request_file": name, "status": "in_progress", "submitted_at": datetime.now(UTC).isoformat(), "ended_at": None, "results_url": None, "request_counts": dict.fromkeys(COUNTS, 0), "results_downloaded": False}
-        )
+        state["batches"].append(entry(state, name) | {"batch_id": batch_id})
         state["total_batches"] = len(state["batches"])
         save(path, state)
         done.append(name)
@@ -82,7 +86,7 @@ def collect(path: str, poll: Callable[[str], dict], fetch: Callable[[dict], None
     while True:
         state = load(path)
         for b in state["batches"]:
-            if b["status"] != "ended":
+            if b["status"] != "ended" and b["batch_id"]:
                 b.update(poll(b["batch_id"]))
             if b["status"] == "ended" and not b["results_downloaded"]:
                 fetch(b)
