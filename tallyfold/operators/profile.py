@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyfold.functions.numbers import rate
-from tallyfold.operators.ranges import bounds, placed
+from tallyfold.operators.selection import at_ranks
 
 
 def value_counts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -29,51 +28,28 @@ def group_stats(rows: DataFrame, key: str, value: str) -> DataFrame:
     return joined.select(key, "n", "mean", "median", "std", "min", "max", "sum")
 
 
-def _placed(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """(keys, value, __n, __upto, __all): of each distinct value, how often it stands, how many are not above it, and how many there are.
-
-    Equal values are summed first, and dealt to tasks by key and range of the
-    value; what lies ahead of a range is added from the ranges' sums.  So no
-    task needs all values of a group.
-    """
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("__n"))
-    ends = bounds(rows.where(F.col(value).isNotNull()), F.col(value))
-    ranged = placed(counted, ends, F.col("value"), "__part")
-    # one row for each range and key that meet
-    sums = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__m"))
-    of = Window.partitionBy(*(keys or [F.lit(0)]))
-    ahead = sums.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__part").alias("__p"), (F.sum("__m").over(of.orderBy("__part")) - F.col("__m")).alias("__ahead"), F.sum("__m").over(of).alias("__all")
-    )
-    same = F.col("__part") == F.col("__p")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    within = Window.partitionBy(*keys, "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    found = ranged.withColumn("__in", F.sum("__n").over(within)).join(ahead, same)
-    return found.select(*keys, "value", "__n", (F.col("__ahead") + F.col("__in")).alias("__upto"), "__all")
-
-
-def _at(place: Column) -> Column:
-    """Whether the element of that place, from 0, is of the row's value."""
-    return (place < F.col("__upto")) & (place >= F.col("__upto") - F.col("__n"))
-
-
 def nearest_quantiles(rows: DataFrame, value: str, quantiles: list[float], keys: list[str] | None = None) -> DataFrame:
-    """(keys, q, value) with the element nearest to each quantile, from counts of distinct values."""
-    keys = keys or []
-    asked = _placed(rows, value, keys).withColumn("q", F.explode(F.array(*map(F.lit, quantiles))))
-    return asked.where(_at(F.round((F.col("__all") - 1) * F.col("q")).cast("long"))).select(*keys, "q", "value")
+    """(keys, q, value) with the element nearest to each quantile; see ``selection.at_ranks``."""
+    return at_ranks(rows, value, keys or [], lambda n: F.array(*[F.struct(F.lit(q).alias("q"), F.round((n - 1) * q).cast("long").alias("rank")) for q in quantiles]))
 
 
 def quantiles(rows: DataFrame, value: str, asked: list[float], keys: list[str] | None = None) -> DataFrame:
-    """(keys, q, value) with each quantile, between two elements in proportion, from counts of distinct values."""
+    """(keys, q, value) with each quantile, between two elements in proportion; see ``selection.at_ranks``."""
     keys = keys or []
-    point = (F.col("__all") - 1) * F.col("q")
-    low, part = F.floor(point), point - F.floor(point)
-    each = _placed(rows, value, keys).withColumn("q", F.explode(F.array(*map(F.lit, asked))))
-    near = each.where(_at(low) | _at(F.ceil(point))).select(*keys, "q", F.col("value").cast("double").alias("value"), part.alias("__part"))
-    found = near.groupBy(*keys, "q").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.max("__part").alias("__part"))
-    return found.select(*keys, "q", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__part")).alias("value"))
+
+    def around(n: Column) -> Column:
+        """The elements on both sides of each quantile; q carries what lies between them."""
+        both = []
+        for q in asked:
+            point = (n - 1) * q
+            share = point - F.floor(point)
+            both += [F.struct(F.struct(F.lit(q).alias("q"), part.alias("part")).alias("q"), place.cast("long").alias("rank")) for part, place in ((1 - share, F.floor(point)), (share, F.floor(point) + 1))]
+        # the one above the last element isn't there, and isn't asked for
+        return F.filter(F.array(*both), lambda a: a["rank"] < n)
+
+    near = at_ranks(rows, value, keys, around).select(*keys, F.col("q.q").alias("q"), F.col("q.part").alias("part"), F.col("value").cast("double").alias("value"))
+    found = near.groupBy(*keys, "q").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.max_by("part", "value").alias("part"), F.count("*").alias("n"))
+    return found.select(*keys, "q", F.when((F.col("n") == 1) | (F.col("lo") == F.col("hi")), F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))
 
 
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
