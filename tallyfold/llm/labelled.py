@@ -31,7 +31,8 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int = ROWS_
 
     A text that resembles one before it is left out, or its words would look
     typical of a label, and so is one that would exceed ``text_bytes``.
-    Labels other than 0 and 1, and rows without an id or a text, teach nothing.
+    Labels other than 0 and 1, and rows without an id or a text, teach nothing;
+    a document with contradicting labels is an example of both.
     """
     named = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label_col).cast("int").alias("__y"))
     picked = None

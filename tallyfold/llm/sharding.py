@@ -11,8 +11,9 @@ from tallyfold.llm.store import Store
 SHARDS = 24
 #: Rounds in which linked documents may move, and the part of a shard's rows by which flows between two shards may differ.
 ROUNDS, SLACK = 3, 0.02
-#: Parts of each shard's groups, and of a large group, that are ranked by themselves.
-PARTS = 64
+#: Parts of each shard's groups, and of a large group, that are ranked by themselves, at least, and the rows of a shard for
+#: each of which there is one.
+PARTS, PART_ROWS = 64, 100_000
 
 
 def propagate(counts: DataFrame, store: Store, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
@@ -77,9 +78,10 @@ def assign(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id",
     counts = base.groupBy("g", "shard").agg(F.count("*").alias("c")).join(groups.select("g"), "g", "left_semi")
     labels = store.put(propagate(counts, store, shards), "labels")
 
-    large = max(64, total // (shards * PARTS))
-    own = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(PARTS).cast("long")).cast("int")
-    of_group = F.pmod(F.xxhash64("g"), F.lit(PARTS).cast("long")).cast("int")
+    parts = max(PARTS, -(-total // (shards * PART_ROWS)))
+    large = max(64, total // (shards * parts))
+    own = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(parts).cast("long")).cast("int")
+    of_group = F.pmod(F.xxhash64("g"), F.lit(parts).cast("long")).cast("int")
     linked = F.col("label").isNotNull()
     big = F.coalesce(F.col("members") > large, F.lit(False))
     key = ["label", "zone", "p", "whole", "q"]
@@ -91,12 +93,12 @@ def assign(docs: DataFrame, store: Store | None = None, id_col: str = "doc_id",
         F.coalesce("label", "shard").alias("label"),
         # singles on both sides of the groups, so that a cut that drifts still falls among singles
         F.when(linked, 1).otherwise(F.when(F.xxhash64("id", F.lit(10)) >= 0, 0).otherwise(2)).alias("zone"),
-        F.when(big, PARTS).when(linked, of_group).otherwise(own).alias("p"),
+        F.when(big, parts).when(linked, of_group).otherwise(own).alias("p"),
         F.when(big, F.col("g")).otherwise(F.lit("")).alias("whole"),
         F.when(big, own).otherwise(0).alias("q"),
     )
     keyed = store.put(keyed, "keyed")
-    # one row for each part: 3 * shards * PARTS of small groups and singles, PARTS for each of at most shards * PARTS large groups
+    # one row for each part: 3 * shards * parts of small groups and singles, parts for each of at most shards * parts large groups
     ahead = keyed.groupBy(*key).agg(F.count("*").alias("n")).withColumn("ahead", F.sum("n").over(Window.orderBy(*key)) - F.col("n")).drop("n")
     rank = F.col("ahead") + F.row_number().over(Window.partitionBy(*key).orderBy("g", "id", "size")) - 1
     ranked = keyed.join(store.put(ahead, "parts"), key).withColumn("rank", rank)

@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tallyfold.llm import crf, lm, quality, rules, toxicity
+from tallyfold.llm import crf, lm, quality, queries, rules, toxicity
 
 
 def test_forward_backward_is_exact(monkeypatch):
@@ -215,6 +215,30 @@ def test_rules_reject_and_spare_on_labels_held_back(spark):
     assert got[1] >= 1 - rules.RISK and got[0] < 0.2
 
 
+def auc(scores, labels):
+    """The chance that an example of label 1 scores above one of label 0."""
+    order = np.argsort(np.argsort(scores, kind="stable"), kind="stable") + 1.0
+    for v in np.unique(scores):
+        order[scores == v] = order[scores == v].mean()
+    ones = labels == 1
+    return (order[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+
+
+@pytest.mark.parametrize(
+    ("query", "label", "least_auc", "least_ones", "least_zeros"),
+    [("op3_toxicity", "toxic", 0.9, 0.85, 0.99), ("op6_quality", "quality", 0.99, 0.99, 0.9)],
+)
+def test_worth_on_labels_held_back(spark, query, label, least_auc, least_ones, least_zeros):
+    """The queries themselves on whole tables: ranking, and how many of each label are told as such, of documents that taught nothing."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no tables here")
+    found = queries.QUERIES[query](spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("score", "predicted", F.col(label).alias("y")).toPandas()
+    y, told = found["y"].to_numpy(), found["predicted"].to_numpy()
+    assert len(y) > 500 and auc(found["score"].to_numpy(), y) >= least_auc
+    assert (told[y == 1] == 1).mean() >= least_ones and (told[y == 0] == 0).mean() >= least_zeros
+
+
 def test_contradicting_labels_count_as_good(spark):
     rows = measured(spark, [(200, 0, 300), (200, 600, 300)])
     labels = rows.select("doc_id", F.lit(1).alias("quality")).union(rows.select("doc_id", F.lit(0)))
