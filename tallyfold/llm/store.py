@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
 
@@ -42,15 +46,18 @@ class Store:
         self.root = f"{shared_dir(spark)}/tallyfold/{name}-{uuid.uuid4().hex[:12]}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes a table and gives it back as read from there; the shuffle files behind it go once it is written."""
         path = f"{self.root}/{name}"
-        self.free()
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-        schema = df.schema
-        del df
-        return self.spark.read.schema(schema).parquet(path)
+        before = self.spark.conf.get(_FREE_SHUFFLES, "false")
+        self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(_FREE_SHUFFLES, before)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def free(self) -> None:
-        """Spark deletes the shuffle files behind a written table once the driver has collected what refers to them, which is held for a moment after the write."""
+        """Broadcasts of finished jobs, and shuffles of jobs that wrote nothing, are deleted once the driver has collected what refers to them."""
         self.spark.sparkContext._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
