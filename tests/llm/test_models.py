@@ -132,7 +132,7 @@ def test_language_model_of_nothing(spark, table):
 def test_rules(spark, table, make):
     import re
 
-    rows = [(i, make(i, 30)) for i in range(20)] + [(50, "a b c d e f g h " * 6), (51, "x\nx\n \ny|y\nx"), (52, ""), (53, None), (None, make(3, 40)), (54, "a b c d e f g h i a b c d e f g h i j")]
+    rows = [(i, make(i, 30)) for i in range(20)] + [(50, "a b c d e f g h " * 6), (51, "x\nx\n \ny|y\nx"), (52, ""), (53, None), (None, make(3, 40)), (54, "a b c d e f g h i a b c d e f g h i j"), (55, make(55, 60_000, 20_000) + " " + make(55, 500, 20_000))]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in rules.judge(table(rows), labels).collect()}
     assert len(got) == len(rows)
