@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,26 +13,17 @@ from pyspark.sql.window import Window
 
 from tallyfold.sources import scratch
 
-#: Bits of a value that a round looks at, rows of a cell that are sorted instead of looked at again, and ranks that are broadcast.
+#: Bits of a value that a round looks at, different values of a cell that are sorted instead of looked at again, and ranks that are broadcast.
 BITS, FEW, SMALL = 16, 100_000, 200_000
 _ONE = 1 << 52
 
 
-def _ordered_double(x: Column) -> Column:
+@F.arrow_udf(T.LongType())
+def _ordered_double(values: pa.Array) -> pa.Array:
     """The bits of a double as a number in the same order; NaN is above infinity, both zeros are 0."""
-    a = F.abs(x)
-    near = F.greatest(F.lit(-1022), F.least(F.lit(1023), F.floor(F.log2(a)).cast("int")))
-    two = lambda e: F.pow(F.lit(2.0), e.cast("double"))
-    # the logarithm may be off by one next to a power of two
-    e = F.when(a < two(near), near - 1).when(a >= two(near) * 2, near + 1).otherwise(near)
-    normal = (e + 1023).cast("long") * _ONE + ((a / two(e) - 1) * float(_ONE)).cast("long")
-    bits = (
-        F.when(F.isnan(a), 2047 * _ONE + 1)
-        .when(a == float("inf"), 2047 * _ONE)
-        .when(a < 2.0**-1022, (a / F.lit(2.0**-1074)).cast("long"))
-        .otherwise(normal)
-    )
-    return F.when((x < 0) & ~F.isnan(x), -bits).otherwise(bits).cast("long")
+    x = values.to_numpy(zero_copy_only=False).astype(np.float64)
+    bits = np.where(np.isnan(x), 2047 * _ONE + 1, np.abs(x).view(np.int64))
+    return pa.array(np.where(x < 0, -bits, bits), mask=values.is_null().to_numpy(zero_copy_only=False))
 
 
 def _double_of(u: Column) -> Column:
@@ -62,50 +55,57 @@ def _forms(kind: T.DataType) -> tuple[Callable[[Column], Column], Callable[[Colu
 
 
 def _in_cells(data: DataFrame, named: list[str], cell: Column, ranks: Callable[[Column], Column], asked: DataFrame | None, settled: int) -> DataFrame:
-    """(named, cell, n, q, rank): the cells that hold the ranks, how many rows they have, and the ranks within.
+    """(named, cell, values, q, rank): the cells that hold the ranks, how many different values they have, and the ranks within.
 
-    With ``asked`` (see ``at_ranks``), only rows whose bits from ``settled`` on are those of a cell asked for are counted.
+    ``data`` has ``w`` rows of each value.  With ``asked`` (see ``at_ranks``), only values whose bits from ``settled`` on are those of a cell asked for are counted.
     """
     if asked is None:
-        cells = data.groupBy(*named, cell.alias("cell")).agg(F.count("*").alias("n"))
+        cells = data.groupBy(*named, cell.alias("cell")).agg(F.sum("w").alias("n"), F.count("*").alias("values"))
         asks, within = ranks(F.sum("n").over(Window.partitionBy(*(named or [F.lit(0)])))), list(named)
     else:
         same = [F.col(n).eqNullSafe(F.col(f"a{n}")) for n in named] + [F.col("prefix") == F.col("a_prefix")]
         met = data.withColumn("prefix", F.shiftright("u", settled)).join(asked, same)
-        cells = met.groupBy(*named, "prefix", cell.alias("cell")).agg(F.count("*").alias("n"), F.any_value("asks").alias("asks"))
+        cells = met.groupBy(*named, "prefix", cell.alias("cell")).agg(F.sum("w").alias("n"), F.count("*").alias("values"), F.any_value("asks").alias("asks"))
         asks, within = F.col("asks"), [*named, "prefix"]
     ahead = F.sum("n").over(Window.partitionBy(*(within or [F.lit(0)])).orderBy("cell")) - F.col("n")
-    placed = cells.select(*named, "cell", "n", ahead.alias("ahead"), asks.alias("asks"))
-    each = placed.select(*named, "cell", "n", "ahead", F.explode("asks").alias("ask")).where("ask.rank >= ahead AND ask.rank < ahead + n")
-    return each.select(*named, "cell", "n", "ask.q", (F.col("ask.rank") - F.col("ahead")).alias("rank"))
+    placed = cells.select(*named, "cell", "n", "values", ahead.alias("ahead"), asks.alias("asks"))
+    each = placed.select(*named, "cell", "n", "values", "ahead", F.explode("asks").alias("ask")).where("ask.rank >= ahead AND ask.rank < ahead + n")
+    return each.select(*named, "cell", "values", "ask.q", (F.col("ask.rank") - F.col("ahead")).alias("rank"))
 
 
 def at_ranks(rows: DataFrame, value: str, keys: list[str], ranks: Callable[[Column], Column]) -> DataFrame:
     """(keys, q, value): elements of the values of each key, for ``ranks(n)``, an array of (q, rank), of their number n.
 
-    A round counts the values by the highest bits that aren't settled yet, and
-    follows each rank into the cell that holds it, for all keys and ranks at
-    once.  So a task sends one count for each cell that it has, and no task
-    needs the values of a key, however they are spread or repeated.  When no
-    cell that is asked for holds more than ``FEW`` rows, those are sorted.
-    Ranks go to the tasks by broadcast as long as there are at most ``SMALL``.
-
-    Reads the rows twice, or up to four times while cells stay large, and runs
+    The rows are read once, to count the different values of each key; the
+    counts are written to the shared folder, each with its value as a number in
+    the same order.  A round adds up the counts by the highest bits that aren't
+    settled yet, and follows each rank into the cell that holds it, for all keys
+    and ranks at once.  So a task sends one count for each value or cell that it
+    has, and no task needs the values of a key, however they are spread or
+    repeated.  When no cell that is asked for holds more than ``FEW`` different
+    values, those are sorted.  Ranks go to the tasks by broadcast as long as
+    there are at most ``SMALL``.
+
+    Reads the counts twice, or up to four times while cells stay large, and runs
     all rounds but the last as it is called.  Nulls aren't counted.  NaN is
     above all others.
     """
     there, back = _forms(rows.schema[value].dataType)
     named = [f"__k{i}" for i in range(len(keys))]
-    data = rows.where(F.col(value).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], there(F.col(value)).alias("u"))
+    # equal values are one row with their number, so that rounds over a column of few values are short
+    data = rows.where(F.col(value).isNotNull()).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], F.col(value).alias("__v")).agg(F.count("*").alias("w"))
+    data = data.select(*named, there(F.col("__v")).alias("u"), "w")
     folder, asked, settled, few = scratch.folder(rows.sparkSession, "ranks"), None, 64, False
+    data.write.parquet(f"{folder}/values")
+    data = rows.sparkSession.read.schema(data.schema).parquet(f"{folder}/values")
     while not few and settled > BITS:
         shift = settled - BITS
         found = _in_cells(data, named, F.shiftright("u", shift), ranks, asked, settled)
-        held = found.groupBy(*[F.col(n).alias(f"a{n}") for n in named], F.col("cell").alias("a_prefix")).agg(F.max("n").alias("n"), F.collect_list(F.struct("q", "rank")).alias("asks"))
+        held = found.groupBy(*[F.col(n).alias(f"a{n}") for n in named], F.col("cell").alias("a_prefix")).agg(F.max("values").alias("values"), F.collect_list(F.struct("q", "rank")).alias("asks"))
         held.write.parquet(f"{folder}/{shift}")
         asked, settled = rows.sparkSession.read.parquet(f"{folder}/{shift}"), shift
-        most, cells = asked.agg(F.max("n"), F.count("*")).first()
+        most, cells = asked.agg(F.max("values"), F.count("*")).first()
         few = (most or 0) <= FEW
-        asked = F.broadcast(asked.drop("n")) if cells <= SMALL else asked.drop("n")
+        asked = F.broadcast(asked.drop("values")) if cells <= SMALL else asked.drop("values")
     found = _in_cells(data, named, F.col("u"), ranks, asked, settled)
     return found.select(*[F.col(n).alias(c) for n, c in zip(named, keys, strict=True)], "q", back(F.col("cell")).alias("value"))

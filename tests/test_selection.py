@@ -70,3 +70,21 @@ def test_values_keep_their_type(spark, monkeypatch, kind, values):
     assert {r["q"]: r["value"] for r in got.collect()} == {q: near([r["v"] for r in df.collect()], q) for q in QS}
     with pytest.raises(TypeError):
         profile.nearest_quantiles(spark.createDataFrame([("x",)], "v string"), "v", QS)
+
+
+def test_rows_are_read_once_and_few_values_take_one_round(spark, monkeypatch):
+    """Three keys of seven values, each on more rows than a cell may have that is sorted."""
+    monkeypatch.setattr(selection, "FEW", 20)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(2100).selectExpr("id % 3 AS k", "id % 7 - 3.5D AS v").mapInArrow(counted, "k long, v double")
+    rounds = []
+    monkeypatch.setattr(selection, "_in_cells", lambda *a, each=selection._in_cells: rounds.append(a) or each(*a))
+    got = {r["k"]: r["value"] for r in profile.quantiles(df, "v", [0.5], ["k"]).collect()}
+    assert got == {k: -0.5 for k in range(3)}
+    assert read.value == 2100 and len(rounds) == 2
